@@ -1,0 +1,209 @@
+"""Sequence operators against a plain per-vessel loop, one vessel owning most rows."""
+
+from __future__ import annotations
+
+import datetime as dt
+import random
+
+import pytest
+from pyspark.sql import functions as F
+
+from wakeline.operators import tracks, voyages
+from wakeline.rules import VoyageRules
+from wakeline.schema import POSITION_SCHEMA
+
+RULES = VoyageRules(gap_hours=4.0, min_points=1)
+
+
+def make_points(seed: int = 3):
+    rng = random.Random(seed)
+    points = []
+    for mmsi, count in ((366000001, 1500), (366000002, 300), (366000003, 200), (366000004, 1)):
+        time = dt.datetime(2025, 8, 15)
+        for _ in range(count):
+            # pauses of seconds to days, the exact gap among them
+            step = rng.choice([1, 60, 600, 3600, 14400, 14401, 100_000 if rng.random() < 0.2 else 30])
+            time += dt.timedelta(seconds=step)
+            points.append(
+                (mmsi, time, round(rng.uniform(20, 50), 4), round(rng.uniform(-120, -60), 4),
+                 None if rng.random() < 0.1 else round(rng.uniform(0, 20), 1))
+            )
+    return points
+
+
+POINTS = make_points()
+
+
+@pytest.fixture(scope="module")
+def positions(spark):
+    shuffled = POINTS[:]
+    random.Random(1).shuffle(shuffled)
+    rows = [
+        {**{n: None for n in POSITION_SCHEMA.names}, "mmsi": m, "event_time": t, "latitude": a,
+         "longitude": o, "sog": s, "source_date": t.date().isoformat()}
+        for m, t, a, o, s in shuffled
+    ]
+    return spark.createDataFrame(rows, POSITION_SCHEMA).repartition(5).cache()
+
+
+def by_vessel():
+    groups = {}
+    for point in sorted(POINTS):
+        groups.setdefault(point[0], []).append(point)
+    return groups
+
+
+def expected_segments(gap_seconds=14400):
+    labels = {}
+    for mmsi, points in by_vessel().items():
+        segment, last = 0, None
+        for _, time, *_ in points:
+            if last is None or (time - last).total_seconds() > gap_seconds:
+                segment += 1
+            labels[mmsi, time] = segment
+            last = time
+    return labels
+
+
+def test_previous_point_crosses_days(positions):
+    want = {}
+    for mmsi, points in by_vessel().items():
+        last = None
+        for point in points:
+            want[mmsi, point[1]] = last
+            last = point
+    got = tracks.with_previous(positions, ["event_time", "latitude", "longitude"]).collect()
+    assert len(got) == len(POINTS)
+    for row in got:
+        last = want[row["mmsi"], row["event_time"]]
+        assert (row["prev_event_time"], row["prev_latitude"], row["prev_longitude"]) == (
+            (last[1], last[2], last[3]) if last else (None, None, None)
+        )
+
+
+def test_previous_values_may_be_null(positions):
+    want = {}
+    for mmsi, points in by_vessel().items():
+        last = None
+        for point in points:
+            want[mmsi, point[1]] = last and last[4]
+            last = point
+    got = tracks.with_previous(positions, ["sog"]).collect()
+    assert {(r["mmsi"], r["event_time"]): r["prev_sog"] for r in got} == want
+
+
+def test_gaps_and_distances(positions):
+    gaps = tracks.time_gaps(positions).where("time_gap_hours is null").count()
+    assert gaps == 4
+    far = tracks.distances(positions).agg(F.count("distance_nm"), F.min("distance_nm")).first()
+    assert far[0] == len(POINTS) - 4 and far[1] >= 0
+
+
+def test_segments_equal_the_loop(positions):
+    got = tracks.voyage_segments(positions, RULES).collect()
+    assert {(r["mmsi"], r["event_time"]): r["voyage_id"] for r in got} == expected_segments()
+
+
+def expected_voyages(rules, keys=lambda p: (p[0],)):
+    out = []
+    groups = {}
+    for point in sorted(POINTS):
+        groups.setdefault(keys(point), []).append(point)
+    for points in groups.values():
+        parts, last = [], None
+        for point in points:
+            if last is None or (point[1] - last[1]).total_seconds() > rules.gap_seconds:
+                parts.append([])
+            parts[-1].append(point)
+            last = point
+        for part in parts:
+            if len(part) < rules.min_points:
+                continue
+            first, end = part[0], part[-1]
+            out.append((first[0], first[1], end[1], first[3], first[2], end[3], end[2], len(part)))
+    return sorted(out)
+
+
+def shape(frame):
+    return sorted(
+        (r["mmsi"], r["start_time"], r["end_time"], r["start_longitude"], r["start_latitude"],
+         r["end_longitude"], r["end_latitude"], r["point_count"])
+        for r in frame.collect()
+    )
+
+
+@pytest.mark.parametrize("minimum", [1, 3, 10])
+def test_voyages_equal_the_loop(positions, minimum):
+    rules = VoyageRules(gap_hours=4.0, min_points=minimum)
+    assert shape(voyages.voyage_candidates(positions, rules)) == expected_voyages(rules)
+
+
+def test_sessions_equal_voyages(positions):
+    a = voyages.voyage_candidates(positions, RULES)
+    b = voyages.voyage_sessions(positions, RULES)
+    assert a.exceptAll(b).count() == b.exceptAll(a).count() == 0
+
+
+def test_per_day_restarts_at_the_file(positions):
+    got = shape(voyages.voyage_candidates(positions, RULES, per_day=True))
+    assert got == expected_voyages(RULES, keys=lambda p: (p[0], p[1].date()))
+
+
+def test_no_point_is_lost(positions):
+    total = voyages.voyage_candidates(positions, RULES).agg(F.sum("point_count")).first()[0]
+    assert total == len(POINTS)
+
+
+def test_a_day_has_few_fragments(positions):
+    """What bounds the second level: pauses longer than the gap, not points."""
+    most = (
+        voyages.voyage_fragments(positions, RULES)
+        .groupBy("mmsi", "track_date").count().agg(F.max("count")).first()[0]
+    )
+    assert most <= 24 / RULES.gap_hours + 1
+
+
+def test_fragments_merge_from_any_split(positions):
+    early = voyages.voyage_fragments(positions.where("event_time < '2025-09-01'"), RULES)
+    late = voyages.voyage_fragments(positions.where("event_time >= '2025-09-01'"), RULES)
+    merged = voyages.merge_fragments(early.unionByName(late), RULES)
+    assert shape(merged) == expected_voyages(RULES)
+
+
+@pytest.mark.parametrize(
+    "avg_sog, hours, kind",
+    [
+        (0.49, 100.0, "stationary"), (0.5, 0.99, "short_move"), (0.5, 1.0, "coastal"),
+        (3.0, 11.99, "coastal"), (3.0, 12.0, "transit"), (None, 0.0, "short_move"), (None, 50.0, "transit"),
+    ],
+)
+def test_route_types(spark, avg_sog, hours, kind):
+    from wakeline.functions.classes import route_type
+
+    value = F.lit(avg_sog).cast("double")
+    assert spark.range(1).select(route_type(value, F.lit(hours), VoyageRules())).first()[0] == kind
+
+
+def test_class_is_decided_on_rounded_speed(spark):
+    """A mean of 0.496 rounds to 0.50 and is not stationary."""
+    t = dt.datetime(2025, 8, 15)
+    rows = [
+        {**{n: None for n in POSITION_SCHEMA.names}, "mmsi": 366000009,
+         "event_time": t + dt.timedelta(minutes=i), "latitude": 1.0, "longitude": 1.0, "sog": 0.496}
+        for i in range(3)
+    ]
+    only = voyages.voyage_candidates(spark.createDataFrame(rows, POSITION_SCHEMA), RULES).first()
+    assert (only["avg_sog"], only["candidate_route_type"]) == (0.5, "short_move")
+
+
+def test_track_is_ordered_and_cut_by_day(positions):
+    for mmsi, points in by_vessel().items():
+        pieces = tracks.vessel_track(positions, mmsi).orderBy("track_date").collect()
+        assert all(p["point_count"] == len(p["path"]) for p in pieces)
+        path = [tuple(p) for piece in pieces for p in piece["path"]]
+        assert path == [(p[3], p[2]) for p in points]
+
+
+def test_gap_has_to_be_positive():
+    with pytest.raises(ValueError):
+        VoyageRules(gap_hours=0)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from functools import reduce
 from operator import add
 
@@ -28,12 +29,11 @@ def daily_activity(positions: DataFrame) -> DataFrame:
     )
 
 
-def vessel_metadata(bronze: DataFrame) -> DataFrame:
-    """Per vessel the most complete description; ties go to the latest, then to
-    the greatest values.
+def vessel_descriptions(bronze: DataFrame, keys: Sequence[str] = ("mmsi",)) -> DataFrame:
+    """Every distinct description of a vessel with the time it was last sent.
 
-    Descriptions repeat on every report, so equal ones are folded first, in a
-    hash aggregate ahead of the shuffle; only distinct ones are compared.
+    Descriptions repeat on every report, so they fold in a hash aggregate ahead
+    of the shuffle. Folded days can be stored and merged.
     """
     fields = [name for name in METADATA_FIELDS if name in bronze.columns]
     time = (
@@ -41,18 +41,29 @@ def vessel_metadata(bronze: DataFrame) -> DataFrame:
         if "base_date_time" in bronze.columns
         else F.lit(None).cast("timestamp_ntz")
     )
-    distinct = (
+    return (
         bronze.where(F.col("mmsi").isNotNull())
-        .groupBy("mmsi", *fields)
-        .agg(F.max(time).alias("_latest"))
+        .groupBy(*keys, *fields)
+        .agg(F.max(time).alias("latest"))
     )
+
+
+def choose_descriptions(descriptions: DataFrame) -> DataFrame:
+    """Per vessel the most complete description; ties go to the latest, then to
+    the greatest values."""
+    fields = [name for name in METADATA_FIELDS if name in descriptions.columns]
     filled = reduce(add, (F.col(name).isNotNull().cast("int") for name in fields), F.lit(0))
-    best = distinct.groupBy("mmsi").agg(
-        F.max(F.struct(filled.alias("_filled"), "_latest", *fields)).alias("_")
+    best = descriptions.groupBy("mmsi").agg(
+        F.max(F.struct(filled.alias("_filled"), "latest", *fields)).alias("_")
     )
     return best.select("mmsi", *[F.col(f"_.{name}") for name in fields])
 
 
+def vessel_metadata(bronze: DataFrame) -> DataFrame:
+    """One description per vessel, from the metadata columns that are present."""
+    return choose_descriptions(vessel_descriptions(bronze))
+
+
 def route_metrics(voyages: DataFrame) -> DataFrame:
     """Vessels, mean duration, mean speed and points per route type and day."""
     return (

@@ -18,6 +18,26 @@ GOLD_TABLES = ["vessel_metadata", "vessel_daily_activity", "voyage_candidates",
 BRONZE_PARTITIONS = ["year", "month", "day"]
 
 
+def choose_root(bucket: str | None, local: str) -> str:
+    """The object store when a bucket is configured, else the local folder.
+
+    Credentials are the cluster's configuration and no business of the library.
+    """
+    if not bucket:
+        return local.rstrip("/")
+    name = bucket.removeprefix("s3://").removeprefix("s3a://").rstrip("/")
+    return f"s3a://{name}"
+
+
+def manifest_path(root: str) -> str:
+    return state_path(root, "manifest")
+
+
+def state_path(root: str, name: str) -> str:
+    """Where bookkeeping and mergeable intermediate tables live."""
+    return f"{root.rstrip('/')}/state/{name}"
+
+
 def layer_path(root: str, table: str) -> str:
     """Where a layer lives under ``root``, a path or an object-store address."""
     folder = {"bronze": "bronze", "vessel_positions": "silver", "silver_sample": "silver_sample"}
