@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wakeline.functions.exact import to_micro
+from wakeline.functions.times import epoch_seconds
 from wakeline.operators.voyages import finish_voyages
 from wakeline.rules import VoyageRules
 from wakeline.schema import POSITION_SCHEMA
@@ -32,9 +33,12 @@ def stream_voyages(
     A report later than the watermark is dropped, so reports may be at most
     ``watermark`` out of order; a rebuild from silver has no such limit.
     """
-    session = F.session_window("event_time", f"{int(rules.gap_seconds)} seconds")
+    # a watermark needs an instant; results keep the zone-free time
+    instant = F.timestamp_seconds(epoch_seconds(F.col("event_time")))
+    session = F.session_window("_instant", f"{int(rules.gap_seconds)} seconds")
     summaries = (
-        positions.withWatermark("event_time", watermark)
+        positions.withColumn("_instant", instant)
+        .withWatermark("_instant", watermark)
         .groupBy("mmsi", session)
         .agg(
             F.min("event_time").alias("start_time"),
