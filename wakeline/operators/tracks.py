@@ -25,6 +25,16 @@ def with_day(positions: DataFrame) -> DataFrame:
     return positions.withColumn("track_date", F.to_date("event_time"))
 
 
+def _placed(positions: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Positions of a known vessel and time, which cleaned ones are.
+
+    Saying so on both sides of a seam join lets them share one shuffle.
+    """
+    for name in (*keys, "event_time"):
+        positions = positions.where(F.col(name).isNotNull())
+    return with_day(positions)
+
+
 def day_window(keys: Sequence[str]):
     """Time order within one vessel and day, total on unique positions."""
     return Window.partitionBy(*keys, "track_date").orderBy(*_ORDER)
@@ -40,10 +50,13 @@ def with_previous(
     values: Sequence[str],
     keys: Sequence[str] = VESSEL,
 ) -> DataFrame:
-    """Add ``prev_<value>`` from the vessel's previous point, null at its first."""
+    """Add ``prev_<value>`` from the vessel's previous point, null at its first.
+
+    Rows without a key or time have no place in a track and are dropped.
+    """
     values = list(values)
     day = day_window(keys)
-    local = with_day(positions).withColumns(
+    local = _placed(positions, keys).withColumns(
         {
             "_first": F.lag("event_time").over(day).isNull(),
             "_last": F.lead("event_time").over(day).isNull(),
@@ -97,7 +110,7 @@ def voyage_segments(
     pause = opens_segment(F.lag("event_time").over(day), F.col("event_time"), rules)
     breaks = F.coalesce(pause, F.lit(0))
     local = (
-        with_day(positions)
+        _placed(positions, keys)
         .withColumns({"_break": breaks, "_last": F.lead("event_time").over(day).isNull()})
         .withColumns(
             {
@@ -125,7 +138,8 @@ def voyage_segments(
             ).alias("_first_id"),
         )
     )
-    joined = local.join(seams, [*keys, "track_date"])
+    # every day has its seam; an outer join only keeps both shuffles alike
+    joined = local.join(seams, [*keys, "track_date"], "left")
     return joined.select(
         *[local[name] for name in positions.columns],
         (F.col("_first_id") + F.col("_breaks")).alias("voyage_id"),
