@@ -1,8 +1,10 @@
 """Exact quantiles without gathering a column in one place.
 
-Equal values collapse into counts before any shuffle. The counts are summed in
-equal-width bins, a running total over the bins finds the ones that hold the
-wanted ranks, and only the values of those bins are put in order.
+One pass finds the span of a column and one counts its values in equal-width
+bins; both move a bounded number of rows per task. A running total over the bins
+names those that hold the wanted ranks, and a last pass keeps only their values,
+folds equal ones and puts them in order. Columns here are bounded by the cleaning
+rules, so a bin is a narrow range of coordinates or speeds.
 """
 
 from __future__ import annotations
@@ -32,42 +34,49 @@ def exact_quantiles(
             )
         ).alias("_")
     ).select("_.name", "_.value")
-    counts = (
-        long.where(F.col("value").isNotNull() & ~F.isnan("value"))
-        .groupBy("name", "value")
-        .agg(F.count(F.lit(1)).alias("n"))
-    )
+    values = long.where(F.col("value").isNotNull() & ~F.isnan("value"))
     # one row per column: a bounded side
-    spans = counts.groupBy("name").agg(
-        F.min("value").alias("lo"), F.max("value").alias("hi"), F.sum("n").alias("total")
+    spans = values.groupBy("name").agg(
+        F.min("value").alias("lo"), F.max("value").alias("hi"), F.count(F.lit(1)).alias("total")
     )
-    position = (F.col("total") - 1) * F.lit(float(fraction))
     share = F.try_divide(F.col("value") - F.col("lo"), F.col("hi") - F.col("lo"))
-    binned = counts.join(F.broadcast(spans), "name").select(
+    binned = values.join(F.broadcast(spans), "name").select(
         "name",
         "value",
-        "n",
-        F.floor(position).alias("rank_lo"),
-        F.ceil(position).alias("rank_hi"),
-        (position - F.floor(position)).alias("weight"),
+        "total",
         F.coalesce(F.floor(share * (bins - 1)), F.lit(0)).alias("bin"),
     )
+    position = (F.col("total") - 1) * F.lit(float(fraction))
     by_bin = Window.partitionBy("name").orderBy("bin")
     # at most two bins per column hold the wanted ranks
     wanted = (
-        binned.groupBy("name", "bin", "rank_lo", "rank_hi")
-        .agg(F.sum("n").alias("in_bin"))
+        binned.groupBy("name", "bin")
+        .agg(F.count(F.lit(1)).alias("in_bin"), F.max("total").alias("total"))
         .withColumn("upto", F.sum("in_bin").over(by_bin))
-        .withColumn("before", F.col("upto") - F.col("in_bin"))
+        .select(
+            "name",
+            "bin",
+            (F.col("upto") - F.col("in_bin")).alias("before"),
+            "upto",
+            F.floor(position).alias("rank_lo"),
+            F.ceil(position).alias("rank_hi"),
+            (position - F.floor(position)).alias("weight"),
+        )
         .where(
             F.col("rank_lo").between(F.col("before"), F.col("upto") - 1)
             | F.col("rank_hi").between(F.col("before"), F.col("upto") - 1)
         )
-        .select("name", "bin", "before")
+        .drop("upto")
+    )
+    counts = (
+        binned.select("name", "value", "bin")
+        .join(F.broadcast(wanted.select("name", "bin")), ["name", "bin"])
+        .groupBy("name", "bin", "value")
+        .agg(F.count(F.lit(1)).alias("n"))
     )
     by_value = Window.partitionBy("name", "bin").orderBy("value")
     ranked = (
-        binned.join(F.broadcast(wanted), ["name", "bin"])
+        counts.join(F.broadcast(wanted), ["name", "bin"])
         .withColumn("last", F.col("before") + F.sum("n").over(by_value) - 1)
         .withColumn("first", F.col("last") - F.col("n") + 1)
     )
