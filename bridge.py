@@ -7,6 +7,9 @@ derived columns from being worked out again inside every filter above it.
 
 from __future__ import annotations
 
+import tempfile
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -108,3 +111,16 @@ def attempts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def stages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.sql(STAGES_SQL, events=events(spark, sf_dir))
+
+
+def scratch(spark: SparkSession) -> str:
+    """A new place in the folder all executors share, for queries that write and read back.
+
+    Only a local session, as in tests, may have none configured.
+    """
+    shared = spark.conf.get("spark.checkpoint.dir", None)
+    if shared is None:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir names no shared folder")
+        shared = tempfile.mkdtemp(prefix="run-scratch-", dir="/tmp")
+    return f"{shared.rstrip('/')}/{uuid.uuid4().hex}"

@@ -330,6 +330,15 @@ def oracle() -> dict[str, str]:
     assert set(legacy) == set(REPORT_COLUMNS)
     return {
         "normalize_columns": s("select * from reports", "reports"),
+        "scan_reports": s(f"select {', '.join(REPORT_COLUMNS)} from reports", "reports"),
+        "scan_reports_quarantine": s(
+            "select concat("
+            + ", ',', ".join(f"coalesce(cast({c} as varchar), '')" for c in REPORT_COLUMNS)
+            + ", ',x,y') as line from reports where report_id % 7 = 0",
+            "reports",
+        ),
+        "gold_scan": s("select * from activity", "activity"),
+        "bronze_to_gold_run": s("select * from routes", "routes"),
         "file_dates": s(
             "select attempt_id, file_name, nullif(regexp_extract(file_name,"
             " '(\\d{4}-\\d{2}-\\d{2})', 1), '') as file_date from attempts",

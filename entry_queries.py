@@ -12,10 +12,11 @@ from wakeline.functions.times import date_from_file_name, date_parts
 from wakeline.operators import analytics as an
 from wakeline.operators import clean, gold, quality, sampling, tracks
 from wakeline.operators import voyages as vy
-from wakeline.plans import metrics
+from wakeline.plans import daily, metrics
 from wakeline.rules import VoyageRules
+from wakeline.schema import BRONZE_SCHEMA, REPORT_SCHEMA
+from wakeline.sources import files, tables
 from wakeline.sources import manifest as mf
-from wakeline.sources import tables
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -80,6 +81,55 @@ def normalize_columns(spark, sf_dir):
     return clean.rename_legacy_columns(reports(spark, sf_dir).withColumnsRenamed(legacy))
 
 
+@query
+def scan_reports(spark, sf_dir):
+    """All reports written as CSV, each half under another header style, and read back."""
+    folder, sent = bridge.scratch(spark), reports(spark, sf_dir)
+    current = sent.where("transceiver = 'A'").select(*REPORT_SCHEMA.names)
+    older = sent.where("transceiver = 'B'").select(
+        *[F.col(new).alias(old) for old, new in clean.LEGACY_NAMES.items()]
+    )
+    paths = [f"{folder}/current", f"{folder}/older"]
+    for frame, path in zip((current, older), paths):
+        frame.write.option("header", True).option("compression", "gzip").csv(path)
+    return files.scan_reports(spark, paths).drop("file_name")
+
+
+@query
+def scan_reports_quarantine(spark, sf_dir):
+    """Lines with fields too many, out of all reports written as text."""
+    header = ",".join(REPORT_SCHEMA.names)
+    fields = [F.coalesce(F.col(c).cast("string"), F.lit("")) for c in REPORT_SCHEMA.names]
+    surplus = F.when(F.col("report_id") % 7 == 0, ",x,y").otherwise("")
+    lines = reports(spark, sf_dir).select(F.concat(F.concat_ws(",", *fields), surplus).alias(header))
+    path = bridge.scratch(spark)
+    lines.write.option("header", True).option("sep", "\u0001").option("quote", "\u0000").csv(path)
+    _, bad = files.scan_reports_quarantine(spark, path)
+    return bad.select("line")
+
+
+@query
+def gold_scan(spark, sf_dir):
+    """Activity written by date, one date replaced, and read back with its types."""
+    root, per_day = bridge.scratch(spark), activity(spark, sf_dir)
+    path = tables.layer_path(root, "vessel_daily_activity")
+    tables.write_full(per_day, path, ["activity_date"])
+    one = per_day.where(F.col("activity_date") == F.lit(DAY).cast("date"))
+    tables.write_partitioned(one, path, ["activity_date"])
+    return tables.read_table(spark, root, "vessel_daily_activity")
+
+
+@query
+def bronze_to_gold_run(spark, sf_dir):
+    """A whole run over bronze partitions, then one day again; its route metrics."""
+    root = bridge.scratch(spark)
+    bronze = bridge.bronze(spark, sf_dir).select(*BRONZE_SCHEMA.names)
+    tables.write_partitioned(bronze, tables.layer_path(root, "bronze"), tables.BRONZE_PARTITIONS)
+    daily.run_all(spark, root, rules=RULES, gate=False)
+    daily.run_day(spark, root, DAY, rules=RULES, gate=False)
+    return tables.read_table(spark, root, "route_metrics")
+
+
 @query
 def file_dates(spark, sf_dir):
     return bridge.attempts(spark, sf_dir).select(
@@ -411,11 +461,11 @@ def speed_histogram(spark, sf_dir):
 
 @query
 def kpi_summary(spark, sf_dir):
-    daily = activity(spark, sf_dir)
+    per_day = activity(spark, sf_dir)
     return an.kpi_summary(
-        daily,
+        per_day,
         metadata(spark, sf_dir),
-        an.filter_activity(daily, low=5.0, high=20.0),
+        an.filter_activity(per_day, low=5.0, high=20.0),
         an.filter_route_types(voyages(spark, sf_dir), ["transit", "coastal"]),
     )
 

@@ -15,7 +15,7 @@ def make_session(cores: int | str = 8, timezone: str = "America/New_York") -> Sp
         SparkSession.builder.master(f"local[{cores}]")
         .appName("wakeline")
         .config("spark.ui.enabled", "false")
-        .config("spark.sql.shuffle.partitions", "8")
+        .config("spark.sql.shuffle.partitions", "4")
         .config("spark.sql.session.timeZone", timezone)
         .config("spark.driver.memory", "8g")
         .config("spark.sql.warehouse.dir", tempfile.mkdtemp(prefix="run-warehouse-", dir="/tmp"))

@@ -68,6 +68,21 @@ def test_null_stratum_is_a_stratum(points):
     assert sorted(r["count"] for r in got) == [7, 7, 7]
 
 
+def test_many_strata_are_joined_by_a_shuffle(points):
+    few = sampling.stratified_sample(points, 20)
+    many = sampling.stratified_sample(points, 20, strata_count=10**9)
+    assert keys(few) == keys(many)
+    plans = [f._jdf.queryExecution().executedPlan().toString() for f in (few, many)]
+    assert "BroadcastExchange" in plans[0]
+
+
+def test_daily_sample_keeps_the_layout(points):
+    full = points.withColumns({"latitude": F.lit(1.0), "longitude": F.lit(2.0), "vessel_type": F.lit(70)})
+    sample = sampling.daily_position_sample(full, 30)
+    assert sample.columns == [*sampling.SAMPLE_COLUMNS, "source_date"]
+    assert keys(sample) == keys(sampling.stratified_sample(points, 30))
+
+
 def test_proportional_share(points):
     per_date = {
         r["source_date"]: r["count"]

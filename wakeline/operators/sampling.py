@@ -12,11 +12,13 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from wakeline.schema import SAMPLE_COLUMNS
 
 SEED = 42
 ROWS_PER_DAY = 60_000
+BROADCAST_STRATA = 1_000_000
 PREFIX_DIGITS = 4
 DEFAULT_KEY = ("mmsi", "event_time")
 
@@ -27,19 +29,22 @@ def _row_hash(key: Sequence[str], seed: int) -> Column:
 
 def stratified_sample(
     frame: DataFrame,
-    n: int | Column,
+    n: int,
     strata: Sequence[str] = ("source_date",),
     key: Sequence[str] = DEFAULT_KEY,
     seed: int = SEED,
     prefix_digits: int = PREFIX_DIGITS,
+    strata_count: int | None = None,
 ) -> DataFrame:
     """Up to ``n`` rows of each stratum, which is all of a smaller one.
 
-    ``strata`` are columns of few values, such as dates: the cut table has one
-    row per stratum. ``key`` identifies a row. ``n`` may be a column over strata.
+    ``key`` identifies a row. The cuts, a row per stratum, are broadcast when there
+    are few enough strata: a date has a bounded number of values, anything else is
+    counted first unless ``strata_count`` says how many there are. Beyond that the
+    cuts are joined by a shuffle.
     """
     strata = list(strata)
-    wanted = n if isinstance(n, Column) else F.lit(int(n))
+    wanted = F.lit(int(n))
     hashed = frame.withColumn("_hash", _row_hash(key, seed)).withColumn(
         "_prefix", F.substring("_hash", 1, prefix_digits)
     )
@@ -47,7 +52,8 @@ def stratified_sample(
     if strata:
         same = [hashed[s].eqNullSafe(cuts[f"_s{i}"]) for i, s in enumerate(strata)]
         condition = [*same, hashed["_prefix"] <= cuts["_cut"]]
-        near = hashed.join(F.broadcast(cuts), condition)
+        small = _few_strata(frame, strata, strata_count)
+        near = hashed.join(F.broadcast(cuts) if small else cuts, condition)
     else:
         cut = cuts.select(F.struct("_cut", "_room").alias("_")).scalar()
         near = (
@@ -63,6 +69,15 @@ def stratified_sample(
     return chosen.select(*frame.columns)
 
 
+def _few_strata(frame: DataFrame, strata: list[str], known: int | None) -> bool:
+    if known is None:
+        types = {f.name: f.dataType for f in frame.schema.fields}
+        if len(strata) == 1 and isinstance(types[strata[0]], T.DateType):
+            return True  # all dates there are come to less than four million
+        known = frame.select(*strata).distinct().limit(BROADCAST_STRATA + 1).count()
+    return known <= BROADCAST_STRATA
+
+
 def _cuts(hashed: DataFrame, strata: list[str], wanted: Column) -> DataFrame:
     """Per stratum the prefix in which the sample fills up and the room left in it."""
     named = [F.col(s).alias(f"_s{i}") for i, s in enumerate(strata)]
@@ -97,14 +112,16 @@ def proportional_sample(
     seed: int = SEED,
 ) -> DataFrame:
     """An equal share of ``n`` from every stratum, ``minimum`` at least, then at most ``n``."""
-    groups = frame.select(*strata).distinct().agg(F.count(F.lit(1)).alias("groups")).scalar()
-    share = F.greatest(F.floor(F.lit(int(n)) / groups), F.lit(int(minimum)))
-    return capped_sample(stratified_sample(frame, share, strata, key, seed), n, key, seed)
+    groups = frame.select(*strata).distinct().count()
+    share = max(n // max(groups, 1), minimum)
+    shares = stratified_sample(frame, share, strata, key, seed, strata_count=groups)
+    return capped_sample(shares, n, key, seed)
 
 
 def daily_position_sample(
     positions: DataFrame, rows_per_day: int = ROWS_PER_DAY, seed: int = SEED
 ) -> DataFrame:
     """The dashboard's position sample: few columns, a fixed number of rows per day."""
-    columns = positions.select(*SAMPLE_COLUMNS, "source_date")
-    return stratified_sample(columns, rows_per_day, ("source_date",), DEFAULT_KEY, seed)
+    days = positions.select(*SAMPLE_COLUMNS, F.col("source_date").cast("date"))
+    sample = stratified_sample(days, rows_per_day, ("source_date",), DEFAULT_KEY, seed)
+    return sample.withColumn("source_date", F.col("source_date").cast("string"))

@@ -150,7 +150,8 @@ def vessel_track(positions: DataFrame, mmsi: int | None = None) -> DataFrame:
     """Time-ordered [longitude, latitude] path of every vessel, one row per day.
 
     A path is a list, and a list has to fit one row, so a track is cut by day;
-    read in ``track_date`` order the pieces are the whole path.
+    read in ``track_date`` order the pieces are the whole path. Positions are
+    unique per vessel and second, which bounds a piece at 86,400 points.
     """
     points = positions if mmsi is None else positions.where(F.col("mmsi") == F.lit(mmsi))
     ordered = F.array_sort(

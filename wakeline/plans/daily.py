@@ -99,7 +99,13 @@ def run_dates(
         before = _event_dates(spark, root, source_dates)
         read = Observation()
         silver = build_silver(bronze.observe(read, F.count(F.lit(1)).alias("rows")))
-        metric.output_rows = publish("vessel_positions", silver, source_dates is None)
+        metric.output_rows = publish(
+            "vessel_positions",
+            silver,
+            source_dates is None,
+            # one date needs no gathering, every writer has that date only
+            gather=source_dates is None or len(source_dates) > 1,
+        )
         metric.input_rows = read.get["rows"]
 
     touched = None
@@ -153,27 +159,30 @@ def _publish(
     table: str,
     frame: DataFrame,
     everything: bool,
+    gather: bool = True,
 ) -> int:
     """Write a table, or the partitions in ``frame``, by way of its quality gate."""
     schema, partitions, _ = TABLES[table]
     frame = frame.select(*schema.names)
     path = layer_path(root, table)
     if table not in suites:
-        return _write(frame, path, partitions, everything)
+        return _write(frame, path, partitions, everything, gather)
     # one staging place per table, replaced by the next run
     staged = f"{root.rstrip('/')}/staging/{table}"
-    rows = _write(frame, staged, partitions, True)
+    rows = _write(frame, staged, partitions, True, gather)
     checked = spark.read.schema(schema).parquet(staged)
     require_passed(suites[table](checked))
-    _write(checked, path, partitions, everything)
+    _write(checked, path, partitions, everything, gather=False)
     return rows
 
 
-def _write(frame: DataFrame, path: str, partitions: list[str], everything: bool) -> int:
+def _write(
+    frame: DataFrame, path: str, partitions: list[str], everything: bool, gather: bool = True
+) -> int:
     """Write and count in the same job."""
     seen = Observation()
     counted = frame.observe(seen, F.count(F.lit(1)).alias("rows"))
-    if partitions:
+    if partitions and gather:
         # gathers a partition's rows in few files, and splits one that is too large
         counted = counted.hint("rebalance", *[F.col(c) for c in partitions])
     if everything or not partitions:
