@@ -344,7 +344,7 @@ def oracle() -> dict[str, str]:
             " '(\\d{4}-\\d{2}-\\d{2})', 1), '') as file_date from attempts",
             "attempts",
         ),
-        "date_parts_of_reports": s(
+        "date_parts": s(
             "select report_id, cast(year(cast(source_date as date)) as int) as year,"
             " cast(month(cast(source_date as date)) as int) as month,"
             " cast(day(cast(source_date as date)) as int) as day from reports",

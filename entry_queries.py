@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import bridge
-from wakeline.functions.times import date_from_file_name, date_parts
+from wakeline.functions import times
 from wakeline.operators import analytics as an
 from wakeline.operators import clean, gold, quality, sampling, tracks
 from wakeline.operators import voyages as vy
@@ -133,13 +133,13 @@ def bronze_to_gold_run(spark, sf_dir):
 @query
 def file_dates(spark, sf_dir):
     return bridge.attempts(spark, sf_dir).select(
-        "attempt_id", "file_name", date_from_file_name(F.col("file_name")).alias("file_date")
+        "attempt_id", "file_name", times.date_from_file_name(F.col("file_name")).alias("file_date")
     )
 
 
 @query
-def date_parts_of_reports(spark, sf_dir):
-    return reports(spark, sf_dir).select("report_id", *date_parts(F.col("source_date")))
+def date_parts(spark, sf_dir):
+    return reports(spark, sf_dir).select("report_id", *times.date_parts(F.col("source_date")))
 
 
 @query

@@ -12,7 +12,7 @@ from wakeline.operators import quality, voyages
 from wakeline.plans import daily, metrics
 from wakeline.rules import VoyageRules
 from wakeline.schema import TABLES
-from wakeline.sources.ingest import ingest_pending
+from wakeline.sources.ingest import ingest_day, ingest_pending
 from wakeline.sources.tables import (
     choose_root,
     layer_path,
@@ -105,8 +105,6 @@ def test_corrected_day_replaces_the_old_one(spark, tmp_path):
     assert read_table(spark, root, "vessel_daily_activity").where(emptied).count() == 1
 
     write_day(raw, "2025-08-16", rows)
-    from wakeline.sources.ingest import ingest_day
-
     ingest_day(spark, str(raw / "ais-2025-08-16.csv.zst"), root)
     daily.run_day(spark, root, "2025-08-16")
     assert read_table(spark, root, "vessel_daily_activity").where(emptied).count() == 0
