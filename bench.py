@@ -24,27 +24,19 @@ from wakeline.operators import voyages as vy
 
 HEADLINE = [
     "build_silver",
-    "dedup_positions",
     "daily_activity",
     "voyage_candidates",
     "voyage_segments",
     "voyage_sessions",
     "time_gaps",
-    "distance_nm",
     "vessel_metadata",
     "route_metrics",
     "activity_enriched",
-    "activity_by_vessel_type",
     "top_active_vessels",
-    "speed_histogram",
     "speed_ratio",
-    "map_center",
     "kpi_summary",
     "stratified_sample",
-    "capped_sample",
-    "vessel_track",
     "quality_silver",
-    "null_report",
     "profile_columns",
     "manifest_latest",
 ]
@@ -125,7 +117,7 @@ def scaled(spark: SparkSession, sf_dir: str, times: int) -> dict[str, float]:
 
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
-    times = int(os.environ.get("BENCH_COPIES", "60"))
+    times = int(os.environ.get("BENCH_COPIES", "20"))
     names = os.environ.get("BENCH_QUERIES", ",".join(HEADLINE)).split(",")
     spark = session()
     seconds = {
