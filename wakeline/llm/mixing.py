@@ -112,8 +112,12 @@ def _fold(items: DataFrame, level: int) -> DataFrame:
     bucket = F.pmod(F.xxhash64("doc_id", "occurrence", F.lit(level)), chunks)
     start = F.struct(F.lit(None).cast(ITEM).alias("held"), F.array().cast(DONE).alias("done"))
     folded = F.aggregate(F.array_sort("items"), start, _exchange(level))
+    # dealt by chunk, or Spark would keep a source that an earlier join brought together in one task
+    dealt = items.select("*", bucket.alias("bucket"), chunks.alias("chunks")).repartition(
+        "source", "bucket"
+    )
     return (
-        items.groupBy("source", bucket.alias("bucket"), chunks.alias("left"))
+        dealt.groupBy("source", "bucket", F.col("chunks").alias("left"))
         .agg(F.collect_list(F.struct("size", "key", "doc_id", "occurrence", "base", "part")).alias("items"))
         .select("source", "left", folded.alias("folded"))
         .select("source", "left", "folded.held", "folded.done")

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wakeline.llm import mixing, packing
+from wakeline.llm import langid, mixing, ngram_join, packing, quality_rules, secrets, toxicity
 
 QUERIES = {}
 ORACLE: dict[str, str] = {}
@@ -47,3 +47,37 @@ def op1_best_fit_packing(spark, sf_dir):
 @query
 def op10_mix_sources(spark, sf_dir):
     return mixing.mix(documents(spark, sf_dir))
+
+
+@query
+def op2_robust_quality(spark, sf_dir):
+    return quality_rules.quality(documents(spark, sf_dir))
+
+
+@query
+def op3_secret_scan(spark, sf_dir):
+    spans = F.col("spans")
+    n = {k: F.size(F.filter(spans, lambda s, o=o: s["order"] == o)).cast("long") for o, k in enumerate(secrets.BASE_KINDS)}
+    base = F.filter(spans, lambda s: s["order"] < len(secrets.BASE_KINDS))
+    return secrets.scan(documents(spark, sf_dir)).select(
+        "doc_id",
+        *[c.alias(f"n_{k}") for k, c in n.items()],
+        F.sha2(secrets.span_text(base), 256).alias("base_sha256"),
+        secrets.span_text(spans).alias("spans"),
+    )
+
+
+@query
+def op4_language_codes(spark, sf_dir):
+    return langid.identify(documents(spark, sf_dir))
+
+
+@query
+def op5_toxicity_models(spark, sf_dir):
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
+    return toxicity.toxicity(documents(spark, sf_dir), labels)
+
+
+@query
+def op7_ngram_join(spark, sf_dir):
+    return ngram_join.similar_groups(documents(spark, sf_dir))
