@@ -5,7 +5,18 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wakeline.llm import langid, mixing, ngram_join, packing, quality_rules, secrets, toxicity
+from wakeline.llm import (
+    embedding_dedup,
+    langid,
+    license_scan,
+    line_dedup,
+    mixing,
+    ngram_join,
+    packing,
+    quality_rules,
+    secrets,
+    toxicity,
+)
 
 QUERIES = {}
 ORACLE: dict[str, str] = {}
@@ -81,3 +92,18 @@ def op5_toxicity_models(spark, sf_dir):
 @query
 def op7_ngram_join(spark, sf_dir):
     return ngram_join.similar_groups(documents(spark, sf_dir))
+
+
+@query
+def op6_line_join(spark, sf_dir):
+    return line_dedup.line_report(documents(spark, sf_dir))
+
+
+@query
+def op8_license_alignment(spark, sf_dir):
+    return license_scan.scan(documents(spark, sf_dir))
+
+
+@query
+def op9_vector_forest(spark, sf_dir):
+    return embedding_dedup.near_vectors(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
