@@ -69,7 +69,7 @@ ATTEMPTS_SQL = """
     substr(cast(ts as string), 1, 10) as source_date,
     case when event_type = 'error' then 'failed' else 'success' end as status,
     case when event_type = 'error' then props end as error
-  from {events} where event_type <> 'view'
+  from {events}
 """
 
 # One row per stage of a run: a run per day and user.

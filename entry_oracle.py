@@ -71,6 +71,15 @@ def voyages_sql(gap_seconds: int, points: int, slow: float, short: float, coasta
   ) where point_count >= {points}"""
 
 
+def activity_sql(positions: str) -> str:
+    return f"""
+  select mmsi, cast(event_time as date) as activity_date, count(*) as point_count,
+         {mean("sog")} as avg_sog, {half_up("max(sog)")} as max_sog,
+         {half_up("min(sog)")} as min_sog, min(event_time) as first_seen_time,
+         max(event_time) as last_seen_time
+  from {positions} group by 1, 2"""
+
+
 # Named steps and the steps each one reads.
 STEPS: dict[str, tuple[str, list[str]]] = {
     "base": (bridge.BASE_SQL.format(events="events"), []),
@@ -101,13 +110,9 @@ STEPS: dict[str, tuple[str, list[str]]] = {
       cargo nulls first) = 1""",
         ["valid"],
     ),
-    "activity": (
-        f"""
-  select mmsi, cast(event_time as date) as activity_date, count(*) as point_count,
-         {mean("sog")} as avg_sog, {half_up("max(sog)")} as max_sog,
-         {half_up("min(sog)")} as min_sog, min(event_time) as first_seen_time,
-         max(event_time) as last_seen_time
-  from silver group by 1, 2""",
+    "activity": (activity_sql("silver"), ["silver"]),
+    "activity_without_a_day": (
+        activity_sql(f"(select * from silver where source_date <> '{DAY}')"),
         ["silver"],
     ),
     "metadata": (
@@ -337,7 +342,18 @@ def oracle() -> dict[str, str]:
             + ", ',x,y') as line from reports where report_id % 7 = 0",
             "reports",
         ),
+        "scan_reports_clean": s(
+            f"select {', '.join(REPORT_COLUMNS)} from reports where report_id % 7 <> 0", "reports"
+        ),
         "gold_scan": s("select * from activity", "activity"),
+        "gated_run": s("select * from activity", "activity"),
+        "rerun_empty_day": s("select * from activity_without_a_day", "activity_without_a_day"),
+        "sample_layer": s(
+            "select mmsi, latitude, longitude, sog, vessel_type, event_time, source_date"
+            " from silver qualify row_number() over (partition by source_date"
+            f" order by {row_hash('mmsi', 'event_time')}, mmsi, event_time) <= 20",
+            "silver",
+        ),
         "bronze_to_gold_run": s("select * from routes", "routes"),
         "file_dates": s(
             "select attempt_id, file_name, nullif(regexp_extract(file_name,"
@@ -352,8 +368,8 @@ def oracle() -> dict[str, str]:
         ),
         "manifest_latest": s("select * from latest", "latest"),
         "manifest_pending": s(
-            "select distinct concat('ais-', substr(cast(ts as varchar), 1, 10), '-', user_id,"
-            " '.csv.zst') as file_name from events except"
+            "select distinct concat('ais-', substr(cast(ts as varchar), 1, 10), '-', user_id + k,"
+            " '.csv.zst') as file_name from events, (values (0), (1)) as t(k) except"
             " select file_name from latest where status = 'success'",
             "latest",
         ),
@@ -537,15 +553,20 @@ def oracle() -> dict[str, str]:
             f"select * from enriched where lower(coalesce(vessel_name, '')) like '%{NAME}%'",
             "enriched",
         ),
+        "search_name_literal": s(
+            f"select * from enriched where lower(coalesce(vessel_name, '')) like '%{NAME}%'",
+            "enriched",
+        ),
         "voyages_by_name": s(
             "select * from voyages where mmsi in (select mmsi from enriched"
             f" where lower(coalesce(vessel_name, '')) like '%{NAME}%')",
             "voyages",
             "enriched",
         ),
-        "voyage_arcs": s(
+        "voyage_arcs": s("select * from arcs", "arcs"),
+        "voyage_arcs_drawn": s(
             f"select * from arcs order by {row_hash('mmsi', 'start_time')}, mmsi, start_time"
-            " limit 2000",
+            " limit 300",
             "arcs",
         ),
         "activity_enriched": s("select * from enriched", "enriched"),

@@ -95,19 +95,31 @@ def scan_reports(spark, sf_dir):
     return files.scan_reports(spark, paths).drop("file_name")
 
 
-@query
-def scan_reports_quarantine(spark, sf_dir):
-    """Lines with fields too many, out of all reports written as text."""
+def _with_surplus(spark, sf_dir) -> str:
+    """All reports written as text, every seventh with two fields too many."""
     header = ",".join(REPORT_SCHEMA.names)
     fields = [F.coalesce(F.col(c).cast("string"), F.lit("")) for c in REPORT_SCHEMA.names]
     surplus = F.when(F.col("report_id") % 7 == 0, ",x,y").otherwise("")
     lines = reports(spark, sf_dir).select(F.concat(F.concat_ws(",", *fields), surplus).alias(header))
     path = bridge.scratch(spark)
     lines.write.option("header", True).option("sep", "\u0001").option("quote", "\u0000").csv(path)
-    _, bad = files.scan_reports_quarantine(spark, path)
+    return path
+
+
+@query
+def scan_reports_quarantine(spark, sf_dir):
+    """Lines with fields too many, out of all reports written as text."""
+    _, bad = files.scan_reports_quarantine(spark, _with_surplus(spark, sf_dir))
     return bad.select("line")
 
 
+@query
+def scan_reports_clean(spark, sf_dir):
+    """What quarantine leaves, out of all reports written as text."""
+    clean, _ = files.scan_reports_quarantine(spark, _with_surplus(spark, sf_dir))
+    return clean.drop("file_name")
+
+
 @query
 def gold_scan(spark, sf_dir):
     """Activity written by date, one date replaced, and read back with its types."""
@@ -130,6 +142,50 @@ def bronze_to_gold_run(spark, sf_dir):
     return tables.read_table(spark, root, "route_metrics")
 
 
+@query
+def gated_run(spark, sf_dir):
+    """A run whose layers pass their checks in staging; its activity."""
+    root = bridge.scratch(spark)
+    bronze = bridge.bronze(spark, sf_dir).select(*BRONZE_SCHEMA.names)
+    tables.write_partitioned(bronze, tables.layer_path(root, "bronze"), tables.BRONZE_PARTITIONS)
+    suites = {
+        "bronze": lambda f: quality.run_checks(f, "bronze", [quality.row_count(1)]),
+        "vessel_positions": lambda f: quality.run_checks(
+            f,
+            "vessel_positions",
+            [quality.null_rate("mmsi", 0.0), quality.value_range("latitude", -90.0, 90.0)],
+        ),
+        "vessel_daily_activity": lambda f: quality.run_checks(
+            f, "vessel_daily_activity", [quality.duplicate_rate(["mmsi", "activity_date"], 0.0)]
+        ),
+    }
+    daily.run_all(spark, root, rules=RULES, gate=True, suites=suites)
+    return tables.read_table(spark, root, "vessel_daily_activity")
+
+
+@query
+def rerun_empty_day(spark, sf_dir):
+    """A whole run, then the run of a day that has lost all its reports; its activity."""
+    root = bridge.scratch(spark)
+    bronze = bridge.bronze(spark, sf_dir).select(*BRONZE_SCHEMA.names)
+    path = tables.layer_path(root, "bronze")
+    tables.write_partitioned(bronze, path, tables.BRONZE_PARTITIONS)
+    daily.run_all(spark, root, rules=RULES, gate=False)
+    none = bronze.where("source_date = 'none'")
+    year, month, day = map(int, DAY.split("-"))
+    tables.replace_partitions(none, path, tables.BRONZE_PARTITIONS, [(year, month, day)])
+    daily.run_day(spark, root, DAY, rules=RULES, gate=False)
+    return tables.read_table(spark, root, "vessel_daily_activity")
+
+
+@query
+def sample_layer(spark, sf_dir):
+    """The position sample written by date and found where there is no silver layer."""
+    root = bridge.scratch(spark)
+    sampling.write_position_sample(silver(spark, sf_dir), root, rows_per_day=20)
+    return tables.resolve_positions(spark, root)
+
+
 @query
 def file_dates(spark, sf_dir):
     return bridge.attempts(spark, sf_dir).select(
@@ -149,16 +205,13 @@ def manifest_latest(spark, sf_dir):
 
 @query
 def manifest_pending(spark, sf_dir):
-    seen = bridge.events(spark, sf_dir).select(
-        F.concat(
-            F.lit("ais-"),
-            F.substring(F.col("ts").cast("string"), 1, 10),
-            F.lit("-"),
-            F.col("user_id").cast("string"),
-            F.lit(".csv.zst"),
-        ).alias("file_name")
-    )
-    return mf.pending_files(seen.distinct(), bridge.attempts(spark, sf_dir))
+    """Files of every event, and of the next user on its day, who may have had no load yet."""
+    day = F.substring(F.col("ts").cast("string"), 1, 10)
+    users = F.explode(F.array("user_id", F.col("user_id") + 1)).alias("user_id")
+    name = F.concat(F.lit("ais-"), "day", F.lit("-"), F.col("user_id").cast("string"), F.lit(".csv.zst"))
+    seen = bridge.events(spark, sf_dir).select(day.alias("day"), users)
+    files_seen = seen.select(name.alias("file_name")).distinct()
+    return mf.pending_files(files_seen, bridge.attempts(spark, sf_dir))
 
 
 @query
@@ -417,6 +470,11 @@ def search_name(spark, sf_dir):
     return an.search_name(enriched(spark, sf_dir), NAME)
 
 
+@query
+def search_name_literal(spark, sf_dir):
+    return an.search_name(enriched(spark, sf_dir), "vessel 1", regex=False)
+
+
 @query
 def voyages_by_name(spark, sf_dir):
     return an.voyages_by_name(voyages(spark, sf_dir), enriched(spark, sf_dir), NAME)
@@ -424,9 +482,14 @@ def voyages_by_name(spark, sf_dir):
 
 @query
 def voyage_arcs(spark, sf_dir):
-    return sampling.capped_sample(
-        an.voyage_arcs(voyages(spark, sf_dir)), 2000, key=("mmsi", "start_time")
-    )
+    return an.voyage_arcs(voyages(spark, sf_dir))
+
+
+@query
+def voyage_arcs_drawn(spark, sf_dir):
+    """As many arcs as one map draws."""
+    arcs = an.voyage_arcs(voyages(spark, sf_dir))
+    return sampling.capped_sample(arcs, 300, key=("mmsi", "start_time"))
 
 
 @query

@@ -114,6 +114,66 @@ def test_corrected_day_replaces_the_old_one(spark, tmp_path):
     same(spark, root, clean_root)
 
 
+def test_emptied_day_equals_a_rebuild(spark, tmp_path):
+    raw, root, clean_root = tmp_path / "raw", str(tmp_path / "a"), str(tmp_path / "b")
+    make_raw(raw)
+    ingest_pending(spark, str(raw), root)
+    daily.run_all(spark, root)
+    write_day(raw, DAYS[1], [])
+    ingest_day(spark, str(raw / f"ais-{DAYS[1]}.csv.zst"), root)
+    daily.run_day(spark, root, DAYS[1], gate=False)
+    assert read_bronze(spark, root, DAYS[1]).count() == 0
+    assert read_positions(spark, root, DAYS[1]).count() == 0
+    ingest_pending(spark, str(raw), clean_root)
+    daily.run_all(spark, clean_root, gate=False)
+    same(spark, root, clean_root)
+
+
+def test_another_gap_does_not_mix_with_stored_fragments(spark, raw, tmp_path):
+    root, clean_root = str(tmp_path / "a"), str(tmp_path / "b")
+    ingest_pending(spark, str(raw), root)
+    daily.run_all(spark, root)
+    short = VoyageRules(gap_hours=2.0)
+    daily.run_day(spark, root, DAYS[2], rules=short)
+    ingest_pending(spark, str(raw), clean_root)
+    daily.run_all(spark, clean_root, rules=short)
+    same(spark, root, clean_root)
+
+
+def test_a_day_opens_and_replaces_what_it_concerns(spark, raw, tmp_path):
+    root = str(tmp_path)
+    ingest_pending(spark, str(raw), root)
+    daily.run_all(spark, root)
+    days = {dt.date.fromisoformat(DAYS[2])}
+    near = daily._on_event_days(spark, root, read_positions(spark, root), days)
+    plan = near._jdf.queryExecution().executedPlan().toString()
+    assert f"PartitionFilters: [source_date" in plan.replace("isnotnull(source_date#", "source_date")
+    assert {r[0] for r in near.select("source_date").distinct().collect()} == {DAYS[2]}
+
+    def files(table):
+        return {str(p): p.stat().st_mtime_ns for p in (tmp_path / "gold" / table).rglob("*.parquet")}
+
+    before = files("voyage_candidates"), files("vessel_daily_activity")
+    daily.run_day(spark, root, DAYS[2])
+    assert files("voyage_candidates") == before[0]
+    kept = {p for p, at in files("vessel_daily_activity").items() if before[1].get(p) == at}
+    assert any("2025-08-15" in p for p in kept) and not any(DAYS[2] in p for p in kept)
+
+
+def test_failed_serving_does_not_undo_the_run(spark, raw, tmp_path, monkeypatch):
+    root = str(tmp_path)
+    ingest_pending(spark, str(raw), root, file_limit=1)
+
+    def refuse(*_):
+        raise OSError("no route to the database")
+
+    monkeypatch.setattr(daily, "load_gold_tables", refuse)
+    daily.run_all(spark, root, database=object(), run_id="served")
+    stages = spark.read.parquet(state_path(root, "stage_metrics")).where("stage = 'gold_to_database'")
+    assert [(s["status"], s["error"]) for s in stages.collect()] == [("failed", "no route to the database")]
+    assert read_table(spark, root, "route_metrics").count() > 0
+
+
 def test_failed_gate_leaves_the_table(spark, raw, tmp_path):
     root = str(tmp_path)
     ingest_pending(spark, str(raw), root, file_limit=1)
@@ -136,7 +196,13 @@ def test_stage_metrics(spark, full):
     assert rows["bronze_to_silver"]["input_rows"] == read_bronze(spark, full).count()
     assert rows["voyages_to_routes"]["output_rows"] == read_table(spark, full, "route_metrics").count()
     summary = metrics.run_summary(stages).first()
-    assert (summary["total_stages"], summary["stages_passed"], summary["stages_failed"]) == (5, 5, 0)
+    assert (summary["total_stages"], summary["stages_passed"], summary["stages_failed"]) == (6, 5, 0)
+    for name in ("silver_to_activity", "silver_to_voyages"):
+        assert rows[name]["input_rows"] == read_positions(spark, full).count()
+    assert rows["bronze_to_metadata"]["input_rows"] == read_bronze(spark, full).count()
+    assert rows["voyages_to_routes"]["input_rows"] == read_table(spark, full, "voyage_candidates").count()
+    served = rows["gold_to_database"]
+    assert (served["status"], served["error"]) == ("skipped", "no database is configured")
     assert metrics.run_stages(stages).first()["stage"] == "bronze_to_silver"
 
 

@@ -164,3 +164,79 @@ def test_stream_takes_each_file_once(spark, tmp_path):
     write_day(raw, "", [], name="ais-nodate.csv.zst")
     assert run() == len(a) + len(b)
     assert read_bronze(spark, root).where("longitude > 0").count() == 0
+
+
+def test_headers_of_many_files_are_one_query(spark, tmp_path):
+    paths = [str(write_day(tmp_path, f"2025-0{1 + i // 25}-{1 + i % 25:02d}", day_rows("2025-08-15", 1)[:2],
+                           legacy=i % 2 == 0)) for i in range(50)]
+    spark.sparkContext.setJobGroup("headers", "headers")
+    groups, failed = files.headers_of(spark, paths)
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert sorted(map(len, groups.values())) == [25, 25] and not failed
+    # adaptive execution runs a query's shuffle as a job of its own
+    assert len(spark.sparkContext.statusTracker().getJobIdsForGroup("headers")) <= 2
+
+
+def test_an_emptied_day_leaves_bronze(spark, tmp_path):
+    raw, root = tmp_path / "raw", str(tmp_path / "root")
+    for day in ("2025-08-15", "2025-08-16"):
+        write_day(raw, day, day_rows(day, 1))
+    ingest.ingest_pending(spark, str(raw), root)
+    write_day(raw, "2025-08-15", [])
+    mf.append_attempts(
+        mf.failure(spark.createDataFrame([("ais-2025-08-15.csv.zst", "again")], "file_name string, error string")),
+        manifest_path(root),
+    )
+    attempt = ingest.ingest_pending(spark, str(raw), root).first()
+    assert (attempt["status"], attempt["row_count"]) == ("success", 0)
+    assert {r[0] for r in read_bronze(spark, root).select("source_date").distinct().collect()} == {"2025-08-16"}
+
+
+def test_a_broken_file_keeps_only_itself_out(spark, tmp_path):
+    raw, root = tmp_path / "raw", str(tmp_path / "root")
+    rows = day_rows("2025-08-15", 1)
+    write_day(raw, "2025-08-15", rows)
+    cut = write_day(raw, "2025-08-15", rows * 30, name="ais-2025-08-15-cut.csv.zst")
+    cut.write_bytes(cut.read_bytes()[:-200])
+    write_day(raw, "2025-08-16", rows[:7], name="ais-2025-08-16.csv.zst")
+    got = {r["file_name"]: r for r in ingest.ingest_pending(spark, str(raw), root).collect()}
+    assert {n for n, r in got.items() if r["status"] == "failed"} == {cut.name}
+    assert got["ais-2025-08-15.csv.zst"]["row_count"] == len(rows)
+    assert read_bronze(spark, root).count() == len(rows) + 7
+
+
+def test_bad_lines_go_beside_bronze(spark, tmp_path):
+    raw, root = tmp_path / "raw", str(tmp_path / "root")
+    bad = "1,2025-08-15T00:00:00" + ",x" * 20
+    rows = day_rows("2025-08-15", 1)
+    write_day(raw, "2025-08-15", rows, extra_lines=[bad])
+    ingest.ingest_pending(spark, str(raw), root)
+    assert read_bronze(spark, root).count() == len(rows)
+    assert [(r["line"], r["source_date"]) for r in ingest.read_quarantine(spark, root).collect()] == [
+        (bad, "2025-08-15")
+    ]
+
+
+def test_streamed_files_are_not_pending(spark, tmp_path):
+    raw, root = tmp_path / "raw", str(tmp_path / "root")
+    write_day(raw, "2025-08-15", day_rows("2025-08-15", 1))
+    write_day(raw, "", [], name="ais-nodate.csv.zst")
+    (raw / "ais-2025-08-18.csv.zst").write_bytes(b"this is no zstd frame")
+    stream_ingest(spark, str(raw), root, str(tmp_path / "cp")).awaitTermination(120)
+    latest = {r["file_name"]: r["status"] for r in mf.latest_attempts(mf.read_manifest(spark, manifest_path(root))).collect()}
+    assert latest == {
+        "ais-2025-08-15.csv.zst": "success", "ais-nodate.csv.zst": "failed", "ais-2025-08-18.csv.zst": "failed",
+    }
+
+
+def test_manifest_time_does_not_depend_on_the_zone(spark, tmp_path):
+    path = str(tmp_path / "manifest")
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        for own, status in (("Asia/Tokyo", "first"), ("America/New_York", "second")):
+            spark.conf.set("spark.sql.session.timeZone", own)
+            rows = spark.createDataFrame([("f", status)], "file_name string, error string")
+            mf.append_attempts(mf.failure(rows), path)
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", zone)
+    assert mf.latest_attempts(mf.read_manifest(spark, path)).first()["error"] == "second"

@@ -68,12 +68,27 @@ def test_null_stratum_is_a_stratum(points):
     assert sorted(r["count"] for r in got) == [7, 7, 7]
 
 
-def test_many_strata_are_joined_by_a_shuffle(points):
-    few = sampling.stratified_sample(points, 20)
-    many = sampling.stratified_sample(points, 20, strata_count=10**9)
-    assert keys(few) == keys(many)
-    plans = [f._jdf.queryExecution().executedPlan().toString() for f in (few, many)]
-    assert "BroadcastExchange" in plans[0]
+def test_building_a_sample_starts_no_job(spark, points):
+    points.count()
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("building", "building a sample")
+    sampling.stratified_sample(points, 20)
+    sampling.capped_sample(points, 20)
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert len(tracker.getJobIdsForGroup("building")) == 0
+
+
+def test_rows_equal_in_the_key_are_told_apart(spark):
+    rows = [(1, "2025-08-15T00:00:00", f"2025-08-{15 + i % 3}", float(i)) for i in range(60)]
+    frame = spark.createDataFrame(rows, "mmsi long, event_time string, source_date string, sog double")
+    for sample in (
+        lambda f: sampling.capped_sample(f, 10),
+        lambda f: sampling.stratified_sample(f, 5),
+        lambda f: sampling.proportional_sample(f, 12, minimum=1),
+    ):
+        one = sorted(sample(frame.orderBy("sog").coalesce(1)).collect())
+        two = sorted(sample(frame.orderBy(F.desc("sog")).repartition(5)).collect())
+        assert one == two and one
 
 
 def test_daily_sample_keeps_the_layout(points):
@@ -107,6 +122,15 @@ def test_quantiles_equal_numpy(spark, fraction, bins):
     assert got["b"] == pytest.approx(np.quantile(other, fraction), rel=1e-12)
 
 
+def test_quantiles_with_one_value_far_out(spark):
+    """Nearly all values share the first bin and are split again."""
+    values = [i / 7 for i in range(20_000)] + [1e12]
+    frame = spark.createDataFrame([(v,) for v in values], "x double").repartition(4)
+    for fraction in (0.01, 0.5, 0.95, 1.0):
+        got = exact_quantile(frame, "x", fraction).first()[0]
+        assert got == pytest.approx(np.quantile(values, fraction), rel=1e-12)
+
+
 def test_quantile_of_one_value_and_of_none(spark):
     one = spark.createDataFrame([(4.5,)], "x double")
     assert exact_quantile(one, "x", 0.95).first()[0] == 4.5

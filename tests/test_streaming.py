@@ -40,6 +40,8 @@ def test_stream_gives_the_closed_voyages_of_the_batch(spark, tmp_path):
     later = [(366000002, day + dt.timedelta(days=2, hours=h)) for h in (0, 1)]
     write_partitioned(positions(spark, later), silver, ["source_date"])
     drain()
+    # a day that is run again is read again and changes nothing
+    write_partitioned(positions(spark, later), silver, ["source_date"])
     drain()
 
     want = voyages.voyage_candidates(read_positions(spark, root), RULES)

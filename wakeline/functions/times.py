@@ -12,7 +12,7 @@ _LENIENT = (
     r"^\d{4}-\d{1,2}-\d{1,2}"
     r"([T ]\d{1,2}:\d{1,2}:\d{1,2}|T\d{1,2}:\d{1,2}:\d{1,2}\.\d{1,6})$"
 )
-_FILE_DATE = r"(\d{4}-\d{2}-\d{2})"
+FILE_DATE = r"(\d{4}-\d{2}-\d{2})"
 
 
 def parse_event_time(text: Column, lenient: bool = False) -> Column:
@@ -44,7 +44,7 @@ def hours_between(earlier: Column, later: Column) -> Column:
 
 def date_from_file_name(name: Column) -> Column:
     """First ``yyyy-MM-dd`` in a file name, or null."""
-    return F.nullif(F.regexp_extract(name, _FILE_DATE, 1), F.lit(""))
+    return F.nullif(F.regexp_extract(name, FILE_DATE, 1), F.lit(""))
 
 
 def date_parts(date_text: Column) -> list[Column]:

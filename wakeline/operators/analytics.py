@@ -9,10 +9,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from wakeline.functions.classes import vessel_class
-from wakeline.functions.exact import exact_mean
+from wakeline.functions.exact import exact_mean, integer_mean
 from wakeline.functions.geo import is_moving
 from wakeline.operators.quantiles import exact_quantile, exact_quantiles
-from wakeline.rules import MOVING_KNOTS
+from wakeline.rules import MOVING_KNOTS, CleaningRules
+
+#: Where cleaned columns lie.
+LIMITS = CleaningRules()
+SPEEDS = (0.0, LIMITS.sog_unavailable)
 
 
 # --- filters -----------------------------------------------------------------
@@ -111,7 +115,7 @@ def with_vessel_class(positions: DataFrame) -> DataFrame:
 
 def with_speed_ratio(points: DataFrame, fraction: float = 0.95) -> DataFrame:
     """Speed as a share of the ``fraction`` quantile (1 knot at least), within [0, 1]."""
-    top = F.greatest(exact_quantile(points, "sog", fraction).scalar(), F.lit(1.0))
+    top = F.greatest(exact_quantile(points, "sog", fraction, SPEEDS).scalar(), F.lit(1.0))
     clipped = F.when(
         F.col("sog").isNotNull(), F.least(F.greatest(F.col("sog"), F.lit(0.0)), top)
     )
@@ -133,7 +137,7 @@ def activity_by_vessel_type(activity: DataFrame, metadata: DataFrame) -> DataFra
         .groupBy("vessel_type")
         .agg(
             F.countDistinct("mmsi").alias("vessel_count"),
-            exact_mean(F.col("point_count"), 0).alias("avg_daily_points"),
+            integer_mean(F.col("point_count"), 0).alias("avg_daily_points"),
             exact_mean(F.col("avg_sog")).alias("avg_speed"),
         )
         .orderBy(F.desc("vessel_count"), F.asc_nulls_first("vessel_type"))
@@ -145,7 +149,7 @@ def route_type_breakdown(routes: DataFrame) -> DataFrame:
         routes.groupBy("candidate_route_type")
         .agg(
             F.count(F.lit(1)).alias("day_count"),
-            exact_mean(F.col("vessel_count"), 0).alias("avg_daily_vessels"),
+            integer_mean(F.col("vessel_count"), 0).alias("avg_daily_vessels"),
             exact_mean(F.col("avg_duration_hours")).alias("avg_duration"),
             exact_mean(F.col("avg_speed")).alias("avg_speed"),
         )
@@ -203,12 +207,14 @@ def speed_histogram(activity: DataFrame, bins: int = 20) -> DataFrame:
         step = (limits.getField("hi") - limits.getField("lo")) / F.lit(float(bins))
         return limits.getField("lo") + step * (i if isinstance(i, Column) else F.lit(float(i)))
 
-    spanned = counts.withColumn("span", span.scalar())
-    passed = [
-        (F.col("avg_sog") > edge(F.col("span"), i)).cast("int") for i in range(1, bins)
-    ]
+    # the inner edges once, as one array
+    inner = span.select(
+        F.array(*[edge(F.col("span"), i) for i in range(1, bins)]).alias("edges")
+    ).scalar()
+    spanned = counts.withColumn("edges", inner)
+    passed = F.size(F.filter("edges", lambda at: F.col("avg_sog") > at))
     binned = (
-        spanned.select(sum(passed, F.lit(0)).alias("bin"), "n")
+        spanned.select(passed.alias("bin"), "n")
         .groupBy("bin")
         .agg(F.sum("n").alias("n"))
     )
@@ -234,7 +240,8 @@ def kpi_summary(
     """One row: vessels and positions overall, voyages and records as filtered."""
     records = filtered_activity.agg(F.count(F.lit(1)).alias("n")).scalar()
     voyages = filtered_voyages.agg(F.count(F.lit(1)).alias("n")).scalar()
-    vessels = metadata.agg(F.countDistinct("mmsi").alias("n")).scalar()
+    # metadata has one row per vessel
+    vessels = metadata.agg(F.count("mmsi").alias("n")).scalar()
     return activity.agg(
         F.sum("point_count").alias("total_positions"),
         F.countDistinct("activity_date").alias("available_days"),
@@ -249,7 +256,11 @@ def kpi_summary(
 
 def map_center(points: DataFrame, latitude: str = "latitude", longitude: str = "longitude") -> DataFrame:
     """Exact median latitude and longitude."""
-    medians = exact_quantiles(points, [latitude, longitude], 0.5)
+    spans = {
+        latitude: (LIMITS.latitude_min, LIMITS.latitude_max),
+        longitude: (LIMITS.longitude_min, LIMITS.longitude_max),
+    }
+    medians = exact_quantiles(points, [latitude, longitude], 0.5, spans=spans)
     return medians.agg(
         F.max(F.when(F.col("name") == latitude, F.col("quantile"))).alias("center_latitude"),
         F.max(F.when(F.col("name") == longitude, F.col("quantile"))).alias("center_longitude"),

@@ -1,96 +1,107 @@
 """Exact quantiles without gathering a column in one place.
 
-One pass finds the span of a column and one counts its values in equal-width
-bins; both move a bounded number of rows per task. A running total over the bins
-names those that hold the wanted ranks, and a last pass keeps only their values,
-folds equal ones and puts them in order. Columns here are bounded by the cleaning
-rules, so a bin is a narrow range of coordinates or speeds.
+A pass counts a column's values in equal-width bins of its span, keeping each bin's
+smallest and largest value; a running total over the bins names the one that holds
+a wanted rank. That bin is split again over the span of its own values, so that a
+value far out, which leaves all others in one bin at first, does no harm. A last
+pass keeps only the values of the bin found, folds equal ones and puts them in
+order. Every pass moves a bounded number of rows per task.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 BINS = 65_536
 
 
 def exact_quantiles(
-    frame: DataFrame, columns: Sequence[str], fraction: float, bins: int = BINS
+    frame: DataFrame,
+    columns: Sequence[str],
+    fraction: float,
+    bins: int = BINS,
+    spans: Mapping[str, tuple[float, float]] | None = None,
 ) -> DataFrame:
     """One row (name, quantile) per column, interpolating linearly between ranks.
 
-    Nulls and NaN are left out; a column without values gives no row.
+    Nulls and NaN are left out; a column without values gives no row. ``spans`` says
+    where most values of each column lie and saves a pass; others count at its ends.
     """
-    long = frame.select(
-        F.explode(
-            F.array(
-                *[
-                    F.struct(F.lit(c).alias("name"), F.col(c).cast("double").alias("value"))
-                    for c in columns
-                ]
-            )
-        ).alias("_")
-    ).select("_.name", "_.value")
-    values = long.where(F.col("value").isNotNull() & ~F.isnan("value"))
-    # one row per column: a bounded side
-    spans = values.groupBy("name").agg(
-        F.min("value").alias("lo"), F.max("value").alias("hi"), F.count(F.lit(1)).alias("total")
+    pairs = [
+        F.struct(F.lit(c).alias("name"), F.col(c).cast("double").alias("value")) for c in columns
+    ]
+    values = frame.select(F.inline(F.array(*pairs)))
+    values = values.where(F.col("value").isNotNull() & ~F.isnan("value"))
+    counts = _counts(values, ["name"], _spans(values, spans), bins)
+    by_bin = Window.partitionBy("name").orderBy("bin")
+    position = (F.sum("n").over(Window.partitionBy("name")) - 1) * F.lit(float(fraction))
+    # one row per column and rank: a bounded side, from here on
+    before = F.sum("n").over(by_bin) - F.col("n")
+    placed = counts.select("*", before.alias("before"), position.alias("position"))
+    ranks = F.array_distinct(F.array(F.floor("position"), F.ceil("position")))
+    windows = _holding(placed.select("*", F.explode(ranks).alias("rank")))
+    counts = _counts(values, ["name", "rank"], windows, bins)
+    by_bin = Window.partitionBy("name", "rank").orderBy("bin")
+    again = counts.join(F.broadcast(windows.select("name", "rank", "position", "before")), ["name", "rank"])
+    running = (F.col("before") + F.sum("n").over(by_bin) - F.col("n")).alias("before")
+    windows = _holding(again.select("name", "rank", "position", "n", "lo", "hi", running))
+
+    within = _within(values, windows).groupBy("name", "rank", "position", "before", "value")
+    by_value = Window.partitionBy("name", "rank").orderBy("value")
+    upto = F.col("before") + F.sum("n").over(by_value)
+    found = (
+        within.agg(F.count(F.lit(1)).alias("n"))
+        .select("*", upto.alias("upto"))
+        .where(F.col("rank").between(F.col("upto") - F.col("n"), F.col("upto") - 1))
     )
+    low, high = F.min_by("value", "rank"), F.max_by("value", "rank")
+    weight = F.max(F.col("position") - F.floor("position"))
+    return found.groupBy("name").agg((low + weight * (high - low)).alias("quantile"))
+
+
+def _spans(values: DataFrame, known: Mapping[str, tuple[float, float]] | None) -> DataFrame:
+    if known is None:
+        return values.groupBy("name").agg(F.min("value").alias("lo"), F.max("value").alias("hi"))
+    rows = [
+        F.struct(F.lit(c).alias("name"), F.lit(float(lo)).alias("lo"), F.lit(float(hi)).alias("hi"))
+        for c, (lo, hi) in known.items()
+    ]
+    return values.sparkSession.range(1).select(F.inline(F.array(*rows)))
+
+
+def _within(values: DataFrame, windows: DataFrame) -> DataFrame:
+    inside = F.col("value").between(F.col("lo"), F.col("hi"))
+    return values.join(F.broadcast(windows), "name").where(inside)
+
+
+def _counts(values: DataFrame, keys: list[str], windows: DataFrame, bins: int) -> DataFrame:
+    """``*keys, bin, n, lo, hi``: number, smallest and largest of the values in every bin."""
+    sides = windows.select(*keys, "lo", "hi")
+    near = values.join(F.broadcast(sides), "name") if keys == ["name"] else _within(values, sides)
     share = F.try_divide(F.col("value") - F.col("lo"), F.col("hi") - F.col("lo"))
-    binned = values.join(F.broadcast(spans), "name").select(
-        "name",
-        "value",
-        "total",
-        F.coalesce(F.floor(share * (bins - 1)), F.lit(0)).alias("bin"),
-    )
-    position = (F.col("total") - 1) * F.lit(float(fraction))
-    by_bin = Window.partitionBy("name").orderBy("bin")
-    # at most two bins per column hold the wanted ranks
-    wanted = (
-        binned.groupBy("name", "bin")
-        .agg(F.count(F.lit(1)).alias("in_bin"), F.max("total").alias("total"))
-        .withColumn("upto", F.sum("in_bin").over(by_bin))
-        .select(
-            "name",
-            "bin",
-            (F.col("upto") - F.col("in_bin")).alias("before"),
-            "upto",
-            F.floor(position).alias("rank_lo"),
-            F.ceil(position).alias("rank_hi"),
-            (position - F.floor(position)).alias("weight"),
+    clipped = F.least(F.greatest(F.coalesce(share, F.lit(0.0)), F.lit(0.0)), F.lit(1.0))
+    return (
+        near.groupBy(*keys, F.floor(clipped * (bins - 1)).alias("bin"))
+        .agg(
+            F.count(F.lit(1)).alias("n"), F.min("value").alias("lo"), F.max("value").alias("hi")
         )
-        .where(
-            F.col("rank_lo").between(F.col("before"), F.col("upto") - 1)
-            | F.col("rank_hi").between(F.col("before"), F.col("upto") - 1)
-        )
-        .drop("upto")
-    )
-    counts = (
-        binned.select("name", "value", "bin")
-        .join(F.broadcast(wanted.select("name", "bin")), ["name", "bin"])
-        .groupBy("name", "bin", "value")
-        .agg(F.count(F.lit(1)).alias("n"))
-    )
-    by_value = Window.partitionBy("name", "bin").orderBy("value")
-    ranked = (
-        counts.join(F.broadcast(wanted), ["name", "bin"])
-        .withColumn("last", F.col("before") + F.sum("n").over(by_value) - 1)
-        .withColumn("first", F.col("last") - F.col("n") + 1)
-    )
-    low = F.max(
-        F.when(F.col("rank_lo").between(F.col("first"), F.col("last")), F.col("value"))
-    )
-    high = F.max(
-        F.when(F.col("rank_hi").between(F.col("first"), F.col("last")), F.col("value"))
-    )
-    return ranked.groupBy("name").agg(
-        (low + F.max("weight") * (high - low)).alias("quantile")
     )
 
 
-def exact_quantile(frame: DataFrame, column: str, fraction: float) -> DataFrame:
+def _holding(counts: DataFrame) -> DataFrame:
+    """The bin that holds each rank."""
+    rank: Column = F.col("rank")
+    held = counts.where(rank.between(F.col("before"), F.col("before") + F.col("n") - 1))
+    return held.select("name", "rank", "position", "lo", "hi", "before")
+
+
+def exact_quantile(
+    frame: DataFrame, column: str, fraction: float, span: tuple[float, float] | None = None
+) -> DataFrame:
     """One row, one column ``quantile``."""
-    return exact_quantiles(frame, [column], fraction).agg(F.max("quantile").alias("quantile"))
+    spans = None if span is None else {column: span}
+    quantiles = exact_quantiles(frame, [column], fraction, spans=spans)
+    return quantiles.agg(F.max("quantile").alias("quantile"))

@@ -11,7 +11,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from wakeline.functions.classes import route_type
@@ -34,7 +34,12 @@ FRAGMENT_FIELDS = [
 ]
 
 
-def _point_aggregates(order: str) -> list:
+def point_aggregates(order: str | None = None) -> list[Column]:
+    """What a fragment keeps of its points, in the order of a column or of a track.
+
+    Two source dates may hold a vessel's report of one time, so time alone is no order.
+    """
+    order = order or F.struct("event_time", "longitude", "latitude")
     return [
         F.min("event_time").alias("start_time"),
         F.max("event_time").alias("end_time"),
@@ -64,7 +69,7 @@ def voyage_fragments(
     )
     return (
         numbered.groupBy(*keys, "track_date", "_fragment")
-        .agg(*_point_aggregates("_seq"))
+        .agg(*point_aggregates("_seq"))
         .select(*keys, "track_date", *FRAGMENT_FIELDS)
     )
 
@@ -84,7 +89,7 @@ def session_fragments(
     session = F.session_window("event_time", gap)
     return (
         points.groupBy(*keys, "track_date", session)
-        .agg(*_point_aggregates("event_time"))
+        .agg(*point_aggregates())
         .select(*keys, "track_date", *FRAGMENT_FIELDS)
     )
 

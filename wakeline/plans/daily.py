@@ -3,16 +3,22 @@
 What a run does is the same for any number of days: one job per layer over all of
 them. Voyages and vessel metadata need all days, so each day leaves a small
 mergeable table (voyage fragments, vessel descriptions) and only those are read
-in full. Re-running a day gives the same tables as a complete rebuild.
+in full. A small table of the calendar days that each source date's positions fall
+on tells which silver partitions a day concerns; no other is opened. Partitions are
+replaced by the dates asked for, so a date that lost its rows loses its partitions,
+and re-running a day gives the same tables as a complete rebuild. Voyage partitions
+that come out as they were keep their files.
 """
 
 from __future__ import annotations
 
 import datetime as dt
+import logging
 import uuid
 from collections.abc import Callable, Mapping, Sequence
 from functools import partial
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
@@ -34,15 +40,20 @@ from wakeline.sources.jdbc import Database, load_gold_tables
 from wakeline.sources.tables import (
     GOLD_TABLES,
     layer_path,
+    move_partitions,
     path_exists,
     read_bronze,
     read_positions,
     read_table,
+    replace_partitions,
+    replace_table,
+    staging_path,
     state_path,
     write_full,
-    write_partitioned,
 )
 
+log = logging.getLogger(__name__)
+
 Suite = Callable[[DataFrame], DataFrame]
 
 
@@ -64,10 +75,18 @@ def run_from_raw(
     **options,
 ) -> str | None:
     """Load pending raw files, then run the days that came with them."""
-    attempts = ingest_pending(spark, raw_directory, root, file_limit)
-    loaded = attempts.where(F.col("status") == "success").select("source_date").distinct()
-    dates = sorted(row[0] for row in loaded.collect())
-    return run_dates(spark, root, dates, **options) if dates else None
+    run_id = options.pop("run_id", None) or new_run_id()
+    with track_stage(spark, state_path(root, "stage_metrics"), run_id, "raw_to_bronze") as metric:
+        attempts = ingest_pending(spark, raw_directory, root, file_limit)
+        loaded = attempts.where(F.col("status") == "success")
+        per_date = loaded.groupBy("source_date").agg(F.sum("row_count").alias("rows")).collect()
+        metric.input_rows = metric.output_rows = sum(row["rows"] for row in per_date)
+    dates = sorted(row["source_date"] for row in per_date)
+    return run_dates(spark, root, dates, run_id=run_id, **options) if dates else None
+
+
+def new_run_id() -> str:
+    return dt.datetime.now(dt.UTC).strftime("%Y%m%d_%H%M%S_") + uuid.uuid4().hex[:6]
 
 
 def run_dates(
@@ -85,111 +104,161 @@ def run_dates(
 
     With ``gate`` a layer that has a quality suite is checked in a staging place
     and only then published; a failing suite raises and leaves the table as it
-    was. ``per_day`` cuts voyages at the ends of each daily file.
+    was. ``per_day`` cuts voyages at the ends of each daily file. A serving load
+    that fails, or that no database is given for, is recorded with its reason and
+    does not undo the run.
     """
-    run_id = run_id or dt.datetime.now(dt.UTC).strftime("%Y%m%d_%H%M%S_") + uuid.uuid4().hex[:6]
-    stage = partial(track_stage, spark, state_path(root, "stage_metrics"), run_id)
+    run_id = run_id or new_run_id()
+    metrics = state_path(root, "stage_metrics")
+    stage = partial(track_stage, spark, metrics, run_id)
     publish = partial(_publish, spark, root, suites if gate else {})
     keys = ("mmsi", "source_date") if per_day else VESSEL
+    rebuild = source_dates is None
 
     with stage("bronze_to_silver") as metric:
         bronze = _of_dates(read_bronze(spark, root), source_dates)
         if gate and "bronze" in suites:
             require_passed(suites["bronze"](bronze))
-        before = _event_dates(spark, root, source_dates)
-        read = Observation()
-        silver = build_silver(bronze.observe(read, F.count(F.lit(1)).alias("rows")))
-        metric.output_rows = publish(
-            "vessel_positions",
-            silver,
-            source_dates is None,
-            # one date needs no gathering, every writer has that date only
-            gather=source_dates is None or len(source_dates) > 1,
-        )
-        metric.input_rows = read.get["rows"]
-
-    touched = None
-    if source_dates is not None:
-        touched = sorted(before | _event_dates(spark, root, source_dates))
-    positions = _on_event_dates(read_positions(spark, root), touched)
-    rebuild = touched is None
+        before = set() if rebuild else _event_days(spark, root, source_dates)
+        silver, read = _counted(bronze)
+        requested = None if rebuild else [(d,) for d in source_dates]
+        metric.output_rows = publish("vessel_positions", build_silver(silver), requested)
+        metric.input_rows = _rows(read)
+        _record_event_days(spark, root, source_dates)
+
+    days = None
+    positions = read_positions(spark, root)
+    if not rebuild:
+        touched = before | _event_days(spark, root, source_dates)
+        days = [(day,) for day in sorted(touched)]
+        positions = _on_event_days(spark, root, positions, touched)
 
     with stage("silver_to_activity") as metric:
-        vanished = _vanished(positions, touched)
-        source = read_positions(spark, root) if vanished else positions
-        metric.output_rows = publish(
-            "vessel_daily_activity", daily_activity(source), rebuild or vanished
-        )
+        source, read = _counted(positions)
+        metric.output_rows = publish("vessel_daily_activity", daily_activity(source), days)
+        metric.input_rows = _rows(read)
 
     with stage("silver_to_voyages") as metric:
-        fragments = state_path(root, "voyage_fragments_by_file" if per_day else "voyage_fragments")
-        source = read_positions(spark, root) if vanished else positions
-        _write(
-            voyage_fragments(source, rules, keys),
-            fragments,
-            ["track_date"],
-            rebuild or vanished,
-        )
-        voyages = merge_fragments(spark.read.parquet(fragments), rules, keys)
-        metric.output_rows = publish("voyage_candidates", voyages, True)
+        # fragments are cut by a gap, so each gap has a table of its own
+        cut = f"voyage_fragments_{'by_file_' if per_day else ''}{rules.gap_seconds:g}s"
+        path = state_path(root, cut)
+        known = path_exists(spark, path)
+        source, read = _counted(positions if known else read_positions(spark, root))
+        fragments = voyage_fragments(source, rules, keys)
+        _write(fragments, path, ["track_date"], days if known else None)
+        voyages = merge_fragments(spark.read.schema(fragments.schema).parquet(path), rules, keys)
+        metric.output_rows = publish("voyage_candidates", voyages, None, only_changed=not rebuild)
+        metric.input_rows = _rows(read)
 
     with stage("bronze_to_metadata") as metric:
-        descriptions = state_path(root, "vessel_descriptions")
-        folded = vessel_descriptions(bronze, ("mmsi", "source_date"))
-        _write(folded, descriptions, ["source_date"], rebuild)
-        metadata = choose_descriptions(spark.read.parquet(descriptions))
-        metric.output_rows = publish("vessel_metadata", metadata, True)
+        path = state_path(root, "vessel_descriptions")
+        source, read = _counted(bronze)
+        folded = vessel_descriptions(source, ("mmsi", "source_date"))
+        _write(folded, path, ["source_date"], requested)
+        metadata = choose_descriptions(spark.read.schema(folded.schema).parquet(path))
+        metric.output_rows = publish("vessel_metadata", metadata, None)
+        metric.input_rows = _rows(read)
 
     with stage("voyages_to_routes") as metric:
-        routes = route_metrics(read_table(spark, root, "voyage_candidates"))
-        metric.output_rows = publish("route_metrics", routes, True)
-
-    if database is not None:
-        with stage("gold_to_database"):
-            load_gold_tables(
-                database, {table: read_table(spark, root, table) for table in GOLD_TABLES}
-            )
+        source, read = _counted(read_table(spark, root, "voyage_candidates"))
+        metric.output_rows = publish("route_metrics", route_metrics(source), None)
+        metric.input_rows = _rows(read)
+
+    _serve(spark, root, database, partial(stage, "gold_to_database"))
     return run_id
 
 
+def _serve(spark: SparkSession, root: str, database: Database | None, stage) -> None:
+    try:
+        with stage() as metric:
+            if database is None:
+                metric.status, metric.error = "skipped", "no database is configured"
+                return
+            tables = {table: read_table(spark, root, table) for table in GOLD_TABLES}
+            rows = sum(frame.count() for frame in tables.values())
+            metric.input_rows = rows
+            load_gold_tables(database, tables)
+            metric.output_rows = rows
+    except Exception as error:  # gold is published by now and stays so
+        log.warning("serving tables were not loaded: %s", error)
+
+
+def _counted(frame: DataFrame) -> tuple[DataFrame, Observation]:
+    """The frame, and the number of its rows once it is written."""
+    seen = Observation()
+    return frame.observe(seen, F.count(F.lit(1)).alias("rows")), seen
+
+
+def _rows(seen: Observation) -> int:
+    """The number of rows seen; what Spark finds empty before it runs has no observation."""
+    try:
+        return seen.get["rows"]
+    except Py4JJavaError:
+        return 0
+
+
 def _publish(
     spark: SparkSession,
     root: str,
     suites: Mapping[str, Suite],
     table: str,
     frame: DataFrame,
-    everything: bool,
-    gather: bool = True,
+    requested: Sequence[Sequence] | None,
+    only_changed: bool = False,
 ) -> int:
-    """Write a table, or the partitions in ``frame``, by way of its quality gate."""
+    """Write a table, or the requested partitions of it, by way of its quality gate."""
     schema, partitions, _ = TABLES[table]
-    frame = frame.select(*schema.names)
+
+    def check(staged: DataFrame) -> None:
+        if table in suites:
+            require_passed(suites[table](staged))
+
     path = layer_path(root, table)
-    if table not in suites:
-        return _write(frame, path, partitions, everything, gather)
-    # one staging place per table, replaced by the next run
-    staged = f"{root.rstrip('/')}/staging/{table}"
-    rows = _write(frame, staged, partitions, True, gather)
-    checked = spark.read.schema(schema).parquet(staged)
-    require_passed(suites[table](checked))
-    _write(checked, path, partitions, everything, gather=False)
-    return rows
+    if only_changed and path_exists(spark, path):
+        return _write_changed(frame.select(*schema.names), path, partitions, check)
+    return _write(frame.select(*schema.names), path, partitions, requested, check)
 
 
 def _write(
-    frame: DataFrame, path: str, partitions: list[str], everything: bool, gather: bool = True
+    frame: DataFrame,
+    path: str,
+    partitions: list[str],
+    requested: Sequence[Sequence] | None,
+    check: Callable[[DataFrame], None] | None = None,
 ) -> int:
     """Write and count in the same job."""
-    seen = Observation()
-    counted = frame.observe(seen, F.count(F.lit(1)).alias("rows"))
-    if partitions and gather:
+    counted, seen = _counted(frame)
+    if partitions and (requested is None or len(requested) > 1):
         # gathers a partition's rows in few files, and splits one that is too large
         counted = counted.hint("rebalance", *[F.col(c) for c in partitions])
-    if everything or not partitions:
-        write_full(counted, path, partitions)
+    if requested is None or not partitions:
+        replace_table(counted, path, partitions, check)
     else:
-        write_partitioned(counted, path, partitions)
-    return seen.get["rows"]
+        replace_partitions(counted, path, partitions, requested, check)
+    return _rows(seen)
+
+
+def _write_changed(
+    frame: DataFrame, path: str, partitions: list[str], check: Callable[[DataFrame], None]
+) -> int:
+    """Replace the partitions whose rows differ from those there, and leave the others."""
+    spark = frame.sparkSession
+    staged = staging_path(path)
+    counted, seen = _counted(frame)
+    write_full(counted.hint("rebalance", *map(F.col, partitions)), staged, partitions)
+    new = spark.read.schema(frame.schema).parquet(staged)
+    check(new)
+
+    def digests(rows: DataFrame, name: str) -> DataFrame:
+        digest = F.struct(F.count(F.lit(1)), F.bit_xor(F.xxhash64(*frame.columns)))
+        return rows.groupBy(*partitions).agg(digest.alias(name))
+
+    old = spark.read.schema(frame.schema).parquet(path)
+    both = digests(old, "old").join(digests(new, "new"), partitions, "full")
+    # one row per partition
+    changed = both.where(~F.col("old").eqNullSafe(F.col("new"))).select(*partitions).collect()
+    move_partitions(spark, staged, path, partitions, [tuple(row) for row in changed])
+    return _rows(seen)
 
 
 def _of_dates(bronze: DataFrame, source_dates: Sequence[str] | None) -> DataFrame:
@@ -203,35 +272,49 @@ def _of_dates(bronze: DataFrame, source_dates: Sequence[str] | None) -> DataFram
     )
 
 
-def _event_dates(
+def _record_event_days(
     spark: SparkSession, root: str, source_dates: Sequence[str] | None
-) -> set[dt.date]:
-    """Calendar days that the positions of these source dates fall on."""
-    if source_dates is None or not path_exists(spark, layer_path(root, "vessel_positions")):
+) -> None:
+    """Note the calendar days that positions of these source dates fall on."""
+    positions = read_positions(spark, root)
+    if source_dates is not None:
+        positions = positions.where(F.col("source_date").isin(list(source_dates)))
+    days = positions.select(F.to_date("event_time").alias("event_day"), "source_date").distinct()
+    requested = None if source_dates is None else [(d,) for d in source_dates]
+    _write(days, state_path(root, "event_days"), ["source_date"], requested)
+
+
+def _days_table(spark: SparkSession, root: str) -> DataFrame | None:
+    """``event_day, source_date``; worked out once for a lake that has positions without it."""
+    path = state_path(root, "event_days")
+    if not path_exists(spark, path):
+        if not path_exists(spark, layer_path(root, "vessel_positions")):
+            return None
+        _record_event_days(spark, root, None)
+    return spark.read.schema("event_day date, source_date string").parquet(path)
+
+
+def _event_days(spark: SparkSession, root: str, source_dates: Sequence[str]) -> set[dt.date]:
+    table = _days_table(spark, root)
+    if table is None:
         return set()
-    positions = read_positions(spark, root).where(F.col("source_date").isin(list(source_dates)))
-    days = positions.select(F.to_date("event_time").alias("day")).distinct()
-    return {row["day"] for row in days.collect()}
+    days = table.where(F.col("source_date").isin(list(source_dates)))
+    return {row["event_day"] for row in days.select("event_day").distinct().collect()}
 
 
-def _on_event_dates(positions: DataFrame, days: Sequence[dt.date] | None) -> DataFrame:
-    """Positions on the given calendar days, whichever file they came with."""
-    if days is None:
-        return positions
+def _on_event_days(
+    spark: SparkSession, root: str, positions: DataFrame, days: set[dt.date]
+) -> DataFrame:
+    """Positions on the given calendar days, from the source dates that have such."""
     if not days:
-        return positions.where(F.lit(False))
+        return positions.where(F.col("source_date") == "")
+    table = _days_table(spark, root).where(F.col("event_day").isin(list(days)))
+    dates = [row["source_date"] for row in table.select("source_date").distinct().collect()]
     midnight = F.lit(min(days)).cast("timestamp_ntz")
     end = F.lit(max(days) + dt.timedelta(days=1)).cast("timestamp_ntz")
     return positions.where(
-        (F.col("event_time") >= midnight)
+        F.col("source_date").isin(dates)
+        & (F.col("event_time") >= midnight)
         & (F.col("event_time") < end)
         & F.to_date("event_time").isin(list(days))
     )
-
-
-def _vanished(positions: DataFrame, touched: Sequence[dt.date] | None) -> bool:
-    """Whether a touched day has no position left, so its partition has to go."""
-    if touched is None:
-        return False
-    left = positions.select(F.to_date("event_time").alias("day")).distinct().count()
-    return left < len(touched)

@@ -16,7 +16,7 @@ from wakeline.schema import STAGE_METRICS_SCHEMA
 
 @dataclass
 class Stage:
-    """One stage of a run; the caller fills in the row counts."""
+    """One stage of a run; the caller fills in the row counts, and why it was skipped."""
 
     run_id: str
     stage: str
@@ -35,7 +35,8 @@ def track_stage(spark: SparkSession, path: str, run_id: str, name: str) -> Itera
     stage = Stage(run_id, name, _now())
     try:
         yield stage
-        stage.status = "success"
+        if stage.status == "running":
+            stage.status = "success"
     except Exception as error:
         stage.status, stage.error = "failed", str(error)
         raise

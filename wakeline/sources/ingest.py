@@ -8,46 +8,84 @@ from __future__ import annotations
 
 import datetime as dt
 import logging
+import re
 from collections import Counter
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
-from wakeline.functions.times import date_from_file_name, date_parts
+from wakeline.functions.times import FILE_DATE, date_from_file_name, date_parts
 from wakeline.sources import manifest as mf
-from wakeline.sources.files import RAW_PATTERN, discover_files, scan_reports
+from wakeline.sources.files import (
+    BAD_LINE,
+    RAW_PATTERN,
+    Headers,
+    discover_files,
+    headers_of,
+    scan_reports,
+    scan_reports_flagged,
+    unreadable_files,
+)
 from wakeline.sources.tables import (
     BRONZE_PARTITIONS,
     layer_path,
     manifest_path,
+    move_partitions,
     read_bronze,
-    write_partitioned,
+    staging_path,
+    state_path,
+    write_full,
 )
 
 log = logging.getLogger(__name__)
 
 
-def bronze_from_reports(reports: DataFrame) -> DataFrame:
-    """Add source date and partition columns from the file name.
+def quarantine_path(root: str) -> str:
+    return state_path(root, "quarantine")
+
+
+def ingest_files(
+    spark: SparkSession, paths: Sequence[str], root: str, headers: Headers | None = None
+) -> None:
+    """Replace the bronze partitions of all these files' days, without a shuffle.
 
-    A row of a file without a date in its name is an error.
+    A day whose files have no rows is left without a partition. Lines with too many
+    fields go to quarantine, by the same days. A file without a date in its name is
+    an error.
     """
-    date = F.coalesce(
-        date_from_file_name(F.col("file_name")),
-        F.raise_error(F.concat(F.lit("no date in file name: "), F.col("file_name"))).cast("string"),
-    )
-    return (
-        reports.withColumn("source_date", date)
-        .drop("file_name")
-        .select("*", *date_parts(F.col("source_date")))
+    dates = {path: date_in_name(path.rsplit("/", 1)[-1]) for path in paths}
+    if None in dates.values():
+        undated = next(path for path, date in dates.items() if date is None)
+        raise ValueError(f"no date in file name: {undated}")
+    requested = [(d.year, d.month, d.day) for d in sorted(set(dates.values()))]
+    flagged = scan_reports_flagged(spark, paths, headers).withColumn(
+        "source_date", date_from_file_name(F.col("file_name"))
     )
+    parts = date_parts(F.col("source_date"))
+    rows = flagged.select("*", F.col(BAD_LINE).isNotNull().alias("is_bad"), *parts)
+    # one scan writes both; the lines kept out have a place of their own to be moved from
+    staged = staging_path(layer_path(root, "bronze"))
+    write_full(rows, staged, ["is_bad", *BRONZE_PARTITIONS])
+    places = {"true": quarantine_path(root), "false": layer_path(root, "bronze")}
+    for is_bad, path in places.items():
+        move_partitions(spark, f"{staged}/is_bad={is_bad}", path, BRONZE_PARTITIONS, requested)
+
+
+def date_in_name(name: str) -> dt.date | None:
+    """The date in a file name, if there is one in the calendar."""
+    found = re.search(FILE_DATE, name)
+    try:
+        return dt.date.fromisoformat(found.group(1)) if found else None
+    except ValueError:
+        return None
 
 
-def ingest_files(spark: SparkSession, paths: Sequence[str], root: str) -> None:
-    """Write the bronze partitions of all these files in one job, without a shuffle."""
-    bronze = bronze_from_reports(scan_reports(spark, paths))
-    write_partitioned(bronze, layer_path(root, "bronze"), BRONZE_PARTITIONS)
+def read_quarantine(spark: SparkSession, root: str) -> DataFrame:
+    """Lines kept out of bronze: ``file_name, line, source_date``."""
+    schema = f"file_name string, {BAD_LINE} string, source_date string"
+    lines = spark.read.schema(schema).parquet(quarantine_path(root))
+    return lines.withColumnRenamed(BAD_LINE, "line")
 
 
 def ingest_day(spark: SparkSession, path: str, root: str) -> None:
@@ -64,28 +102,31 @@ def ingest_pending(
 ) -> DataFrame:
     """Load the files the manifest does not know as loaded; returns their attempts.
 
-    ``file_limit`` counts pending files only. Everything pending is one job; when
-    it fails, the days are loaded one by one so that a broken file keeps only its
-    own day out. Outcomes and row counts go into the manifest as they are.
+    ``file_limit`` counts pending files only. Everything pending is one job. Where that
+    fails, each file is tried by itself, in one job again, and what can be read is
+    loaded together: a broken file keeps only itself out. Outcomes and row counts go
+    into the manifest as they are.
     """
     found = discover_files(spark, raw_directory, pattern)
     manifest = mf.read_manifest(spark, manifest_path(root))
     pending = mf.pending_files(found, manifest).orderBy("path")
     if file_limit is not None:
         pending = pending.limit(file_limit)
-    # one row per file: a listing, not data
-    wanted = pending.collect()
-    dated = [f for f in wanted if f["source_date"]]
-    undated = [f for f in wanted if not f["source_date"]]
-    dates = sorted({f["source_date"] for f in dated})
-    files = found.where(F.col("source_date").isin(dates)).collect() if dates else []
+    # one row per pending file: a listing, not data
+    return load_listed(spark, pending.collect(), found, root)
 
+
+def load_listed(
+    spark: SparkSession, wanted: Sequence[Row], found: DataFrame, root: str
+) -> DataFrame:
+    """Load these files, with the others of their days, and record how it went."""
+    undated = [f for f in wanted if date_in_name(f["file_name"]) is None]
     failed = {f["file_name"]: "no date in file name" for f in undated}
+    dates = sorted({f["source_date"] for f in wanted if f["file_name"] not in failed})
+    files = found.where(F.col("source_date").isin(dates)).collect() if dates else []
     failed |= _load(spark, files, root)
     loaded = [f for f in files if f["file_name"] not in failed]
     attempts = _attempts(spark, loaded, failed, root)
-    if attempts is None:
-        return spark.createDataFrame([], mf.MANIFEST_SCHEMA)
     mf.append_attempts(attempts, manifest_path(root))
     return attempts
 
@@ -94,46 +135,44 @@ def _load(spark: SparkSession, files: list[Row], root: str) -> dict[str, str]:
     """Load files, returning the error of each that could not be."""
     if not files:
         return {}
+    paths = [f["path"] for f in files]
+    headers, failed = headers_of(spark, paths)
+
+    def load_rest() -> None:
+        rest = [p for p in paths if p not in failed]
+        if rest:
+            ingest_files(spark, rest, root, headers)
+
     try:
-        ingest_files(spark, [f["path"] for f in files], root)
-        return {}
+        load_rest()
     except Exception as error:  # a file may be broken in any way
-        log.warning("loading %d files together failed, going by day: %s", len(files), error)
-    failed: dict[str, str] = {}
-    for date in sorted({f["source_date"] for f in files}):
-        of_day = [f for f in files if f["source_date"] == date]
-        try:
-            ingest_files(spark, [f["path"] for f in of_day], root)
-        except Exception as error:  # a file may be broken in any way
-            log.warning("loading %s failed: %s", date, error)
-            failed |= {f["file_name"]: str(error)[:2000] for f in of_day}
-    return failed
+        log.warning("loading %d files together failed, trying each: %s", len(files), error)
+        failed |= unreadable_files(spark, [p for p in paths if p not in failed])
+        load_rest()
+    for path, error in failed.items():
+        log.warning("%s could not be loaded: %s", path, error)
+    return {f["file_name"]: failed[f["path"]] for f in files if f["path"] in failed}
 
 
 def _attempts(
     spark: SparkSession, loaded: list[Row], failed: dict[str, str], root: str
-) -> DataFrame | None:
-    parts = []
-    if loaded:
-        listing = spark.createDataFrame(
-            [(f["file_name"], f["source_date"]) for f in loaded],
-            "file_name string, source_date string",
-        )
-        counts = _row_counts(spark, loaded, root)
-        parts.append(mf.success(listing.join(counts, "file_name", "left").fillna(0, ["row_count"])))
-    if failed:
-        errors = spark.createDataFrame(list(failed.items()), "file_name string, error string")
-        parts.append(mf.failure(errors))
-    if not parts:
-        return None
-    attempts = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
+) -> DataFrame:
+    listing = spark.createDataFrame(
+        [(f["file_name"], f["source_date"]) for f in loaded],
+        "file_name string, source_date string",
+    )
+    counts = _row_counts(spark, loaded, root)
+    good = mf.success(listing.join(counts, "file_name", "left").fillna(0, ["row_count"]))
+    errors = spark.createDataFrame(list(failed.items()), "file_name string, error string")
     # fixed here, so that what is returned is what is recorded
-    rows = attempts.collect()
+    rows = good.unionByName(mf.failure(errors)).collect()
     return spark.createDataFrame(rows, mf.MANIFEST_SCHEMA)
 
 
 def _row_counts(spark: SparkSession, loaded: list[Row], root: str) -> DataFrame:
     """Rows per file: from the Parquet footers for days of one file, else by a scan."""
+    if not loaded:
+        return spark.createDataFrame([], "file_name string, row_count long")
     files_of_date = Counter(f["source_date"] for f in loaded)
     single = [f for f in loaded if files_of_date[f["source_date"]] == 1]
     shared = [f["path"] for f in loaded if files_of_date[f["source_date"]] > 1]

@@ -5,7 +5,7 @@ A file may be tried many times; its latest attempt is its state.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wakeline.schema import MANIFEST_SCHEMA
@@ -26,11 +26,16 @@ def append_attempts(attempts: DataFrame, path: str) -> None:
     attempts.select(*MANIFEST_SCHEMA.names).write.mode("append").parquet(path)
 
 
+def _now() -> Column:
+    """The time in UTC, whatever the session's zone, so that attempts of all sessions compare."""
+    return F.convert_timezone(F.current_timezone(), F.lit("UTC"), F.localtimestamp())
+
+
 def success(files: DataFrame) -> DataFrame:
     """Attempts from rows of (file_name, source_date, row_count)."""
     return files.select(
         "file_name",
-        F.localtimestamp().alias("ingested_at"),
+        _now().alias("ingested_at"),
         F.col("row_count").cast("bigint").alias("row_count"),
         "source_date",
         F.lit(SUCCESS).alias("status"),
@@ -42,7 +47,7 @@ def failure(files: DataFrame) -> DataFrame:
     """Attempts from rows of (file_name, error)."""
     return files.select(
         "file_name",
-        F.localtimestamp().alias("ingested_at"),
+        _now().alias("ingested_at"),
         F.lit(0).cast("bigint").alias("row_count"),
         F.lit(None).cast("string").alias("source_date"),
         F.lit(FAILED).alias("status"),

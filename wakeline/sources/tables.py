@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Callable, Iterable, Sequence
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -106,6 +107,82 @@ def write_partitioned(frame: DataFrame, path: str, partitions: list[str]) -> Non
     )
 
 
+def replace_partitions(
+    frame: DataFrame,
+    path: str,
+    partitions: list[str],
+    requested: Iterable[Sequence],
+    check: Callable[[DataFrame], None] | None = None,
+) -> None:
+    """Replace the requested partitions, dropping those that ``frame`` has no rows for.
+
+    ``requested`` has a value for each partition column. The rows are written to a
+    staging place and, if ``check`` lets them pass, moved from there, so they are
+    written once. A run that breaks off while moving is mended by running it again.
+    """
+    spark = frame.sparkSession
+    staged = staging_path(path)
+    frame.write.mode("overwrite").partitionBy(*partitions).parquet(staged)
+    if check is not None:
+        check(spark.read.schema(frame.schema).parquet(staged))
+    move_partitions(spark, staged, path, partitions, requested)
+
+
+def replace_table(
+    frame: DataFrame,
+    path: str,
+    partitions: list[str] | None = None,
+    check: Callable[[DataFrame], None] | None = None,
+) -> None:
+    """Replace the whole table by way of a staging place, if ``check`` lets it pass."""
+    spark = frame.sparkSession
+    staged = staging_path(path)
+    write_full(frame, staged, partitions)
+    if check is not None:
+        check(spark.read.schema(frame.schema).parquet(staged))
+    files, at = _file_system(spark, path)
+    files.delete(at(path), True)
+    _rename(files, at(staged), at(path))
+
+
+def staging_path(path: str) -> str:
+    """One staging place per table, beside the layers and replaced by the next run."""
+    parent, _, name = path.rstrip("/").rpartition("/")
+    return f"{parent}/staging/{name}"
+
+
+def move_partitions(
+    spark: SparkSession,
+    staged: str,
+    path: str,
+    partitions: list[str],
+    requested: Iterable[Sequence],
+) -> None:
+    """Put staged partitions in place of the requested ones and drop the staging place."""
+    files, at = _file_system(spark, path)
+    for values in requested:
+        folder = "/".join(f"{name}={value}" for name, value in zip(partitions, values))
+        source, target = at(f"{staged}/{folder}"), at(f"{path}/{folder}")
+        files.delete(target, True)
+        if files.exists(source):
+            files.mkdirs(target.getParent())
+            _rename(files, source, target)
+    # a table may be left without any partition and is still a table
+    files.mkdirs(at(path))
+    files.delete(at(staged), True)
+
+
+def _file_system(spark: SparkSession, path: str):
+    at = spark._jvm.org.apache.hadoop.fs.Path
+    return at(path).getFileSystem(spark._jsc.hadoopConfiguration()), at
+
+
+def _rename(files, source, target) -> None:
+    files.mkdirs(target.getParent())
+    if not files.rename(source, target):
+        raise OSError(f"could not move {source} to {target}")
+
+
 def write_full(frame: DataFrame, path: str, partitions: list[str] | None = None) -> None:
     """Replace the whole table."""
     writer = frame.write.mode("overwrite").option("partitionOverwriteMode", "static")

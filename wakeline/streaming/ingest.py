@@ -2,17 +2,12 @@
 
 from __future__ import annotations
 
-import logging
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from wakeline.functions.times import date_from_file_name
 from wakeline.sources.files import RAW_PATTERN, discover_files
-from wakeline.sources.ingest import ingest_files
-
-log = logging.getLogger(__name__)
+from wakeline.sources.ingest import load_listed
 
 
 def stream_ingest(
@@ -27,8 +22,9 @@ def stream_ingest(
     """Load new files into bronze as they appear.
 
     The stream carries file names; each batch loads the days of its files with the
-    header-bound scan, every file of such a day at once. Replaying a batch
-    rewrites the same partitions, so a restart changes nothing.
+    header-bound scan, every file of such a day at once, and records how each went
+    in the manifest, where files that are broken or have no date are found. Replaying
+    a batch rewrites the same partitions, so a restart changes nothing.
     """
     files = (
         spark.readStream.format("binaryFile")
@@ -40,16 +36,12 @@ def stream_ingest(
     )
 
     def load(batch: DataFrame, _: int) -> None:
-        date = date_from_file_name(F.element_at(F.split("path", "/"), -1))
-        dates = [row[0] for row in batch.select(date).distinct().collect()]
-        if None in dates:
-            log.warning("skipping files without a date in their name in %s", raw_directory)
-        dates = [d for d in dates if d is not None]
-        if not dates:
-            return
+        names = F.element_at(F.split("path", "/"), -1)
+        # at most files_per_trigger names
+        taken = [row[0] for row in batch.select(names).distinct().collect()]
         found = discover_files(batch.sparkSession, raw_directory, pattern)
-        of_days = found.where(F.col("source_date").isin(dates)).select("path").collect()
-        ingest_files(batch.sparkSession, [row["path"] for row in of_days], root)
+        wanted = found.where(F.col("file_name").isin(taken)).collect()
+        load_listed(batch.sparkSession, wanted, found, root)
 
     writer = files.writeStream.option("checkpointLocation", checkpoint).foreachBatch(load)
     if available_now:

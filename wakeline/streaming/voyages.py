@@ -5,9 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wakeline.functions.exact import to_micro
 from wakeline.functions.times import epoch_seconds
-from wakeline.operators.voyages import finish_voyages
+from wakeline.operators.voyages import finish_voyages, point_aggregates
 from wakeline.rules import VoyageRules
 from wakeline.schema import POSITION_SCHEMA
 from wakeline.sources.tables import layer_path
@@ -31,7 +30,10 @@ def stream_voyages(
 
     A voyage comes out once the watermark has passed its last point by the gap.
     A report later than the watermark is dropped, so reports may be at most
-    ``watermark`` out of order; a rebuild from silver has no such limit.
+    ``watermark`` out of order; a rebuild from silver has no such limit. A day whose
+    partition is written again is read again, and its positions are known as repeats
+    as long as the watermark has not passed them; later they are dropped as late.
+    What the rewrite changed in voyages already out only a rebuild brings in.
     """
     # a watermark needs an instant; results keep the zone-free time
     instant = F.timestamp_seconds(epoch_seconds(F.col("event_time")))
@@ -39,18 +41,9 @@ def stream_voyages(
     summaries = (
         positions.withColumn("_instant", instant)
         .withWatermark("_instant", watermark)
+        .dropDuplicatesWithinWatermark(["mmsi", "event_time", "source_date"])
         .groupBy("mmsi", session)
-        .agg(
-            F.min("event_time").alias("start_time"),
-            F.max("event_time").alias("end_time"),
-            F.min_by("longitude", "event_time").alias("start_longitude"),
-            F.min_by("latitude", "event_time").alias("start_latitude"),
-            F.max_by("longitude", "event_time").alias("end_longitude"),
-            F.max_by("latitude", "event_time").alias("end_latitude"),
-            F.count(F.lit(1)).alias("point_count"),
-            F.sum(to_micro(F.col("sog"))).alias("sog_micro"),
-            F.count("sog").alias("sog_count"),
-        )
+        .agg(*point_aggregates())
         .where(F.col("point_count") >= rules.min_points)
     )
     return finish_voyages(summaries, rules)
