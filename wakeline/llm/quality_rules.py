@@ -23,9 +23,12 @@ VECTOR = ["word_length", "symbols", "dup_lines", "repeats"]
 FLOOR = {"word_length": 0.15, "symbols": 0.12, "dup_lines": 0.4, "repeats": 0.4}
 #: Share of documents nearest the centre, concentration steps, added variance, smallest group.
 H, STEPS, RIDGE, MIN_GROUP = 0.75, 3, 0.25, 100
-#: Squared distance above which a document goes; the 0.5 quantile of chi-square with 4 degrees.
-CUT, CHI2_MEDIAN = 30.0, 3.3567
+#: Squared distance above which a document goes, and the median: the 0.9995 and 0.5 quantiles of
+#: chi-square with 4 degrees of freedom.
+CUT, CHI2_MEDIAN = 20.0, 3.3567
 ACCURACY = 1000
+#: Parts that a group's rows are joined in, so that a large group is not brought to one task.
+SALTS = 32
 
 
 def _repeat_words(word_list: Column) -> Column:
@@ -92,11 +95,17 @@ def _vector() -> dict[str, Column]:
     }
 
 
+def _beside(rows: DataFrame, groups: DataFrame, *keys: str) -> DataFrame:
+    """Rows, which have a ``salt``, beside the row of their group."""
+    salts = F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt")
+    return rows.join(groups.select("*", salts), [*keys, "salt"])
+
+
 def _scaled(rows: DataFrame) -> DataFrame:
     """The vector in units of its group's median deviation from its group's median."""
     half = lambda c: F.percentile_approx(c, 0.5, ACCURACY)
     medians = kept(rows.groupBy("cell").agg(*[half(v).alias(f"mid_{v}") for v in VECTOR]))
-    off = rows.join(medians, "cell")
+    off = _beside(rows, medians, "cell")
     spread = kept(
         off.groupBy("cell").agg(
             *[half(F.abs(F.col(v) - F.col(f"mid_{v}"))).alias(f"mad_{v}") for v in VECTOR]
@@ -105,7 +114,7 @@ def _scaled(rows: DataFrame) -> DataFrame:
     unit = {v: F.greatest(1.4826 * F.col(f"mad_{v}"), F.lit(FLOOR[v])) for v in VECTOR}
     scaled = {v: (F.col(v) - F.col(f"mid_{v}")) / unit[v] for v in VECTOR}
     names = [c for c in rows.columns if c not in VECTOR]
-    return off.join(spread, "cell").select(*names, *[scaled[v].alias(v) for v in VECTOR])
+    return _beside(off, spread, "cell").select(*names, *[scaled[v].alias(v) for v in VECTOR])
 
 
 def _starts() -> Column:
@@ -156,22 +165,23 @@ def _distance() -> Column:
 def _nearest(rows: DataFrame) -> DataFrame:
     """Rows among the ``H`` share nearest the centre of their group and start."""
     limit = rows.groupBy("cell", "start").agg(F.percentile_approx("d2", H, ACCURACY).alias("limit"))
-    return rows.join(limit, ["cell", "start"]).where("d2 <= limit")
+    return _beside(rows, limit, "cell", "start").where("d2 <= limit")
 
 
 def _best_fit(rows: DataFrame) -> DataFrame:
     """The estimate with the smallest determinant for every group, and its median distance."""
-    first = rows.select("cell", *VECTOR, _starts())
-    fit = _estimate(_nearest(first.select("cell", *VECTOR, "first.*")))
+    first = rows.select("cell", "salt", *VECTOR, _starts())
+    fit = _estimate(_nearest(first.select("cell", "salt", *VECTOR, "first.*")))
     starts = F.explode(F.sequence(F.lit(0), F.lit(2))).alias("start")
-    every = rows.select("cell", *VECTOR, starts)
+    every = rows.select("cell", "salt", *VECTOR, starts)
     for _ in range(STEPS):
-        near = every.join(fit, ["cell", "start"]).select("cell", "start", *VECTOR, _distance().alias("d2"))
+        near = _beside(every, fit, "cell", "start")
+        near = near.select("cell", "salt", "start", *VECTOR, _distance().alias("d2"))
         fit = _estimate(_nearest(near))
     best = fit.groupBy("cell").agg(F.min(F.struct("log_det", "start")).alias("best"))
     fit = fit.join(best, "cell").where("start = best.start").drop("best", "start")
     middle = (
-        rows.join(fit, "cell")
+        _beside(rows, fit, "cell")
         .groupBy("cell")
         .agg(F.percentile_approx(_distance(), 0.5, ACCURACY).alias("middle"))
     )
@@ -201,12 +211,14 @@ def quality(docs: DataFrame, cut: float = CUT) -> DataFrame:
             "both", F.when(F.col("total") >= MIN_GROUP, F.col("cell")).alias("cell")
         )
     )
-    celled = judged.withColumn("both", both).join(cells, "both").drop("both")
-    vectors = celled.select(*names, "cell", *[c.alias(v) for v, c in _vector().items()])
+    # the key of a document, as far as it has one, deals its group's rows
+    salt = F.pmod(F.xxhash64("doc_id", "word_chars"), F.lit(SALTS)).cast("int")
+    celled = _beside(judged.withColumns({"both": both, "salt": salt}), cells, "both").drop("both")
+    vectors = celled.select(*names, "cell", "salt", *[c.alias(v) for v, c in _vector().items()])
     scaled = kept(_scaled(vectors.where("cell is not null")))
     fit = _best_fit(scaled)
     scale = F.greatest(F.col("middle") / CHI2_MEDIAN, F.lit(1.0))
-    distance = scaled.join(fit, "cell").select(*names, (_distance() / scale).alias("distance"))
+    distance = _beside(scaled, fit, "cell").select(*names, (_distance() / scale).alias("distance"))
     free = vectors.where("cell is null").unionByName(
         rows.where("base_failed").select(*names), allowMissingColumns=True
     )
