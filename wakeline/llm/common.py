@@ -5,12 +5,34 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from collections.abc import Callable
 
+import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 WHITE = r"[\x20\x09-\x0D]+"
 BLANKS = " \t\n\x0b\f\r"
+#: Most ids that are broadcast: 8 bytes each.
+BROADCAST_IDS = 500_000
+
+
+class Known(dict):
+    """What a task remembers of words: worked out when first asked for."""
+
+    def __init__(self, find: Callable[[bytes], int]):
+        super().__init__()
+        self.find = find
+
+    def __missing__(self, word: bytes) -> int:
+        found = self[word] = self.find(word)
+        return found
+
+    def numbers(self, words: list[bytes], most: int) -> np.ndarray:
+        """The unsigned 64-bit numbers of words; what is remembered is dropped above ``most``."""
+        if len(self) > most:
+            self.clear()
+        return np.fromiter(map(self.__getitem__, words), np.uint64, len(words))
 
 
 def text_of(column: str | Column) -> Column:
@@ -53,6 +75,16 @@ def kept(frame: DataFrame) -> DataFrame:
     return spark.read.schema(frame.schema).parquet(path)
 
 
+def by_ids(docs: DataFrame, ids: DataFrame, how: str) -> DataFrame:
+    """Documents semi- or anti-joined by ``doc_id`` with a column of distinct ids.
+
+    The ids are counted, and broadcast if they are few enough, which spares the texts a shuffle.
+    """
+    ids = kept(ids.select(F.col(ids.columns[0]).alias("_id")))
+    few = ids.count() <= BROADCAST_IDS
+    return docs.join(F.broadcast(ids) if few else ids, F.col("doc_id") == F.col("_id"), how)
+
+
 def tasks_find_package(spark: SparkSession) -> None:
     """Python workers look for this package where the driver found it."""
     root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))

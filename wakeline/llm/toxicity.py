@@ -23,7 +23,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from wakeline.llm.common import kept, tasks_find_package, text_of, uniform
+from wakeline.llm.common import BROADCAST_IDS, kept, tasks_find_package, text_of, uniform
 from wakeline.llm.langid import may_learn
 from wakeline.llm.langid import held_out as is_held_out
 
@@ -111,9 +111,11 @@ def _ratios(stems: pd.DataFrame) -> dict[str, float]:
 
 def fit(docs: DataFrame, labels: DataFrame) -> dict[str, float]:
     """Ratios of stems, from documents whose label may be learnt from and is not for the curve."""
-    known = _learnable(labels).where(uniform("d") >= CURVE_SHARE)
+    known = kept(_learnable(labels).where(uniform("d") >= CURVE_SHARE))
+    # counted, and broadcast if few enough, which spares the texts a shuffle
+    side = F.broadcast(known) if known.count() <= BROADCAST_IDS else known
     labelled = docs.select("doc_id", text_of("text").alias("text")).join(
-        known, F.col("doc_id") == F.col("d")
+        side, F.col("doc_id") == F.col("d")
     )
     stems = _stems(kept(_word_counts(labelled.select("text", "toxic"))))
     toxic = known.where("toxic > 0").count()
