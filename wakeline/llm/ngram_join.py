@@ -5,11 +5,12 @@ shingle. Two rows can only reach the similarity if they meet in the columns that
 leaves out all but the last ``ceil(s * size)`` of its columns, in an order common to all; in that
 order columns known to be frequent come last, so that a shared passage brings few rows together.
 The product runs over blocks of columns, each an equal share by hash, whose number follows the
-input. Rows that meet are paired first with the smallest row of their column; sizes that rule the
-similarity out discard a pair before its overlap is counted, and counting verifies the rest. Rows
-that are then in one component need no more pairs with each other; all pairs between different
-components that meet in a column are counted too, so no link that joins components is lost, while a
-large group of near copies costs one pair each and column, not the square.
+input. Overlaps of rows are accumulated over the columns in which they meet, first over short
+columns and with a few pivots of each long one; sizes bound what the other columns can add, which
+discards nearly all pairs that are not alike, and whole sets verify the rest. Rows that are then in
+one component need no more pairs with each other; all pairs between different components are
+accumulated too, so no link that joins components is lost, while a large group of near copies costs
+a few pairs for each of its rows, not the square.
 """
 
 from __future__ import annotations
@@ -23,7 +24,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from wakeline.llm.common import kept, tasks_find_package, text_of
+from wakeline.llm.common import BLANKS, Known, by_ids, kept, tasks_find_package, text_of
 from wakeline.llm.components import components
 
 WIDTH = 5
@@ -33,8 +34,10 @@ COUNTED, LOCAL = 1 << 21, 4
 FREQUENT, FREQUENT_LIMIT = 64, 1 << 20
 #: Entries of a block of columns.
 BLOCK = 1 << 20
+#: Rows up to which a column pairs all of them, and the masks that choose pivots of longer ones.
+SHORT, MASKS = 16, (0, 0x5555, 0x3333333, 0x0F0F0F0F, 0x2AAAAAAA, 0x1C71C7, 0x36DB6D, 0x7FFFFFFF)
 #: Words whose hashes a task remembers.
-WORDS = 500_000
+WORDS = 200_000
 
 _MIX, _ODD = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9)
 
@@ -43,22 +46,13 @@ class Shingles:
     """Sorted distinct 64-bit hashes of a text's shingles."""
 
     def __init__(self, width: int = WIDTH):
-        self.width, self.known = width, {}
+        self.width, self.known = width, Known(xxhash.xxh64_intdigest)
 
     def __call__(self, text: str | None) -> np.ndarray:
         words = (text or "").encode().lower().split()  # as bytes: A-Z and ASCII white space only
         if not words:
             return np.empty(0, dtype=np.uint64)
-        if len(self.known) > WORDS:
-            self.known.clear()
-        try:
-            hashes = list(map(self.known.__getitem__, words))
-        except KeyError:
-            for word in words:
-                if word not in self.known:
-                    self.known[word] = xxhash.xxh64_intdigest(word)
-            hashes = list(map(self.known.__getitem__, words))
-        h = np.array(hashes, dtype=np.uint64)
+        h = self.known.numbers(words, WORDS)
         width = min(self.width, len(h))
         out = np.full(len(h) - width + 1, width, dtype=np.uint64)
         for k in range(width):
@@ -133,12 +127,8 @@ def _signatures(docs: DataFrame, percent: int, width: int) -> DataFrame:
     return docs.select("doc_id", "text").mapInPandas(run, schema)
 
 
-def _meeting(rows: DataFrame) -> DataFrame:
+def _meeting(rows: DataFrame, blocks: int) -> DataFrame:
     """``shingle, node, n``: entries of columns in which several rows meet."""
-    entries = rows.agg(F.sum(F.size("rare"))).first()[0] or 0
-    blocks = max(64, -(-entries // BLOCK))
-
-
     def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         # a row's columns, cut by block
         for batch in batches:
@@ -197,12 +187,14 @@ def _sets(docs: DataFrame, nodes: DataFrame, width: int) -> DataFrame:
                 {"node": frame["doc_id"], "set": [shingles(t).tobytes() for t in frame["text"]]}
             )
 
-    chosen = docs.select("doc_id", "text").join(
-        nodes, F.col("doc_id") == F.col("node"), "left_semi"
-    )
+    chosen = by_ids(docs.select("doc_id", "text"), nodes, "left_semi")
     return chosen.mapInPandas(run, "node long, set binary")
 
 
+def _ends(pairs: DataFrame) -> DataFrame:
+    return pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+
+
 def _links(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """``a, b``: pairs whose counted overlap reaches the similarity."""
 
@@ -222,11 +214,59 @@ def _links(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return both.mapInArrow(run, "a long, b long")
 
 
-def _pairs(left: DataFrame, right: DataFrame, apart, percent: int) -> DataFrame:
-    """``a, b``: distinct pairs that meet in a column, unless their sizes rule them out."""
-    sizes = 100 * F.least("n", "m") >= percent * F.greatest("n", "m")
-    met = left.join(right, "shingle").where(apart & sizes)
-    return met.select(F.least("node", "other").alias("a"), F.greatest("node", "other").alias("b")).distinct()
+def _column_sizes(meeting: DataFrame) -> DataFrame:
+    """Rows of every column, and its pivots: rows that come first under different bit masks."""
+    pivots = [F.min(F.col("node").bitwiseXOR(mask)).bitwiseXOR(mask) for mask in MASKS]
+    return meeting.groupBy("shingle").agg(
+        F.count(F.lit(1)).alias("rows"), F.array_distinct(F.array(*pivots)).alias("pivots")
+    )
+
+
+def _possible(met: DataFrame, sizes: DataFrame, percent: int) -> DataFrame:
+    """``a, b``: pairs, met once for each column, that the similarity is still possible for.
+
+    Of the two, one has its leading columns end first; all that the pair shares up to there is
+    counted, and what follows is at most that one's other columns.
+    """
+    counted = met.groupBy("a", "b").agg(F.count(F.lit(1)).alias("overlap"))
+    sized = counted.join(sizes.select(F.col("node").alias("a"), "n"), "a")
+    sized = sized.join(sizes.select(F.col("node").alias("b"), F.col("n").alias("m")), "b")
+    larger, smaller = F.greatest("n", "m"), F.least("n", "m")
+    need = F.ceil(percent * (F.col("n") + F.col("m")) / (100 + percent))
+    rest = F.ceil(percent * larger / 100) - 1
+    fits = (100 * smaller >= percent * larger) & (F.col("overlap") >= need - rest)
+    return sized.where(fits).select("a", "b")
+
+
+def _near_pairs(meeting: DataFrame, sizes: DataFrame, percent: int) -> DataFrame:
+    """Pairs from short columns, and those with the pivots of long ones."""
+    columns = _column_sizes(meeting).where("rows > 1")
+    entries = meeting.select("shingle", "node").join(columns, "shingle")
+    short = entries.where(F.col("rows") <= SHORT).select("shingle", F.col("node").alias("a"))
+    other = short.withColumnRenamed("a", "b")
+    met = short.join(other, "shingle").where("a < b").select("a", "b")
+    long = entries.where(F.col("rows") > SHORT)
+    long = long.select("node", F.explode("pivots").alias("other")).where("node <> other")
+    met = met.unionByName(
+        long.select(F.least("node", "other").alias("a"), F.greatest("node", "other").alias("b"))
+    )
+    return _possible(met, sizes, percent)
+
+
+def _still_apart(
+    meeting: DataFrame, groups: DataFrame, sizes: DataFrame, percent: int
+) -> DataFrame:
+    """Pairs of rows in different groups; columns within one group take no part."""
+    placed = meeting.select("shingle", "node").join(groups, "node", "left")
+    placed = kept(placed.select("shingle", "node", F.coalesce("component", "node").alias("c")))
+    columns = placed.groupBy("shingle").agg(F.min("c").alias("lo"), F.max("c").alias("hi"))
+    left = placed.join(columns.where("lo < hi").select("shingle"), "shingle")
+    left = kept(left.select("shingle", F.col("node").alias("a"), "c"))
+    right = left.select("shingle", F.col("a").alias("b"), F.col("c").alias("d"))
+    # c < d takes every two groups once
+    met = left.join(right, "shingle").where("c < d")
+    ends = F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")
+    return _possible(met.select(*ends), sizes, percent)
 
 
 def similar_groups(docs: DataFrame, percent: int = 75, width: int = WIDTH) -> DataFrame:
@@ -243,31 +283,21 @@ def similar_groups(docs: DataFrame, percent: int = 75, width: int = WIDTH) -> Da
     full = signed.where("n > 0 and doc_id is not null")
     prints = ["first", "second", "n"]
     classes = kept(full.groupBy(*prints).agg(F.min("doc_id").alias("node")))
-    rows = full.join(classes, prints).where("doc_id = node").select("node", "n", "rare", "often")
-    meeting = kept(_meeting(kept(rows)))
-
-    # smallest row of every column first, then what is still apart
-    smallest = meeting.groupBy("shingle").agg(F.min(F.struct("n", "node")).alias("p"))
-    smallest = smallest.select("shingle", F.col("p.node").alias("other"), F.col("p.n").alias("m"))
-    pairs = kept(_pairs(meeting, smallest, F.col("node") != F.col("other"), percent))
-    ends = meeting.select("node").distinct()
-    sets = kept(_sets(docs, ends, width))
-    links = kept(_links(pairs, sets, percent))
-    found = components(links)
-    placed = meeting.join(found, "node", "left").select(
-        "shingle", "node", "n", F.coalesce("component", "node").alias("c")
-    )
-    placed = kept(placed)
-    open_columns = placed.groupBy("shingle").agg(F.min("c").alias("lo"), F.max("c").alias("hi"))
-    open_columns = open_columns.where("lo < hi").select("shingle")
-    left = kept(placed.join(open_columns, "shingle"))
-    right = left.select(
-        "shingle", F.col("node").alias("other"), F.col("n").alias("m"), F.col("c").alias("d")
-    )
-    # c < d takes every two components once
-    rest = _pairs(left, right, F.col("c") < F.col("d"), percent)
+    copies = full.select("doc_id", *prints).join(classes, prints).where("doc_id <> node")
+    rows = by_ids(full, copies.select("doc_id").distinct(), "left_anti")
+    rows = rows.select(F.col("doc_id").alias("node"), "n", "rare", "often")
+    sizes = classes.select("node", "n").dropDuplicates(["node"])
+    entries = signed.agg(F.sum(F.size("rare"))).first()[0] or 0
+    meeting = kept(_meeting(rows, max(64, -(-entries // BLOCK))))
+
+    pairs = kept(_near_pairs(meeting, sizes, percent))
+    sets = kept(_sets(docs, _ends(pairs), width))
+    found = components(_links(pairs, sets, percent))
+    rest = _still_apart(meeting, found, sizes, percent)
     rest = kept(rest.join(pairs, ["a", "b"], "left_anti"))
-    # found components join through their smallest node, so their links are stars
+    unread = kept(_ends(rest).join(sets.select("node"), "node", "left_anti"))
+    sets = sets.unionByName(kept(_sets(docs, unread, width)))
+    # what is found joins through its smallest node
     stars = found.select(F.col("node").alias("a"), F.col("component").alias("b"))
     groups = components(stars.unionByName(_links(rest, sets, percent)))
 
@@ -287,8 +317,13 @@ def one_of_each(docs: DataFrame, percent: int = 75, width: int = WIDTH) -> DataF
     have words one stays.
     """
     gone = similar_groups(docs, percent, width).where("doc_id <> component_id").select("doc_id")
-    packed = docs.select(F.struct("*").alias("row"), "doc_id")
-    stay = packed.join(gone.distinct(), "doc_id", "left_anti")
-    blank = F.length(F.translate(text_of("row.text"), " \t\n\x0b\f\r", "")) == 0
-    free = F.when(blank | F.col("doc_id").isNull(), F.monotonically_increasing_id())
-    return stay.withColumn("free", free).dropDuplicates(["doc_id", "free"]).select("row.*")
+    stay = by_ids(docs.select(F.struct("*").alias("row"), "doc_id"), gone.distinct(), "left_anti")
+    # only ids that stand more than once need a look at their rows
+    often = docs.where("doc_id is not null").groupBy("doc_id").agg(F.count(F.lit(1)).alias("rows"))
+    often = kept(often.where("rows > 1").select("doc_id"))
+    once = by_ids(stay, often, "left_anti")
+    rest = by_ids(stay, often, "left_semi")
+    blank = F.length(F.translate(text_of("row.text"), BLANKS, "")) == 0
+    first = rest.where(~blank).groupBy("doc_id").agg(F.min_by("row", F.xxhash64("row.text")).alias("row"))
+    out = once.select("row").unionByName(rest.where(blank).select("row"))
+    return out.unionByName(first.select("row")).select("row.*")
