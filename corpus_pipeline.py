@@ -16,14 +16,13 @@ from wakeline.llm import common, langid, line_dedup, mixing, ngram_join, packing
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents in a language that can be told: neither ``und`` nor too ambiguous to call.
 
-    Decisions go by ``doc_id``; rows that share one stay if any of them is accepted. Rows without
+    Decisions go by ``doc_id``: rows that share one go if any of them is rejected. Rows without
     ``doc_id`` cannot be told apart and stay.
     """
     found = langid.identify(docs)
-    told = found.where((F.col("lang_pred") != langid.UNKNOWN) & ~F.col("ambiguous"))
-    accepted = told.where("doc_id is not null").select("doc_id").distinct()
-    named = docs.where("doc_id is not null").join(accepted, "doc_id", "left_semi")
-    return named.select(*docs.columns).unionByName(docs.where("doc_id is null"))
+    rejected = found.where((F.col("lang_pred") == langid.UNKNOWN) | F.col("ambiguous"))
+    gone = rejected.where("doc_id is not null").select("doc_id").distinct()
+    return common.by_ids(docs, gone, "left_anti")
 
 
 def line_join(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -76,7 +76,8 @@ def test_odd_rows(spark):
         ("[0-9a-f]{24,}", []),
         ("abcd", [{"abc", "bcd"}]),
         ("abc|xyz", [{"abc"}, {"xyz"}]),
-        ("ab(c|d)?e", []),
+        ("ab(c|d)?e", [{"abe"}, {"abc", "bce"}, {"abd", "bde"}]),
+        ("ab.c", []),
         ("a[bc]d.*xyz", [{"abd", "xyz"}, {"acd", "xyz"}]),
         ("x*abc", [{"abc"}]),
         ("AKIA[A-Z]+", [{"aki", "kia"}]),

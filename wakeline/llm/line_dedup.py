@@ -7,7 +7,9 @@ before them by hash. Two lines as similar as asked share a word among their firs
 one word more. So rare words are keys by themselves and frequent ones in twos, which keeps the
 lists of lines under a key short. Keys are dealt to blocks by hash, as packed arrays; within a
 block, lengths, positions and small bitmaps discard pairs, and word sets verify the rest. A line
-goes if a similar one stands before it, in the order of ``doc_id`` and line number.
+goes if a similar one stands before it, in the order of ``doc_id`` and line number. One such match
+is enough, so each line is verified against its earliest candidates first, and against all others
+only where those fail: many versions of a line cost a few pairs each, not the square.
 """
 
 from __future__ import annotations
@@ -21,7 +23,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from wakeline.llm.common import kept, tasks_find_package
+from wakeline.llm.common import Known, by_ids, kept, tasks_find_package
 
 PERCENT, LEAST_WORDS = 80, 5
 #: Lines' words in a chunk, the count in a chunk that may make a word frequent, the count over all
@@ -29,10 +31,20 @@ PERCENT, LEAST_WORDS = 80, 5
 CHUNK, LOCAL, FREQUENT, FREQUENT_LIMIT = 1 << 20, 16, 256, (1 << 16) - 2
 RANK_SHIFT = 48
 BLOCK = 1 << 20
-WORDS = 500_000
+WORDS = 200_000
 ENTRY = np.dtype(
-    [("key", "<u4"), ("node", "<u8"), ("n", "<u4"), ("at", "<u2"), ("bits", "<u4")]
+    [
+        ("key", "<u4"),
+        ("node", "<u8"),
+        ("doc", "<u4"),
+        ("n", "<u2"),
+        ("at", "u1"),
+        ("bits", "<u8", (2,)),
+    ]
 )
+#: Sizes from here on are not told apart in an entry, nor are positions above 255; both only make
+#: its filters let more through.
+MOST_N = 65_535
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -46,20 +58,16 @@ class Codes:
     """A word's rank among frequent words, 0 for all others, above the lower bits of its hash."""
 
     def __init__(self, ranks: dict[int, int] | None = None):
-        self.ranks, self.known = ranks, {}
+        self.ranks, self.known = ranks, Known(self._code)
 
     def _code(self, word: bytes) -> int:
         code = xxhash.xxh64_intdigest(word)
         if self.ranks is not None:
             code = self.ranks.get(code, 0) << RANK_SHIFT | code & ((1 << RANK_SHIFT) - 1)
-        self.known[word] = code
         return code
 
     def __call__(self, words: list[bytes]) -> np.ndarray:
-        if len(self.known) > WORDS:
-            self.known.clear()
-        get, code = self.known.get, self._code
-        return np.array([get(w) or code(w) for w in words], dtype=np.uint64)
+        return self.known.numbers(words, WORDS)
 
 
 def _chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[list, list, list, list]]:
@@ -86,15 +94,25 @@ def frequent_words(docs: DataFrame) -> dict[int, int]:
     """Ranks of frequent words' hashes, the rarest first; only the order of words rests on it."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        codes = Codes()
-        for *_, words in _chunks(batches):
-            found, n = np.unique(codes(words), return_counts=True)
+        def standing_out(parts: list[np.ndarray]) -> pa.RecordBatch:
+            found, n = np.unique(np.concatenate(parts), return_counts=True)
             often = n >= LOCAL
-            yield pa.RecordBatch.from_arrays(
+            return pa.RecordBatch.from_arrays(
                 [pa.array(found[often].view(np.int64)), pa.array(n[often].astype(np.int64))],
                 names=["word", "n"],
             )
 
+        codes, parts, size = Codes(), [], 0
+        for batch in batches:
+            for text in batch.column(1).cast(pa.binary()).to_pylist():
+                parts.append(codes(text.lower().split()))
+                size += len(parts[-1])
+                if size >= CHUNK:
+                    yield standing_out(parts)
+                    parts, size = [], 0
+        if parts:
+            yield standing_out(parts)
+
     each = docs.mapInArrow(run, "word long, n long")
     counts = kept(each.groupBy("word").agg(F.sum("n").alias("n")).where(F.col("n") >= FREQUENT))
     least = FREQUENT
@@ -108,21 +126,32 @@ def frequent_words(docs: DataFrame) -> dict[int, int]:
 def _line_sets(codes: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Distinct codes of every line in order, their lines, and where each line begins."""
     line = np.repeat(np.arange(len(sizes)), sizes)
-    order = np.lexsort((codes, line))
-    codes, line = codes[order], line[order]
+    # one sort of the line and the upper bits of the code, unless that is not enough to tell
+    lead = np.uint64(max(len(sizes), 1).bit_length())
+    both = line.astype(np.uint64) << np.uint64(64) - lead | codes >> lead
+    order = np.argsort(both)
+    both, sorted_codes = both[order], codes[order]
+    if ((both[1:] == both[:-1]) & (sorted_codes[1:] != sorted_codes[:-1])).any():
+        order = np.lexsort((codes, line))
+        sorted_codes = codes[order]
+    codes, line = sorted_codes, line[order]
     new = np.ones(len(codes), dtype=bool)
     new[1:] = (codes[1:] != codes[:-1]) | (line[1:] != line[:-1])
     codes, line = codes[new], line[new]
     return codes, line, np.searchsorted(line, np.arange(len(sizes)))
 
 
-def _entries(codes, line, begin, n, node, percent: int) -> np.ndarray:
+def _entries(codes, line, begin, n, node, doc, percent: int) -> tuple[np.ndarray, np.ndarray]:
     """Keys of every line: its leading rare words, and its leading frequent ones in twos."""
     lead = n - (percent * n + 99) // 100 + 1
     at = np.arange(len(codes)) - begin[line]
     often = codes >> np.uint64(RANK_SHIFT) > 0
-    bit = np.left_shift(np.uint32(1), (mixed(codes) % np.uint64(32)).astype(np.uint32))
-    bits = np.bitwise_or.reduceat(bit, begin)
+    # a bitmap of 128 bits, in two halves
+    place = mixed(codes)
+    bit = np.left_shift(np.uint64(1), place & np.uint64(63))
+    half = place & np.uint64(64) > 0
+    halves = [np.where(half, np.uint64(0), bit), np.where(half, bit, np.uint64(0))]
+    bits = np.column_stack([np.bitwise_or.reduceat(h, begin) for h in halves])
     wide = n[line] >= LEAST_WORDS
     single = np.flatnonzero(~often & (at < lead[line]) & wide)
     keys, where = [mixed(codes[single])], [single]
@@ -139,8 +168,11 @@ def _entries(codes, line, begin, n, node, percent: int) -> np.ndarray:
     key, where = np.concatenate(keys), np.concatenate(where)
     out = np.empty(len(key), dtype=ENTRY)
     owner = line[where]
-    out["key"], out["node"], out["n"] = key, node[owner], n[owner]
-    out["at"], out["bits"] = np.minimum(at[where], 65535), bits[owner]
+    out["key"] = (key & np.uint64(0xFFFFFFFF)).astype(np.uint32)
+    out["node"], out["n"] = node[owner], np.minimum(n[owner], MOST_N)
+    # tells documents with ids from 0 to 2^32 - 2 apart; others count as one
+    out["doc"] = np.clip(doc[owner], -1, 2**32 - 2) + 1
+    out["at"], out["bits"] = np.minimum(at[where], 255), bits[owner]
     return out, (key >> np.uint64(32)).astype(np.uint32)
 
 
@@ -180,9 +212,9 @@ def _read_lines(docs: DataFrame, percent: int, blocks: int) -> DataFrame:
             if not stay.any():
                 continue
             codes, line = codes[stay], (np.cumsum(fresh) - 1)[line[stay]]
-            n, node = n[fresh], node[fresh]
+            n, node, doc = n[fresh], node[fresh], np.array(ids, dtype=np.int64)[fresh]
             begin = np.searchsorted(line, np.arange(len(n)))
-            entries, deal = _entries(codes, line, begin, n, node, percent)
+            entries, deal = _entries(codes, line, begin, n, node, doc, percent)
             deal = deal % np.uint32(blocks)
             order = np.argsort(deal, kind="stable")
             entries, deal = entries[order], deal[order]
@@ -203,37 +235,93 @@ def _read_lines(docs: DataFrame, percent: int, blocks: int) -> DataFrame:
     return docs.mapInArrow(run, schema)
 
 
-def close_pairs(entries: np.ndarray, percent: int) -> np.ndarray:
-    """Distinct pairs of nodes under one key that sizes, positions and bitmaps leave possible."""
-    e = np.sort(entries, order=["key", "n", "node"])
+def _close(entries: np.ndarray, percent: int) -> tuple[np.ndarray, Iterator]:
+    """Sorted entries, and positions of pairs that sizes, places and bitmaps leave possible."""
+    e = entries[np.lexsort([entries[c] for c in ("doc", "node", "n", "key")])]
     again = (e["key"][1:] == e["key"][:-1]) & (e["node"][1:] == e["node"][:-1])
     e = e[np.insert(~again, 0, True)] if len(e) else e
-    key, node, n = e["key"], e["node"], e["n"].astype(np.int64)
-    after, bits = n - e["at"] - 1, e["bits"]
-    active, step, found = np.arange(len(e)), 1, []
-    while len(active):
-        active = active[active + step < len(e)]
-        x, y = active, active + step
-        near = (key[x] == key[y]) & (100 * n[x] >= percent * n[y])
-        active = x = x[near]
-        y = y[near]
-        need = (percent * (n[x] + n[y]) + 99 + percent) // (100 + percent)
-        fits = 1 + np.minimum(after[x], after[y]) >= need
-        fits &= np.bitwise_count(bits[x] ^ bits[y]) <= n[x] + n[y] - 2 * need
-        x, y = x[fits], y[fits]
-        found.append(np.column_stack([node[x], node[y]]))
-        step += 1
-    pairs = np.concatenate(found) if found else np.empty((0, 2), dtype=np.uint64)
-    return np.unique(np.sort(pairs.view(np.int64).reshape(-1, 2), axis=1), axis=0)
 
+    def pairs() -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        key, n = e["key"], e["n"].astype(np.int64)
+        after, bits = np.where(n == MOST_N, 1 << 40, n - e["at"] - 1), e["bits"]
+        active, step = np.arange(len(e)), 1
+        while len(active):
+            active = active[active + step < len(e)]
+            x, y = active, active + step
+            near = (key[x] == key[y]) & (100 * n[x] >= percent * n[y])
+            active = x = x[near]
+            y = y[near]
+            need = (percent * (n[x] + n[y]) + 99 + percent) // (100 + percent)
+            fits = 1 + np.minimum(after[x], after[y]) >= need
+            apart = np.bitwise_count(bits[x] ^ bits[y]).sum(axis=1)
+            fits &= apart <= n[x] + n[y] - 2 * need
+            yield x[fits], y[fits]
+            step += 1
+
+    return e, pairs()
+
+
+def close_pairs(entries: np.ndarray, percent: int, among: np.ndarray | None = None) -> np.ndarray:
+    """Distinct possible pairs of nodes under one key, at least one of them ``among`` some."""
+    e, pairs = _close(entries, percent)
+    wanted = np.ones(len(e), dtype=bool) if among is None else np.isin(e["node"], among)
+    found = [np.empty((0, 2), dtype=np.uint64)]
+    for x, y in pairs:
+        take = wanted[x] | wanted[y]
+        found.append(np.column_stack([e["node"][x[take]], e["node"][y[take]]]))
+    both = np.concatenate(found).view(np.int64).reshape(-1, 2)
+    return np.unique(np.sort(both, axis=1), axis=0)
+
+
+def earliest_partners(entries: np.ndarray, percent: int) -> pd.DataFrame:
+    """``a, b, more``: for every node its possible partner of the earliest document under a key.
+
+    ``more`` tells that it has others that may stand before it: a second one, or one whose
+    document cannot be told to be earlier.
+    """
+    e, pairs = _close(entries, percent)
+    doc = e["doc"].astype(np.uint64)
+    best, count = np.full(len(e), ~np.uint64(0)), np.zeros(len(e), dtype=np.int64)
+    for x, y in pairs:
+        first = doc[x] < doc[y]
+        same = doc[x] == doc[y]
+        later = np.concatenate([np.where(first, y, x), np.where(first, x, y)[same]])
+        other = np.concatenate([np.where(first, x, y), np.where(first, y, x)[same]])
+        np.minimum.at(best, later, doc[other] << np.uint64(32) | other.astype(np.uint64))
+        np.add.at(count, later, 1)
+        np.add.at(count, np.concatenate([x[same], y[same]]), 1)
+    has = np.flatnonzero(count)
+    other = (best[has] & np.uint64(0xFFFFFFFF)).astype(np.int64)
+    node = e["node"].view(np.int64) if e["node"].flags["C_CONTIGUOUS"] else e["node"].copy().view(np.int64)
+    return pd.DataFrame({"a": node[has], "b": node[other], "more": count[has] > 1})
+
+
+def _unpacked(frame: pd.DataFrame) -> np.ndarray:
+    return np.frombuffer(b"".join(frame["entries"]), dtype=ENTRY)
+
+
+def _first_candidates(packed: DataFrame, percent: int) -> DataFrame:
+    """``a, b, more, block``."""
 
-def _candidates(packed: DataFrame, percent: int) -> DataFrame:
     def run(frame: pd.DataFrame) -> pd.DataFrame:
-        entries = np.frombuffer(b"".join(frame["entries"]), dtype=ENTRY)
-        pairs = close_pairs(entries, percent)
+        found = earliest_partners(_unpacked(frame), percent)
+        return found.assign(block=frame["block"].iloc[0])
+
+    return packed.groupBy("block").applyInPandas(run, "a long, b long, more boolean, block int")
+
+
+def _other_candidates(packed: DataFrame, open_nodes: DataFrame, percent: int) -> DataFrame:
+    """``a, b``: all possible pairs of the nodes ``block, a``."""
+
+    def run(frame: pd.DataFrame, nodes: pd.DataFrame) -> pd.DataFrame:
+        if not len(nodes) or not len(frame):
+            return pd.DataFrame({"a": [], "b": []}, dtype=np.int64)
+        among = nodes["a"].to_numpy(dtype=np.int64).view(np.uint64)
+        pairs = close_pairs(_unpacked(frame), percent, among)
         return pd.DataFrame({"a": pairs[:, 0], "b": pairs[:, 1]})
 
-    return packed.groupBy("block").applyInPandas(run, "a long, b long").distinct()
+    both = packed.groupBy("block").cogroup(open_nodes.groupBy("block"))
+    return both.applyInPandas(run, "a long, b long").distinct()
 
 
 def _word_sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
@@ -252,7 +340,9 @@ def _word_sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
             yield pd.DataFrame(rows, columns=["node", "words"])
 
     places = wanted.groupBy("doc_id").agg(F.collect_list(F.struct("line", "node")).alias("places"))
-    found = docs.join(places, "doc_id").select("text", "places")
+    places = kept(places)
+    chosen = by_ids(docs, places.select("doc_id"), "left_semi")
+    found = chosen.join(places, "doc_id").select("text", "places")
     return found.mapInPandas(run, "node long, words binary")
 
 
@@ -291,18 +381,32 @@ def later_lines(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     lines = read.where("block is null").select("node", "n", "doc_id", "line")
     place = F.struct("doc_id", "line")
     classes = kept(lines.groupBy("node").agg(F.min(place).alias("first")))
-    pairs = kept(_candidates(read.where("block is not null").select("block", "entries"), percent))
-    ends = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
-    wanted = classes.join(ends, "node").select("node", "first.*")
-    sets = kept(_word_sets(docs, wanted).dropDuplicates(["node"]))
-    similar = _similar(pairs, sets, percent)
-    one = classes.select(F.col("node").alias("a"), F.col("first").alias("first_a"))
-    two = classes.select(F.col("node").alias("b"), F.col("first").alias("first_b"))
-    ordered = similar.join(one, "a").join(two, "b")
-    late = ordered.select(
-        F.when(F.col("first_a") < F.col("first_b"), F.col("b")).otherwise(F.col("a")).alias("node")
-    )
-    marked = classes.join(late.distinct().withColumn("late", F.lit(True)), "node", "left")
+    packed = read.where("block is not null").select("block", "entries")
+
+    def late(pairs: DataFrame) -> DataFrame:
+        """``node``: those of the pairs that are similar to an earlier one."""
+        ends = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+        wanted = classes.join(ends, "node").select("node", "first.*")
+        sets = kept(_word_sets(docs, wanted).dropDuplicates(["node"]))
+        similar = _similar(pairs, sets, percent)
+        one = classes.select(F.col("node").alias("a"), F.col("first").alias("first_a"))
+        two = classes.select(F.col("node").alias("b"), F.col("first").alias("first_b"))
+        ordered = similar.join(one, "a").join(two, "b")
+        later = F.when(F.col("first_a") < F.col("first_b"), F.col("b")).otherwise(F.col("a"))
+        return kept(ordered.select(later.alias("node")).distinct())
+
+    # a line needs one earlier match: the earliest candidates first, others where those fail
+    first = kept(_first_candidates(packed, percent))
+    ends = F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")
+    pairs = kept(first.select(*ends).distinct())
+    known = late(pairs)
+    still = first.where("more").join(known, F.col("a") == F.col("node"), "left_anti")
+    still = kept(still.select("block", "a").distinct())
+    if not still.isEmpty():
+        rest = _other_candidates(packed, still, percent).join(pairs, ["a", "b"], "left_anti")
+        known = known.unionByName(late(kept(rest))).distinct()
+    late_nodes = known.withColumn("late", F.lit(True))
+    marked = classes.join(late_nodes, "node", "left")
     gone = lines.join(marked, "node").where(F.col("late") | (place != F.col("first")))
     return gone.groupBy("doc_id").agg(F.sort_array(F.collect_set("line")).alias("removed"))
 

@@ -68,7 +68,11 @@ def op2_robust_quality(spark, sf_dir):
 @query
 def op3_secret_scan(spark, sf_dir):
     spans = F.col("spans")
-    n = {k: F.size(F.filter(spans, lambda s, o=o: s["order"] == o)).cast("long") for o, k in enumerate(secrets.BASE_KINDS)}
+
+    def count(order: int):
+        return F.size(F.filter(spans, lambda s: s["order"] == order)).cast("long")
+
+    n = {kind: count(order) for order, kind in enumerate(secrets.BASE_KINDS)}
     base = F.filter(spans, lambda s: s["order"] < len(secrets.BASE_KINDS))
     return secrets.scan(documents(spark, sf_dir)).select(
         "doc_id",
