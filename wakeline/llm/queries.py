@@ -12,6 +12,7 @@ from wakeline.llm import (
     line_dedup,
     mixing,
     ngram_join,
+    oracle,
     packing,
     quality_rules,
     secrets,
@@ -19,7 +20,7 @@ from wakeline.llm import (
 )
 
 QUERIES = {}
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {"op3_secret_scan": oracle.secret_scan()}
 
 
 def query(function):
