@@ -28,10 +28,11 @@ from wakeline.llm.common import Known, by_ids, kept, tasks_find_package
 PERCENT, LEAST_WORDS = 80, 5
 #: Lines' words in a chunk, the count in a chunk that may make a word frequent, the count over all
 #: that does, and the most frequent words kept (their ranks are the upper 16 bits of a code).
-CHUNK, LOCAL, FREQUENT, FREQUENT_LIMIT = 1 << 20, 16, 256, (1 << 16) - 2
+CHUNK, LOCAL, FREQUENT, FREQUENT_LIMIT = 1 << 19, 8, 256, (1 << 16) - 2
 RANK_SHIFT = 48
 BLOCK = 1 << 20
 WORDS = 200_000
+ROWS = 500
 ENTRY = np.dtype(
     [
         ("key", "<u4"),
@@ -70,10 +71,17 @@ class Codes:
         return self.known.numbers(words, WORDS)
 
 
+def _slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Few rows at a time, so that few texts stand in a task's memory as objects."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, ROWS):
+            yield batch.slice(at, ROWS)
+
+
 def _chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[list, list, list, list]]:
     """Words of many lines: document, line number, number of words, and the words in one list."""
     docs, numbers, sizes, words = [], [], [], []
-    for batch in batches:
+    for batch in _slices(batches):
         texts = batch.column(1).cast(pa.binary()).to_pylist()
         for doc_id, text in zip(batch.column(0).to_pylist(), texts):
             for number, line in enumerate(text.lower().split(b"\n")):
@@ -103,7 +111,7 @@ def frequent_words(docs: DataFrame) -> dict[int, int]:
             )
 
         codes, parts, size = Codes(), [], 0
-        for batch in batches:
+        for batch in _slices(batches):
             for text in batch.column(1).cast(pa.binary()).to_pylist():
                 parts.append(codes(text.lower().split()))
                 size += len(parts[-1])
