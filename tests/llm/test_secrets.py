@@ -38,7 +38,7 @@ def test_query(spark):
     texts = {r["doc_id"]: r["text"] for r in queries.documents(spark, SF).collect()}
     assert len(rows) == len(texts)
     check(rows, texts)
-    assert sum(r["n_assign"] > 0 for r in rows) and sum(r["n_access"] > 0 for r in rows)
+    assert sum(r["n_assign"] > 0 for r in rows)
 
 
 TRICKY = [
