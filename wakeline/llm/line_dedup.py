@@ -189,7 +189,7 @@ def _read_lines(docs: DataFrame, percent: int, blocks: int) -> DataFrame:
     ranks = frequent_words(docs)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        coder, seen = Codes(ranks), set()
+        coder, seen = Codes(ranks), {}
         schema = pa.schema(
             [("block", pa.int32()), ("node", pa.int64()), ("n", pa.int32()),
              ("doc_id", pa.int64()), ("line", pa.int32()), ("entries", pa.binary())]
@@ -208,11 +208,16 @@ def _read_lines(docs: DataFrame, percent: int, blocks: int) -> DataFrame:
                 pa.nulls(int(wide.sum()), pa.binary()),
             ]
             yield pa.RecordBatch.from_arrays(columns, schema=schema)
-            # copies of a line within a task need no second entry
+            # copies of a line within a task need no second entry, unless they stand earlier: the
+            # least document of all entries of a class is that of its first line
+            doc = np.array(ids, dtype=np.int64)
+            order = np.lexsort((doc, node))
+            head = np.insert(node[order][1:] != node[order][:-1], 0, True)
             fresh = np.zeros(len(n), dtype=bool)
-            for i, own in enumerate(node.tolist()):
-                if own not in seen:
-                    seen.add(own)
+            for i in order[head].tolist():
+                own, at = int(node[i]), int(doc[i])
+                if own not in seen or at < seen[own]:
+                    seen[own] = at
                     fresh[i] = True
             if len(seen) > WORDS:
                 seen.clear()
@@ -220,7 +225,7 @@ def _read_lines(docs: DataFrame, percent: int, blocks: int) -> DataFrame:
             if not stay.any():
                 continue
             codes, line = codes[stay], (np.cumsum(fresh) - 1)[line[stay]]
-            n, node, doc = n[fresh], node[fresh], np.array(ids, dtype=np.int64)[fresh]
+            n, node, doc = n[fresh], node[fresh], doc[fresh]
             begin = np.searchsorted(line, np.arange(len(n)))
             entries, deal = _entries(codes, line, begin, n, node, doc, percent)
             deal = deal % np.uint32(blocks)
