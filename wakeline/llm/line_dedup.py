@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 
 from wakeline.llm.common import Known, by_ids, kept, tasks_find_package
 
-PERCENT, LEAST_WORDS = 80, 5
+PERCENT = 80
 #: Lines' words in a chunk, the count in a chunk that may make a word frequent, the count over all
 #: that does, and the most frequent words kept (their ranks are the upper 16 bits of a code).
 CHUNK, LOCAL, FREQUENT, FREQUENT_LIMIT = 1 << 19, 8, 256, (1 << 16) - 2
@@ -86,7 +86,7 @@ def _chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[list, list, lis
         for doc_id, text in zip(batch.column(0).to_pylist(), texts):
             for number, line in enumerate(text.lower().split(b"\n")):
                 own = line.split()
-                if len(own) >= LEAST_WORDS:
+                if own:
                     docs.append(doc_id)
                     numbers.append(number)
                     sizes.append(len(own))
@@ -160,8 +160,11 @@ def _entries(codes, line, begin, n, node, doc, percent: int) -> tuple[np.ndarray
     half = place & np.uint64(64) > 0
     halves = [np.where(half, np.uint64(0), bit), np.where(half, bit, np.uint64(0))]
     bits = np.column_stack([np.bitwise_or.reduceat(h, begin) for h in halves])
-    wide = n[line] >= LEAST_WORDS
-    single = np.flatnonzero(~often & (at < lead[line]) & wide)
+    # a set of few words is similar to none but its own class, which needs no candidates
+    wide = (100 * n >= percent * (n + 1))[line]
+    # one that may share a single word has no two of them for a key
+    alone = (percent * n <= 100)[line]
+    single = np.flatnonzero((~often | alone) & (at < lead[line]) & wide)
     keys, where = [mixed(codes[single])], [single]
     first = np.flatnonzero(often & (at <= lead[line]) & wide)
     step = 1
@@ -184,7 +187,7 @@ def _entries(codes, line, begin, n, node, doc, percent: int) -> tuple[np.ndarray
     return out, (key >> np.uint64(32)).astype(np.uint32)
 
 
-def _read_lines(docs: DataFrame, percent: int, blocks: int) -> DataFrame:
+def _read_lines(docs: DataFrame, percent: int, blocks: int, least_words: int) -> DataFrame:
     """Rows of lines (``node, n, doc_id, line``) and, with ``block`` set, of packed ``entries``."""
     ranks = frequent_words(docs)
 
@@ -198,7 +201,7 @@ def _read_lines(docs: DataFrame, percent: int, blocks: int) -> DataFrame:
             codes, line, begin = _line_sets(coder(words), np.array(sizes))
             n = np.diff(np.append(begin, len(codes)))
             node = np.add.reduceat(mixed(codes), begin)
-            wide = n >= LEAST_WORDS
+            wide = n >= least_words
             columns = [
                 pa.nulls(int(wide.sum()), pa.int32()),
                 pa.array(node[wide].view(np.int64)),
@@ -214,7 +217,9 @@ def _read_lines(docs: DataFrame, percent: int, blocks: int) -> DataFrame:
             order = np.lexsort((doc, node))
             head = np.insert(node[order][1:] != node[order][:-1], 0, True)
             fresh = np.zeros(len(n), dtype=bool)
-            for i in order[head].tolist():
+            joins = (n >= least_words) & (100 * n >= percent * (n + 1))
+            head = order[head]
+            for i in head[joins[head]].tolist():
                 own, at = int(node[i]), int(doc[i])
                 if own not in seen or at < seen[own]:
                     seen[own] = at
@@ -375,22 +380,23 @@ def _similar(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return both.mapInArrow(run, "a long, b long")
 
 
-def later_lines(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
+def later_lines(docs: DataFrame, percent: int = PERCENT, least_words: int = 1) -> DataFrame:
     """``doc_id, removed``: numbers, from 0, of the lines that repeat an earlier one.
 
     Words are runs of characters other than ASCII white space, A-Z in lower case; lines are cut at
     line feeds. Two lines are similar if their sets of words overlap in ``percent`` of their union
-    or more. Lines with fewer than five different words are left alone, as are rows without
-    ``doc_id`` or text. Rows that share a ``doc_id`` stand at one place, so their lines of one
-    number do not remove each other. Sets are told apart by 64-bit hashes. Documents with nothing
-    to remove have no row; an empty table gives none; further columns are ignored.
+    or more. Lines without a word, or with fewer different words than ``least_words``, are left
+    alone, as are rows without ``doc_id`` or text. Rows that share a ``doc_id`` stand at one
+    place, so their lines of one number do not remove each other. Sets are told apart by 64-bit
+    hashes. Documents with nothing to remove have no row; an empty table gives none; further
+    columns are ignored.
     """
     tasks_find_package(docs.sparkSession)
     docs = docs.select("doc_id", "text").where("doc_id is not null and text is not null")
     chars = docs.agg(F.sum(F.length("text"))).first()[0] or 0
     # about one key for every 30 characters
     blocks = max(64, chars // 30 // BLOCK)
-    read = kept(_read_lines(docs, percent, blocks))
+    read = kept(_read_lines(docs, percent, blocks, least_words))
     lines = read.where("block is null").select("node", "n", "doc_id", "line")
     place = F.struct("doc_id", "line")
     classes = kept(lines.groupBy("node").agg(F.min(place).alias("first")))
