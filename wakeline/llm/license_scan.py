@@ -9,6 +9,7 @@ a bound on the coverage, so no stretch that could reach it is passed over.
 
 from __future__ import annotations
 
+import heapq
 import re
 from bisect import bisect_left
 from collections import Counter
@@ -117,46 +118,67 @@ class Template:
         return most >= least * len(self.words)
 
     def stretches(self, text: list[str], least: float) -> Iterator[tuple[int, int]]:
-        """Stretches, apart from each other, whose words leave the coverage possible."""
+        """Stretches whose words leave the coverage possible, one for each word one may begin at.
+
+        They overlap. A notice whose first needed words lie within ``width`` is in one that begins
+        with its own first word, whatever stands before it.
+        """
         width, need = STRETCH * len(self.words), least * len(self.words)
         places = [i for i, w in enumerate(text) if w in self.counts]
         inside: Counter = Counter()
-        overlap, start, free = 0, 0, 0
-        for n, i in enumerate(places):
-            if i < free:
-                start = n + 1
-                continue
+        overlap, start = 0, 0
+        for i in places:
             word = text[i]
             overlap += inside[word] < self.counts[word]
             inside[word] += 1
-            while i - places[start] >= width:
+            while overlap >= need or i - places[start] >= width:
+                if overlap >= need and i - places[start] < width:
+                    # what is missing of the template may still follow
+                    yield places[start], min(i + len(self.words), len(text))
                 gone = text[places[start]]
                 inside[gone] -= 1
                 overlap -= inside[gone] < self.counts[gone]
                 start += 1
-            if overlap >= need:
-                # what is missing of the template may still follow
-                free = min(i + len(self.words), len(text))
-                yield places[start], free
-                inside, overlap, start = Counter(), 0, n + 1
 
 
 def find(text: list[str], templates: list[Template], least: float) -> list[tuple]:
-    """``license, coverage, start, end`` in words, the best where several overlap."""
+    """``license, coverage, start, end`` in words, the best where several overlap.
+
+    The best has most words aligned, then the highest coverage, then the fewest words between. A
+    stretch that overlaps a better one is aligned again in what that leaves of it.
+    """
     held, found = set(text), []
-    for template in templates:
-        if not template.possible(held, least):
-            continue
-        for begin, end in template.stretches(text, least):
-            pairs = align(text[begin:end], template.words)
-            coverage = len(pairs) / len(template.words)
-            if coverage >= least:
-                first, last = begin + pairs[0][0], begin + pairs[-1][0] + 1
-                found.append((len(pairs), coverage, template.license_id, first, last))
+
+    def aligned(k: int, begin: int, end: int) -> None:
+        words = templates[k].words
+        if end - begin < least * len(words):
+            return
+        pairs = align(text[begin:end], words)
+        coverage = len(pairs) / len(words)
+        if coverage >= least:
+            first, last = begin + pairs[0][0], begin + pairs[-1][0] + 1
+            best = -len(pairs), -coverage, last - first, first
+            heapq.heappush(found, (best, templates[k].license_id, last, k, begin, end))
+
+    for k, template in enumerate(templates):
+        if template.possible(held, least):
+            for begin, end in template.stretches(text, least):
+                aligned(k, begin, end)
     out: list[tuple] = []
-    for _, coverage, name, first, last in sorted(found, key=lambda x: (-x[0], x[3], x[2])):
-        if all(last <= f or first >= e for _, _, f, e in out):
-            out.append((name, coverage, first, last))
+    places: list[tuple[int, int]] = []
+    tried = set()
+    while found:
+        (_, less, _, first), name, last, k, begin, end = heapq.heappop(found)
+        at = bisect_left(places, (last, 0)) - 1
+        if at < 0 or places[at][1] <= first:
+            out.append((name, -less, first, last))
+            places.insert(at + 1, (first, last))
+            continue
+        taken = places[at]
+        for part in ((k, begin, min(end, taken[0])), (k, max(begin, taken[1]), end)):
+            if part not in tried:
+                tried.add(part)
+                aligned(*part)
     return sorted(out, key=lambda x: x[2])
 
 
