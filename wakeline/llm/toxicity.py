@@ -13,14 +13,14 @@ into a score.
 
 from __future__ import annotations
 
-import math
+import hashlib
 import re
 from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from wakeline.llm.common import BROADCAST_IDS, kept, tasks_find_package, text_of, uniform
@@ -30,10 +30,12 @@ from wakeline.llm.langid import held_out as is_held_out
 WORD = re.compile(r"[^\W\d_]+")
 END = "$"
 DISCOUNT, MARGIN, FLAG = 0.75, 1.0, 0.7
-#: Share of toxic documents that a stem must be found in to be judged itself, and the least number.
-SUPPORT, LEAST = 0.002, 3
-#: Most stems in the model that tasks get; the support is doubled until they fit.
-MODEL_LIMIT = 400_000
+#: Least number of documents that a stem must be found in to be judged itself.
+LEAST = 3
+#: Most words with evidence that tasks get as a dictionary; more are joined by a shuffle.
+BROADCAST_WORDS = 400_000
+#: Steps are summed as whole numbers of this many to one, so that no order matters.
+UNITS = 1 << 32
 #: Labelled documents kept for the curve: their share, and the most of each class.
 CURVE_SHARE, CURVE_ROWS = 0.2, 4_000
 #: Words a task counts or remembers at a time.
@@ -92,44 +94,62 @@ def _stems(words: DataFrame) -> DataFrame:
     return stems.withColumn("shorter", shorter).join(after, "shorter")
 
 
-def _ratios(stems: pd.DataFrame) -> dict[str, float]:
-    """Log-likelihood ratio of every stem that it matters for: above the margin, or just below."""
-    shared = (stems["toxic"] + stems["ordinary"]) / (stems["all_toxic"] + stems["all_ordinary"])
+def _steps(stems: DataFrame) -> DataFrame:
+    """``stem, step``: what its last letter adds to the log-likelihood ratio, in ``UNITS``."""
+    shared = (F.col("toxic") + F.col("ordinary")) / (F.col("all_toxic") + F.col("all_ordinary"))
 
-    def chance(kind: str) -> pd.Series:
-        seen = stems[f"all_{kind}"].clip(lower=1)
-        own = (stems[kind] - stems[kind].clip(upper=DISCOUNT)) / seen
-        rest = DISCOUNT * stems[f"kinds_{kind}"] / seen
-        return (own + rest * shared).where(stems[f"all_{kind}"] > 0, shared)
+    def chance(kind: str) -> Column:
+        n, whole = F.col(kind).cast("double"), F.col(f"all_{kind}")
+        seen = F.greatest(whole, F.lit(1))
+        own = (n - F.least(n, F.lit(DISCOUNT))) / seen
+        rest = DISCOUNT * F.col(f"kinds_{kind}") / seen
+        return F.when(whole > 0, own + rest * shared).otherwise(shared)
 
-    step = np.log(chance("toxic") / chance("ordinary"))
-    ratio: dict[str, float] = {"": 0.0}
-    for length, stem, one in sorted(zip(stems["stem"].str.len(), stems["stem"], step)):
-        ratio[stem] = ratio.get(stem[:-1], 0.0) + one
-    return {s: r for s, r in ratio.items() if s and max(r, ratio.get(s[:-1], 0.0)) > MARGIN}
+    step = F.log(chance("toxic") / chance("ordinary"))
+    return stems.select("stem", F.round(step * UNITS).cast("long").alias("step"))
 
 
-def fit(docs: DataFrame, labels: DataFrame) -> dict[str, float]:
-    """Ratios of stems, from documents whose label may be learnt from and is not for the curve."""
+def _vocabulary(docs: DataFrame) -> DataFrame:
+    """``word``: every word of the texts, once."""
+
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        seen: set[str] = set()
+        for frame in frames:
+            new: set[str] = set()
+            for text in frame["text"]:
+                new.update(WORD.findall(text.lower()))
+            new -= seen
+            yield pd.DataFrame({"word": np.array(list(new), dtype=object)})
+            seen = new if len(seen) > WORDS else seen | new
+
+    return docs.mapInPandas(run, "word string").distinct()
+
+
+def fit(docs: DataFrame, labels: DataFrame) -> DataFrame:
+    """``word, units``: evidence of all words of the documents that have any.
+
+    Learnt from documents whose label may be learnt from and is not for the curve. A stem's own
+    counts are never above those of the shorter stem, so a word's stems in the model are its first
+    ones, up to the longest; their steps add up to its ratio.
+    """
     known = kept(_learnable(labels).where(uniform("d") >= CURVE_SHARE))
+    texts = docs.select("doc_id", text_of("text").alias("text"))
     # counted, and broadcast if few enough, which spares the texts a shuffle
     side = F.broadcast(known) if known.count() <= BROADCAST_IDS else known
-    labelled = docs.select("doc_id", text_of("text").alias("text")).join(
-        side, F.col("doc_id") == F.col("d")
-    )
+    labelled = texts.join(side, F.col("doc_id") == F.col("d"))
     stems = _stems(kept(_word_counts(labelled.select("text", "toxic"))))
-    toxic = known.where("toxic > 0").count()
-    support = max(LEAST, math.ceil(SUPPORT * toxic))
-    while True:
-        # a stem's own counts are never above those of the shorter stem, so the shorter ones stay
-        chosen = stems.where(
-            (F.col("toxic") + F.col("ordinary") >= support) & (F.col("all_toxic") >= support)
-        )
-        chosen = kept(chosen)
-        if chosen.count() <= MODEL_LIMIT:
-            break
-        support *= 2
-    return _ratios(chosen.toPandas())
+    chosen = stems.where(
+        (F.col("toxic") + F.col("ordinary") >= LEAST) & (F.col("all_toxic") >= LEAST)
+    )
+    steps = kept(_steps(chosen))
+    longest = steps.agg(F.max(F.length("stem"))).first()[0] or 1
+    whole = F.concat("word", F.lit(END))
+    lengths = F.sequence(F.lit(1), F.least(F.length(whole), F.lit(longest)))
+    stem = F.explode(F.transform(lengths, lambda k: F.substring(whole, F.lit(1), k)))
+    first = _vocabulary(texts.select("text")).select("word", stem.alias("stem"))
+    ratios = first.join(steps, "stem").groupBy("word").agg(F.sum("step").alias("ratio"))
+    units = F.col("ratio") - F.lit(int(MARGIN * UNITS))
+    return kept(ratios.select("word", units.alias("units")).where(F.col("units") > 0))
 
 
 def _learnable(labels: DataFrame) -> DataFrame:
@@ -138,50 +158,46 @@ def _learnable(labels: DataFrame) -> DataFrame:
     return known.groupBy(F.col("doc_id").alias("d")).agg(F.max("toxic").alias("toxic"))
 
 
-class Scorer:
-    """Evidence of texts by the ratios of their words."""
-
-    def __init__(self, ratios: dict[str, float]):
-        self.ratios, self.known = ratios, {}
-        self.longest = max(map(len, ratios), default=0)
-
-    def word(self, word: str) -> float:
-        found = self.known.get(word)
-        if found is None:
-            if len(self.known) > WORDS:
-                self.known.clear()
-            whole, found = word + END, 0.0
-            for length in range(min(len(whole), self.longest), 0, -1):
-                ratio = self.ratios.get(whole[:length])
-                if ratio is not None:
-                    found = max(ratio - MARGIN, 0.0)
-                    break
-            self.known[word] = found
-        return found
-
-    def evidence(self, text: str) -> tuple[float, float]:
-        """Evidence by the root and by the logarithm of the text's length."""
-        words = WORD.findall(text.lower())
-        total = sum(map(self.word, set(words)))
-        return total / math.sqrt(len(words) + 1), total / math.log(len(words) + 3)
+def _evidence(docs: DataFrame, words: DataFrame, others: str) -> DataFrame:
+    """``root, log`` beside the columns named in ``others``, in place of the text.
 
-
-def _evidence(docs: DataFrame, ratios: dict[str, float], others: str) -> DataFrame:
-    """``root, log`` beside the columns named in ``others``, in place of the text."""
+    The evidence of a text's distinct words by the root and by the logarithm of its length.
+    """
+    few = words.count() <= BROADCAST_WORDS
+    rows = words.toPandas() if few else None
+    held = dict(zip(rows["word"], rows["units"].tolist())) if few else {}
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        scorer = Scorer(ratios)
         for frame in frames:
-            found = [scorer.evidence(text) for text in frame["text"]]
+            found = [WORD.findall(text.lower()) for text in frame["text"]]
             out = frame.drop(columns="text")
             if "doc_id" in out:
                 out["doc_id"] = out["doc_id"].astype("Int64")
-            yield out.assign(root=[x[0] for x in found], log=[x[1] for x in found])
-
-    return docs.mapInPandas(run, f"{others}, root double, log double")
+            units = [sum(held.get(w, 0) for w in set(own)) for own in found]
+            keys = [hashlib.md5(text.encode()).digest() for text in frame["text"]]
+            yield out.assign(n=[len(own) for own in found], units=units, key=keys)
 
-
-def fit_curve(docs: DataFrame, labels: DataFrame, ratios: dict[str, float]) -> np.ndarray:
+    def distinct_words(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in frames:
+            for text in frame["text"]:
+                own = list(set(WORD.findall(text.lower())))
+                key = hashlib.md5(text.encode()).digest()
+                yield pd.DataFrame({"key": [key] * len(own), "word": np.array(own, dtype=object)})
+
+    out = docs.mapInPandas(run, f"{others}, n long, units long, key binary")
+    if not few:
+        # evidence rests on the text alone, so equal texts are one
+        pairs = docs.select("text").mapInPandas(distinct_words, "key binary, word string")
+        pairs = pairs.join(words, "word").dropDuplicates(["key", "word"])
+        sums = pairs.groupBy("key").agg(F.sum("units").alias("units"))
+        out = out.drop("units").join(sums, "key", "left")
+    total = F.coalesce("units", F.lit(0)) / F.lit(float(UNITS))
+    names = [c for c in docs.columns if c != "text"]
+    root, log = total / F.sqrt(F.col("n") + 1), total / F.log(F.col("n") + 3)
+    return out.select(*names, root.alias("root"), log.alias("log"))
+
+
+def fit_curve(docs: DataFrame, labels: DataFrame, words: DataFrame) -> np.ndarray:
     """Weights of both features and a constant, by Newton's method with a small ridge."""
     known = _learnable(labels).where(uniform("d") < CURVE_SHARE)
     order = [F.xxhash64("d"), F.col("d")]
@@ -193,7 +209,7 @@ def fit_curve(docs: DataFrame, labels: DataFrame, ratios: dict[str, float]) -> n
         F.broadcast(picked), F.col("doc_id") == F.col("d")
     )
     rows = rows.select("text", F.col("toxic").cast("int").alias("toxic"))
-    table = _evidence(rows, ratios, "toxic int").toPandas()
+    table = _evidence(rows, words, "toxic int").toPandas()
     toxic = (table["toxic"] > 0).to_numpy(dtype=float)
     if len(table) < 20 or toxic.min() == toxic.max():
         return np.array(DEFAULT_CURVE)
@@ -216,12 +232,12 @@ def toxicity(docs: DataFrame, labels: DataFrame) -> DataFrame:
     read. Repeated rows are each scored; an empty table gives none; further columns are ignored.
     """
     tasks_find_package(docs.sparkSession)
-    ratios = fit(docs, labels)
-    root, log, constant = map(float, fit_curve(docs, labels, ratios))
+    words = fit(docs, labels)
+    root, log, constant = map(float, fit_curve(docs, labels, words))
     rows = docs.select(
         "doc_id", is_held_out(F.col("doc_id")).alias("held_out"), text_of("text").alias("text")
     )
-    evidence = _evidence(rows, ratios, "doc_id long, held_out boolean")
+    evidence = _evidence(rows, words, "doc_id long, held_out boolean")
     score = 1 / (1 + F.exp(-(F.col("root") * root + F.col("log") * log + constant)))
     return evidence.select("doc_id", "held_out", score.alias("score")).withColumn(
         "predicted", F.when(F.col("score") >= FLAG, 1).otherwise(0)
