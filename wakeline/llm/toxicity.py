@@ -1,4 +1,4 @@
-"""Toxicity by class-conditional Kneser-Ney models.
+"""Toxicity by class-conditional letter models with absolute discounting.
 
 A word is read as a sequence of letters. For either class, toxic and ordinary, the chance of the
 next letter after what came so far is its discounted count plus the discount's mass times a shared
