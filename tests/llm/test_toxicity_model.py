@@ -12,7 +12,7 @@ from wakeline.llm import toxicity
 @pytest.mark.parametrize("most", [400_000, 0])
 def test_rare_word_among_many(spark, monkeypatch, most):
     """Twelve of 6,000 toxic documents hold a word of their own, by a dictionary and by a shuffle."""
-    monkeypatch.setattr(toxicity, "BROADCAST_WORDS", most, raising=False)
+    monkeypatch.setattr(toxicity, "BROADCAST_STEMS", most, raising=False)
     rows, labels = [], []
     for i in range(9_000):
         toxic = i % 3 > 0

@@ -32,8 +32,8 @@ END = "$"
 DISCOUNT, MARGIN, FLAG = 0.75, 1.0, 0.7
 #: Least number of documents that a stem must be found in to be judged itself.
 LEAST = 3
-#: Most words with evidence that tasks get as a dictionary; more are joined by a shuffle.
-BROADCAST_WORDS = 400_000
+#: Most stems with evidence that tasks get as a dictionary; more are joined by a shuffle.
+BROADCAST_STEMS = 400_000
 #: Steps are summed as whole numbers of this many to one, so that no order matters.
 UNITS = 1 << 32
 #: Labelled documents kept for the curve: their share, and the most of each class.
@@ -126,11 +126,11 @@ def _vocabulary(docs: DataFrame) -> DataFrame:
 
 
 def fit(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """``word, units``: evidence of all words of the documents that have any.
+    """``stem, units``: evidence of stems; a word has that of its longest stem.
 
     Learnt from documents whose label may be learnt from and is not for the curve. A stem's own
-    counts are never above those of the shorter stem, so a word's stems in the model are its first
-    ones, up to the longest; their steps add up to its ratio.
+    counts are never above those of the shorter stem, so the shorter ones are in the model too;
+    their steps add up to its ratio.
     """
     known = kept(_learnable(labels).where(uniform("d") >= CURVE_SHARE))
     texts = docs.select("doc_id", text_of("text").alias("text"))
@@ -142,14 +142,29 @@ def fit(docs: DataFrame, labels: DataFrame) -> DataFrame:
         (F.col("toxic") + F.col("ordinary") >= LEAST) & (F.col("all_toxic") >= LEAST)
     )
     steps = kept(_steps(chosen))
-    longest = steps.agg(F.max(F.length("stem"))).first()[0] or 1
+    lengths = F.sequence(F.lit(1), F.length("stem"))
+    shorter = F.explode(F.transform(lengths, lambda k: F.substring("stem", F.lit(1), k)))
+    own = steps.select(F.col("stem").alias("whole"), shorter.alias("stem")).join(steps, "stem")
+    ratios = own.groupBy("whole").agg(
+        F.sum("step").alias("ratio"),
+        F.sum(F.when(F.col("stem") == F.col("whole"), F.col("step"))).alias("last"),
+    )
+    # above the margin, or just below
+    above, least = F.col("ratio"), F.lit(int(MARGIN * UNITS))
+    near = ratios.where((above > least) | (above - F.col("last") > least))
+    units = F.greatest(above - least, F.lit(0).cast("long"))
+    return kept(near.select(F.col("whole").alias("stem"), units.alias("units")))
+
+
+def _word_evidence(docs: DataFrame, stems: DataFrame) -> DataFrame:
+    """``word, units``: evidence of all words of the documents that have any."""
+    longest = stems.agg(F.max(F.length("stem"))).first()[0] or 1
     whole = F.concat("word", F.lit(END))
     lengths = F.sequence(F.lit(1), F.least(F.length(whole), F.lit(longest)))
     stem = F.explode(F.transform(lengths, lambda k: F.substring(whole, F.lit(1), k)))
-    first = _vocabulary(texts.select("text")).select("word", stem.alias("stem"))
-    ratios = first.join(steps, "stem").groupBy("word").agg(F.sum("step").alias("ratio"))
-    units = F.col("ratio") - F.lit(int(MARGIN * UNITS))
-    return kept(ratios.select("word", units.alias("units")).where(F.col("units") > 0))
+    found = _vocabulary(docs).select("word", stem.alias("stem")).join(stems, "stem")
+    units = F.max_by("units", F.length("stem")).alias("units")
+    return found.groupBy("word").agg(units).where("units > 0")
 
 
 def _learnable(labels: DataFrame) -> DataFrame:
@@ -158,22 +173,37 @@ def _learnable(labels: DataFrame) -> DataFrame:
     return known.groupBy(F.col("doc_id").alias("d")).agg(F.max("toxic").alias("toxic"))
 
 
-def _evidence(docs: DataFrame, words: DataFrame, others: str) -> DataFrame:
+def _evidence(docs: DataFrame, stems: DataFrame, others: str) -> DataFrame:
     """``root, log`` beside the columns named in ``others``, in place of the text.
 
     The evidence of a text's distinct words by the root and by the logarithm of its length.
     """
-    few = words.count() <= BROADCAST_WORDS
-    rows = words.toPandas() if few else None
-    held = dict(zip(rows["word"], rows["units"].tolist())) if few else {}
+    few = stems.count() <= BROADCAST_STEMS
+    rows = stems.toPandas() if few else None
+    held = dict(zip(rows["stem"], rows["units"].tolist())) if few else {}
+    longest = max(map(len, held), default=0)
+
+    def word(word: str, known: dict[str, int]) -> int:
+        found = known.get(word)
+        if found is None:
+            whole, found = word + END, 0
+            for length in range(min(len(whole), longest), 0, -1):
+                if whole[:length] in held:
+                    found = held[whole[:length]]
+                    break
+            known[word] = found
+        return found
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        known: dict[str, int] = {}
         for frame in frames:
+            if len(known) > WORDS:
+                known.clear()
             found = [WORD.findall(text.lower()) for text in frame["text"]]
             out = frame.drop(columns="text")
             if "doc_id" in out:
                 out["doc_id"] = out["doc_id"].astype("Int64")
-            units = [sum(held.get(w, 0) for w in set(own)) for own in found]
+            units = [sum(word(w, known) for w in set(own)) for own in found]
             keys = [hashlib.md5(text.encode()).digest() for text in frame["text"]]
             yield out.assign(n=[len(own) for own in found], units=units, key=keys)
 
@@ -188,7 +218,7 @@ def _evidence(docs: DataFrame, words: DataFrame, others: str) -> DataFrame:
     if not few:
         # evidence rests on the text alone, so equal texts are one
         pairs = docs.select("text").mapInPandas(distinct_words, "key binary, word string")
-        pairs = pairs.join(words, "word").dropDuplicates(["key", "word"])
+        pairs = pairs.join(_word_evidence(docs.select("text"), stems), "word").dropDuplicates(["key", "word"])
         sums = pairs.groupBy("key").agg(F.sum("units").alias("units"))
         out = out.drop("units").join(sums, "key", "left")
     total = F.coalesce("units", F.lit(0)) / F.lit(float(UNITS))
@@ -197,7 +227,7 @@ def _evidence(docs: DataFrame, words: DataFrame, others: str) -> DataFrame:
     return out.select(*names, root.alias("root"), log.alias("log"))
 
 
-def fit_curve(docs: DataFrame, labels: DataFrame, words: DataFrame) -> np.ndarray:
+def fit_curve(docs: DataFrame, labels: DataFrame, stems: DataFrame) -> np.ndarray:
     """Weights of both features and a constant, by Newton's method with a small ridge."""
     known = _learnable(labels).where(uniform("d") < CURVE_SHARE)
     order = [F.xxhash64("d"), F.col("d")]
@@ -209,7 +239,7 @@ def fit_curve(docs: DataFrame, labels: DataFrame, words: DataFrame) -> np.ndarra
         F.broadcast(picked), F.col("doc_id") == F.col("d")
     )
     rows = rows.select("text", F.col("toxic").cast("int").alias("toxic"))
-    table = _evidence(rows, words, "toxic int").toPandas()
+    table = _evidence(rows, stems, "toxic int").toPandas()
     toxic = (table["toxic"] > 0).to_numpy(dtype=float)
     if len(table) < 20 or toxic.min() == toxic.max():
         return np.array(DEFAULT_CURVE)
@@ -232,12 +262,12 @@ def toxicity(docs: DataFrame, labels: DataFrame) -> DataFrame:
     read. Repeated rows are each scored; an empty table gives none; further columns are ignored.
     """
     tasks_find_package(docs.sparkSession)
-    words = fit(docs, labels)
-    root, log, constant = map(float, fit_curve(docs, labels, words))
+    stems = fit(docs, labels)
+    root, log, constant = map(float, fit_curve(docs, labels, stems))
     rows = docs.select(
         "doc_id", is_held_out(F.col("doc_id")).alias("held_out"), text_of("text").alias("text")
     )
-    evidence = _evidence(rows, words, "doc_id long, held_out boolean")
+    evidence = _evidence(rows, stems, "doc_id long, held_out boolean")
     score = 1 / (1 + F.exp(-(F.col("root") * root + F.col("log") * log + constant)))
     return evidence.select("doc_id", "held_out", score.alias("score")).withColumn(
         "predicted", F.when(F.col("score") >= FLAG, 1).otherwise(0)
