@@ -1,0 +1,168 @@
+from __future__ import annotations
+
+import hashlib
+import random
+import re
+import zlib
+
+import pytest
+
+from wakeline.llm import conversation_repair as cr
+
+SCHEMA = "conv_id long, turn long, role string, text string, pos int, state string"
+STEP = {"": {"s": "s", "u": "u"}, "s": {"u": "u"}, "u": {"a": "a"}, "a": {"u": "u"}}
+MARK = re.compile(r"[^\x20\x09-\x0D]")
+
+
+def seat(row):
+    _, turn, role, text = row
+    return (turn is not None, turn or 0, role, hashlib.md5(text.encode()).hexdigest())
+
+
+def after_damage(rows):
+    out = []
+    for conv, turn, role, text in rows:
+        fate = zlib.crc32(f"{' ' if conv is None else conv}:{' ' if turn is None else turn}".encode()) % 20
+        role, text = " " if role is None else role, " " if text is None else text
+        if fate == 0:
+            continue
+        text = "" if fate == 1 else re.sub("[.!?]", "", text) if fate == 2 else text
+        role = "user" if fate == 4 else role
+        out += [(conv, turn, role, text)] * (2 if fate == 3 else 1)
+    return sorted(out, key=seat)
+
+
+def brute(rows):
+    """Cheapest audits by trying every edit of every row, states kept apart."""
+    faults, seen = [], set()
+    for _, _, role, text in rows:
+        marks = MARK.findall(text)
+        fault = "blank" if not marks else "duplicate" if (role, text) in seen else ""
+        seen.add((role, text))
+        faults.append(fault or ("truncated" if marks[-1] not in ".!?" else ""))
+    best = {"": (0, "", [])}
+
+    def offer(into, state, found):
+        if state not in into or found[:2] < into[state][:2]:
+            into[state] = found
+
+    def inserted(best):
+        for _ in range(3):
+            for state, (cost, audit, lines) in list(best.items()):
+                to = "a" if state == "u" else "u"
+                name = "assistant" if to == "a" else "user"
+                offer(best, to, (cost + 5, audit + "I", [*lines, f"{name}:"]))
+        return best
+
+    for (_, _, role, text), fault in zip(rows, faults):
+        now = {}
+        for state, (cost, audit, lines) in inserted(best).items():
+            offer(now, state, (cost + 2, audit + "D", lines))
+            if fault in ("blank", "duplicate"):
+                continue
+            late = 5 if fault else 0
+            to = STEP[state].get(role[:1])
+            if to:
+                offer(now, to, (cost + late, audit + "K", [*lines, f"{role}:{text}"]))
+            to = "a" if state == "u" else "u"
+            name = "assistant" if to == "a" else "user"
+            offer(now, to, (cost + 1 + late, audit + "R", [*lines, f"{name}:{text}"]))
+        best = now
+    best = inserted(best)
+    cost, audit, lines = min((best[s] for s in ("", "a") if s in best), key=lambda b: b[:2])
+    turns = {t for _, t, _, _ in rows if t is not None}
+    gaps = max(turns) - min(turns) + 1 - len(turns) if turns else 0
+    initials = [r[:1] for _, _, r, _ in rows]
+    illegal = sum(a + b not in ("su", "ua", "au") for a, b in zip(initials, initials[1:]))
+    counts = [faults.count(x) for x in ("blank", "duplicate", "truncated")]
+    return (gaps, *counts, illegal, cost, audit, hashlib.sha256("\n".join(lines).encode()).hexdigest())
+
+
+def expected(rows):
+    left = {conv: [] for conv, *_ in rows}
+    for row in after_damage(rows):
+        left[row[0]].append(row)
+    return {conv: brute(own) for conv, own in left.items()}
+
+
+def table(spark, rows):
+    return spark.createDataFrame([(*r, 3, "x") for r in rows], SCHEMA).repartition(3)
+
+
+def found(spark, rows):
+    got = cr.repair(table(spark, rows)).collect()
+    assert len({r["conv_id"] for r in got}) == len(got)
+    return {r["conv_id"]: tuple(r)[1:] for r in got}
+
+
+def conversation(conv, turns, draw):
+    roles = ["user", "assistant", "system", "tool", "", None, "aide"]
+    texts = ["Yes.", "No", "What?", "  ", "", None, "A longer answer, with words!", "é…", "so on \n"]
+    rows = []
+    for turn in range(turns):
+        role = draw.choice(roles) if draw.random() < 0.4 else ("user", "assistant")[turn % 2]
+        text = draw.choice(texts) if draw.random() < 0.5 else f"Words number {turn}."
+        rows.append((conv, None if draw.random() < 0.05 else turn + draw.choice([0, 0, 0, 1, 3]), role, text))
+    return rows
+
+
+def test_against_brute_force(spark):
+    draw = random.Random(5)
+    rows = [r for conv in range(120) for r in conversation(conv, draw.randint(1, 9), draw)]
+    assert found(spark, rows) == expected(rows)
+
+
+@pytest.mark.parametrize("piece", [1, 7, 40])
+def test_conversations_over_many_pieces(spark, monkeypatch, piece):
+    monkeypatch.setattr(cr, "PIECE", piece)
+    draw = random.Random(piece)
+    turns = {1: 20, 7: 150, 40: 700}[piece]
+    rows = conversation(1, turns, draw) + conversation(2, 3, draw) + conversation(3, turns // 3, draw)
+    rows += [(4, t, "user", " ") for t in range(turns)]  # nothing but blanks
+    rows += [(5, t, "user", "same words.") for t in range(turns)]  # and copies
+    assert found(spark, rows) == expected(rows)
+
+
+def test_odd_rows(spark):
+    rows = [
+        (None, 1, "user", "Who?"),
+        (None, 2, "assistant", "You."),
+        (1, None, None, None),
+        (2, 5, "user", "x" * 300_000 + " ok."),
+        (2, 6, "assistant", "Ja 🙂."),
+        (3, 7, "user", "same."),
+        (3, 7, "user", "same."),
+        (3, 7, "user", "same."),
+        (3, 9, "assistant", "Other."),
+        (3, 8, "assistant", "And other."),
+    ]
+    lost = next(n for n in range(10, 1000) if zlib.crc32(f"{n}:1".encode()) % 20 == 0)
+    rows.append((lost, 1, "user", "Gone."))
+    got = found(spark, rows)
+    assert got == expected(rows)
+    assert got[lost] == (0, 0, 0, 0, 0, 0, "", hashlib.sha256(b"").hexdigest())
+
+
+def test_empty_table(spark):
+    assert cr.repair(spark.createDataFrame([], SCHEMA)).collect() == []
+
+
+def test_ranks_follow_audits():
+    import numpy as np
+
+    draw = np.random.default_rng(3)
+    letter = np.append(draw.integers(1, 4, 200), 0)
+    target = np.append([draw.integers(i + 1, min(i + 4, 201)) for i in range(200)], 200)
+    ranks = cr.Ranks(letter, target)
+
+    def audit(node):
+        out = []
+        while letter[node]:
+            out.append(int(letter[node]))
+            node = target[node]
+        return out
+
+    order = sorted(range(201), key=audit)
+    assert all((ranks.rank[a] < ranks.rank[b]) == (audit(a) < audit(b)) for a, b in zip(order, order[1:]))
+    nodes, owner = ranks.paths(np.arange(201))
+    assert all(letter[nodes[owner == n]].tolist() == audit(n) for n in range(201))

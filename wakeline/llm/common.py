@@ -5,9 +5,11 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -35,6 +37,20 @@ class Known(dict):
         return np.fromiter(map(self.__getitem__, words), np.uint64, len(words))
 
 
+def slices(batches: Iterator[pa.RecordBatch], column: int, most: int = 1 << 22) -> Iterator[pa.RecordBatch]:
+    """Rows with about ``most`` bytes of text at a time, one at least.
+
+    So few texts stand in a task's memory as objects, however many rows a batch has.
+    """
+    for batch in batches:
+        size = pc.binary_length(batch.column(column)).fill_null(0).to_numpy(zero_copy_only=False)
+        part = np.cumsum(size) // most
+        cuts = [0, *(np.flatnonzero(np.diff(part)) + 1).tolist(), batch.num_rows]
+        for at, end in zip(cuts, cuts[1:]):
+            if end > at:
+                yield batch.slice(at, end - at)
+
+
 def text_of(column: str | Column) -> Column:
     """The text, null read as empty."""
     return F.coalesce(F.col(column) if isinstance(column, str) else column, F.lit(""))
@@ -75,6 +91,24 @@ def kept(frame: DataFrame) -> DataFrame:
     return spark.read.schema(frame.schema).parquet(path)
 
 
+def bucketed(frame: DataFrame, buckets: int, column: str) -> DataFrame:
+    """The frame written once to the shared folder in buckets by a column.
+
+    Groups and joins on the column then read it in place, however often, without a shuffle.
+    """
+    path, name = scratch(frame.sparkSession), f"llm_{uuid.uuid4().hex}"
+    frame.write.bucketBy(buckets, column).option("path", path).saveAsTable(name, format="parquet")
+    return frame.sparkSession.table(name)
+
+
+def dropped(frame: DataFrame) -> None:
+    """Take a written frame's files away, once nothing that is still to run reads them."""
+    spark = frame.sparkSession
+    for file in frame.inputFiles():
+        path = spark._jvm.org.apache.hadoop.fs.Path(file)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, False)
+
+
 def by_ids(docs: DataFrame, ids: DataFrame, how: str) -> DataFrame:
     """Documents semi- or anti-joined by ``doc_id`` with a column of distinct ids.
 

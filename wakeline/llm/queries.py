@@ -6,7 +6,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wakeline.llm import (
+    conversation_repair,
     embedding_dedup,
+    hidden_states,
     langid,
     license_scan,
     line_dedup,
@@ -15,12 +17,17 @@ from wakeline.llm import (
     oracle,
     packing,
     quality_rules,
+    reversed_search,
     secrets,
     toxicity,
 )
 
 QUERIES = {}
-ORACLE: dict[str, str] = {"op3_secret_scan": oracle.secret_scan()}
+ORACLE: dict[str, str] = {
+    "op3_secret_scan": oracle.secret_scan(),
+    "op11_conversation_repair": oracle.conversation_repair(),
+    "op13_reversed_search": oracle.reversed_search(),
+}
 
 
 def query(function):
@@ -112,3 +119,19 @@ def op8_license_alignment(spark, sf_dir):
 @query
 def op9_vector_forest(spark, sf_dir):
     return embedding_dedup.near_vectors(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
+
+
+@query
+def op11_conversation_repair(spark, sf_dir):
+    return conversation_repair.repair(spark.read.parquet(f"{sf_dir}/conversations.parquet"))
+
+
+@query
+def op12_hidden_states(spark, sf_dir):
+    return hidden_states.score(documents(spark, sf_dir))
+
+
+@query
+def op13_reversed_search(spark, sf_dir):
+    items = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
+    return reversed_search.search(documents(spark, sf_dir), items)
