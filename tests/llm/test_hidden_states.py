@@ -5,11 +5,14 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute  # noqa: F401
 import pytest
+import zstandard
 
 from tests.llm.frames import documents, empty, odd
+from wakeline.llm import common, queries
 from wakeline.llm import hidden_states as hs
-from wakeline.llm import queries
 
 SF = "/root/testdata/sf0.01"
 
@@ -83,35 +86,70 @@ def test_a_round_against_plain_recursions(spark, monkeypatch):
     rows = [(i, t, "en", "a") for i, t in enumerate(texts)]
     blocks = hs._blocks(documents(spark, rows).coalesce(1)).collect()
     assert len(blocks) == 1
-    row = blocks[0].asDict()
-    flat, begin, lengths, parts = hs._sequences(row)
-    c = np.array(row["counts"], dtype=float)
-    packed = draw.integers(0, 2**62, len(c))
-    move = draw.random((8, 8))
-    start = draw.random(8)
-    own = hs.shares(packed)
+    row, shards = blocks[0], 3
+    lengths = np.array(row["lengths"])
+    flat, parts = hs.unpacked(row["tokens"], "<u4"), np.array(row["parts"])
+    sequences = [x.tolist() for x in np.split(flat, np.cumsum(lengths)[:-1])]
+    c = hs.unpacked(row["counts"], "<u4").astype(float)
+    own = draw.integers(0, 256, (len(c), 8)).astype(np.uint8)
+    own[c == 0] = 0
+    move, start = draw.random((8, 8)), draw.random(8)
     model = hs.Model(
         start / start.sum(), move / move.sum(axis=1, keepdims=True), (own * c[:, None]).sum(axis=0), int(c.sum()), int((c > 0).sum())
     )
     emit, _ = model.emissions(c, own)
     unknown = 0.1 * 0.1 / (c.sum() + 0.1 * ((c > 0).sum() + 1))
     assert np.allclose(emit[c > 0].sum(axis=0) + unknown, 1)
-    sequences = [flat[b : b + n].tolist() for b, n in zip(begin, lengths)]
     scores, starts, moves, states = plain(model, sequences, c, own, parts == hs.TRAIN)
 
     table = spark.createDataFrame(blocks)
-    words = spark.createDataFrame(
-        [(row["block"], i, int(n), int(p)) for i, (n, p) in enumerate(zip(c, packed))],
-        "block long, place int, c long, shares long",
-    )
-    got = {(r["kind"], r["key"]): np.array(r[3:]) / hs.UNITS for r in hs._expected(table, words, model).collect()}
-    assert np.allclose([got[1, k] for k in range(8)], moves, atol=1e-5)
-    assert np.allclose(got[2, 0], starts, atol=1e-5)
-    assert all(np.allclose(got[0, k], states[i], atol=1e-5) for i, k in enumerate(row["keys"]) if c[i] > 0)
-    found = {r["doc_id"]: r["score"] for r in hs._scores(table, words, model).collect()}
+    keys = np.frombuffer(row["keys"], np.uint64)
+    shared = hs._shared_words(table, shards).toArrow()
+    order = np.argsort(keys[c > 0])
+    told = [
+        t
+        for shard in range(shards)
+        for t in hs._told(
+            shared.filter(pa.compute.equal(shared["shard"], shard)), keys[c > 0][order], c[c > 0][order].astype(np.uint64), own[c > 0][order]
+        ).to_pylist()
+        if t["kind"] == hs.WORDS
+    ]
+    told = spark.createDataFrame([tuple(t.values()) for t in told], hs.ROWS_DDL)
+    got = hs._expected(table, told, model, shards).collect()
+    numbers = {r["kind"]: np.array(r["numbers"]) / hs.UNITS for r in got if r["kind"] != hs.WORDS}
+    assert np.allclose(numbers[hs.MOVES].reshape(8, 8), moves, atol=1e-4)
+    assert np.allclose(numbers[hs.STARTS], starts, atol=1e-4)
+    place, some, _ = hs.by_shard(keys, shards)
+    shares = {r["shard"]: r["data"] for r in got if r["kind"] == hs.WORDS}
+    shares = b"".join(zstandard.ZstdDecompressor().decompress(shares[s]) for s in some.tolist())
+    want = states / np.maximum(states.sum(axis=1, keepdims=True), 1e-300)
+    assert np.abs(np.frombuffer(shares, np.uint8).reshape(-1, 8) / 255 - want[place]).max() < 0.003
+    found = {r["doc_id"]: r["score"] for r in hs._scores(table, told, model, shards).collect()}
     assert np.allclose([found[i] for i in row["ids"]], scores)
 
 
+def test_shards_sum_all_blocks(spark, monkeypatch):
+    """What blocks hear is what one block would say of the whole corpus."""
+    docs = queries.documents(spark, "/root/testdata/sf0.001")
+
+    def heard(parts):
+        blocks = common.kept(hs._blocks(docs.repartition(parts, "doc_id")))
+        shared = common.kept(hs._shared_words(blocks, 5))
+        first = hs._first_told(shared)
+        sums = hs._sums(common.kept(first))
+        out = {}
+        keys = {(r["block"], r["shard"]): np.frombuffer(r["keys"], np.uint64) for r in shared.collect()}
+        for r in first.where("kind = 0").collect():
+            c, s = hs._heard(r["data"])
+            out |= {k: (int(n), *x) for k, n, x in zip(keys[r["block"], r["shard"]].tolist(), c, s.tolist())}
+        return sums[hs.TOTALS].tolist(), out
+
+    one, many = heard(1), heard(7)
+    assert one == many
+    counts = Counter(t for i, text in docs.select("doc_id", "text").collect() if not held(i) for t in tokens(text))
+    assert sorted(v[0] for v in one[1].values() if v[0]) == sorted(counts.values())
+
+
 def test_rounds_raise_the_likelihood(spark):
     draw = np.random.default_rng(2)
     kinds = [[f"{k}{x}" for x in range(30)] for k in "abc"]
