@@ -19,7 +19,7 @@ def removed(texts, percent=80):
     for doc_id in sorted(texts):
         for number, line in enumerate((texts[doc_id] or "").split("\n")):
             own = frozenset(WORD.findall(line.translate(LOWER)))
-            if len(own) < 5:
+            if not own:
                 continue
             earlier = {j for w in own for j in holders.get(w, ())}
             for j in earlier:
