@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from wakeline.functions.exact import exact_mean
 from wakeline.functions.times import parse_event_time
-from wakeline.schema import METADATA_FIELDS
+from wakeline.schema import METADATA_FIELDS, ROUTE_SCHEMA
 
 
 def daily_activity(positions: DataFrame) -> DataFrame:
@@ -48,15 +48,26 @@ def vessel_descriptions(bronze: DataFrame, keys: Sequence[str] = ("mmsi",)) -> D
     )
 
 
-def choose_descriptions(descriptions: DataFrame) -> DataFrame:
-    """Per vessel the most complete description; ties go to the latest, then to
-    the greatest values."""
+def best_descriptions(descriptions: DataFrame) -> DataFrame:
+    """``mmsi, best``: the most complete description of a vessel with what it is chosen by.
+
+    Ties go to the latest, then to the greatest values. The greatest of two days' is that of both.
+    """
     fields = [name for name in METADATA_FIELDS if name in descriptions.columns]
     filled = reduce(add, (F.col(name).isNotNull().cast("int") for name in fields), F.lit(0))
-    best = descriptions.groupBy("mmsi").agg(
-        F.max(F.struct(filled.alias("_filled"), "latest", *fields)).alias("_")
+    return descriptions.groupBy("mmsi").agg(
+        F.max(F.struct(filled.alias("_filled"), "latest", *fields)).alias("best")
     )
-    return best.select("mmsi", *[F.col(f"_.{name}") for name in fields])
+
+
+def described(best: DataFrame) -> DataFrame:
+    fields = [name for name in METADATA_FIELDS if name in best.schema["best"].dataType.names]
+    return best.select("mmsi", *[F.col(f"best.{name}") for name in fields])
+
+
+def choose_descriptions(descriptions: DataFrame) -> DataFrame:
+    """Per vessel the best description."""
+    return described(best_descriptions(descriptions))
 
 
 def vessel_metadata(bronze: DataFrame) -> DataFrame:
@@ -66,21 +77,11 @@ def vessel_metadata(bronze: DataFrame) -> DataFrame:
 
 def route_metrics(voyages: DataFrame) -> DataFrame:
     """Vessels, mean duration, mean speed and points per route type and day."""
-    return (
-        voyages.groupBy("candidate_route_type", F.to_date("start_time").alias("metric_date"))
-        .agg(
-            F.countDistinct("mmsi").alias("vessel_count"),
-            exact_mean(F.col("duration_hours")).alias("avg_duration_hours"),
-            exact_mean(F.col("avg_sog")).alias("avg_speed"),
-            F.sum("point_count").alias("point_count"),
-        )
-        .select(
-            F.sha2(F.concat_ws("_", "candidate_route_type", "metric_date"), 256).alias("route_id"),
-            "metric_date",
-            "candidate_route_type",
-            "vessel_count",
-            "avg_duration_hours",
-            "avg_speed",
-            "point_count",
-        )
+    totals = voyages.groupBy("candidate_route_type", F.to_date("start_time").alias("metric_date")).agg(
+        F.countDistinct("mmsi").alias("vessel_count"),
+        exact_mean(F.col("duration_hours")).alias("avg_duration_hours"),
+        exact_mean(F.col("avg_sog")).alias("avg_speed"),
+        F.sum("point_count").alias("point_count"),
     )
+    route = F.sha2(F.concat_ws("_", "candidate_route_type", "metric_date"), 256)
+    return totals.withColumn("route_id", route).select(*ROUTE_SCHEMA.names)

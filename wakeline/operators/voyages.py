@@ -9,7 +9,9 @@ fragment table lets a new day be added without reading older positions again.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import datetime as dt
+import math
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -32,6 +34,8 @@ FRAGMENT_FIELDS = [
     "sog_micro",
     "sog_count",
 ]
+#: Fields that add up.
+SUMS = FRAGMENT_FIELDS[-3:]
 
 
 def point_aggregates(order: str | None = None) -> list[Column]:
@@ -100,23 +104,110 @@ def merge_fragments(
     keys: Sequence[str] = VESSEL,
 ) -> DataFrame:
     """Chain a vessel's fragments into voyages with finished statistics."""
+    return voyages_of(voyage_summaries(fragments, rules, keys), rules)
+
+
+def voyage_summaries(
+    fragments: DataFrame,
+    rules: VoyageRules = VoyageRules(),
+    keys: Sequence[str] = VESSEL,
+) -> DataFrame:
+    """Chains of a vessel's fragments, each as one fragment: voyages of any number of points."""
+    return _folded(_numbered(fragments, rules, keys), keys)
+
+
+def voyages_of(summaries: DataFrame, rules: VoyageRules) -> DataFrame:
+    """Voyages with enough points, finished."""
+    return finish_voyages(summaries.where(F.col("point_count") >= rules.min_points), rules)
+
+
+def _numbered(fragments: DataFrame, rules: VoyageRules, keys: Sequence[str]) -> DataFrame:
+    """Fragments with the number, from 1, of their voyage among the vessel's."""
     track = Window.partitionBy(*keys).orderBy("start_time")
     pause = opens_segment(F.lag("end_time").over(track), F.col("start_time"), rules)
-    chained = fragments.withColumn("_open", F.coalesce(pause, F.lit(1))).withColumn(
+    return fragments.withColumn("_open", F.coalesce(pause, F.lit(1))).withColumn(
         "_voyage", F.sum("_open").over(track.rowsBetween(Window.unboundedPreceding, 0))
     )
-    voyages = chained.groupBy(*keys, "_voyage").agg(
-        F.min("start_time").alias("start_time"),
-        F.max("end_time").alias("end_time"),
-        F.min_by("start_longitude", "start_time").alias("start_longitude"),
-        F.min_by("start_latitude", "start_time").alias("start_latitude"),
-        F.max_by("end_longitude", "start_time").alias("end_longitude"),
-        F.max_by("end_latitude", "start_time").alias("end_latitude"),
-        F.sum("point_count").alias("point_count"),
-        F.sum("sog_micro").alias("sog_micro"),
-        F.sum("sog_count").alias("sog_count"),
+
+
+def _folded(numbered: DataFrame, keys: Sequence[str]) -> DataFrame:
+    return (
+        numbered.groupBy(*keys, "_voyage")
+        .agg(
+            F.min("start_time").alias("start_time"),
+            F.max("end_time").alias("end_time"),
+            F.min_by("start_longitude", "start_time").alias("start_longitude"),
+            F.min_by("start_latitude", "start_time").alias("start_latitude"),
+            F.max_by("end_longitude", "start_time").alias("end_longitude"),
+            F.max_by("end_latitude", "start_time").alias("end_latitude"),
+            *[F.sum(c).alias(c) for c in SUMS],
+        )
+        .select(*keys, *FRAGMENT_FIELDS)
+    )
+
+
+def revised_summaries(
+    window: DataFrame,
+    before: DataFrame,
+    known: DataFrame,
+    first: dt.date,
+    last: dt.date,
+    far: Callable[[dt.date], DataFrame],
+    rules: VoyageRules = VoyageRules(),
+    keys: Sequence[str] = VESSEL,
+) -> DataFrame:
+    """Summaries of the voyages that touch the days from ``first`` to ``last``, worked out anew.
+
+    ``window`` has the vessels' fragments on these days as they are now, ``before`` as they were,
+    ``known`` the summaries there were. Days on which fragments differ stand at least
+    :func:`margin_days` inside, so what a voyage has before ``first`` or after ``last`` stays joined
+    to its part inside; that rest is what its summary leaves when the fragments inside are taken
+    off. Only a voyage that goes on at both ends and breaks inside needs older fragments, to tell
+    what belongs to either end: ``far`` gives those from a day on, and is called only then.
+    """
+    keys = list(keys)
+    start = F.lit(first).cast("timestamp_ntz")
+    end = F.lit(last + dt.timedelta(days=1)).cast("timestamp_ntz")
+    sums = [F.coalesce(F.sum(F.col(f"f.{c}")), F.lit(0)).alias(f"_{c}") for c in SUMS]
+    held = known.alias("s").join(before.alias("f"), keys, "left").where(
+        F.col("f.start_time").isNull()
+        | F.col("f.start_time").between(F.col("s.start_time"), F.col("s.end_time"))
     )
-    return finish_voyages(voyages.where(F.col("point_count") >= rules.min_points), rules)
+    inside = held.groupBy(*keys, F.col("s.start_time").alias("start_time")).agg(*sums)
+    rest = known.join(inside, [*keys, "start_time"])
+    rest = rest.withColumns({c: F.col(c) - F.col(f"_{c}") for c in SUMS}).select(*keys, *FRAGMENT_FIELDS)
+    on_left, on_right = F.col("start_time") < start, F.col("end_time") >= end
+
+    numbered = _numbered(window, rules, keys)
+    count = numbered.groupBy(*keys).agg(F.max("_voyage").alias("_last"))
+    rest = rest.where(on_left | on_right).join(count, keys)
+    broken = rest.where(on_left & on_right & (F.col("_last") > 1))
+    oldest = broken.agg(F.min("start_time")).first()[0]
+    if oldest is None:
+        older = {c: F.col(c) for c in SUMS}
+    else:
+        own = broken.select(*keys, F.col("start_time").alias("_from"))
+        parts = far(oldest.date()).join(own, keys).where(F.col("start_time").between(F.col("_from"), start))
+        parts = parts.groupBy(*keys).agg(*[F.sum(c).alias(f"_{c}") for c in SUMS])
+        rest = rest.join(parts, keys, "left")
+        older = {c: F.coalesce(f"_{c}", c) for c in SUMS}
+
+    # a voyage that goes on at both ends has its rest at the first, less what is known to be later
+    places = [f"{c}_{axis}" for c in ("start", "end") for axis in ("time", "longitude", "latitude")]
+    at_start = {e: F.col(s) for s, e in zip(places[:3], places[3:])}
+    at_end = {s: F.col(e) for s, e in zip(places[:3], places[3:])}
+    after = {c: F.when(on_left, F.col(c) - older[c]).otherwise(F.col(c)) for c in SUMS}
+    before_ = {c: F.when(on_right, older[c]).otherwise(F.col(c)) for c in SUMS}
+    columns = [*keys, *FRAGMENT_FIELDS, "_voyage"]
+    left = rest.where(on_left).withColumns({**at_start, **before_, "_voyage": F.lit(1).cast("long")})
+    right = rest.where(on_right).withColumns({**at_end, **after, "_voyage": F.col("_last")})
+    pieces = numbered.select(*columns).unionByName(left.select(*columns)).unionByName(right.select(*columns))
+    return _folded(pieces, keys)
+
+
+def margin_days(rules: VoyageRules) -> int:
+    """Days beside a changed one that a voyage can be told by: more than a pause within a voyage."""
+    return math.ceil(rules.gap_seconds / 86_400) + 1
 
 
 def finish_voyages(summaries: DataFrame, rules: VoyageRules) -> DataFrame:

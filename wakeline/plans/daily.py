@@ -1,13 +1,16 @@
 """The run from bronze to gold, for one day, some days or everything.
 
 What a run does is the same for any number of days: one job per layer over all of
-them. Voyages and vessel metadata need all days, so each day leaves a small
-mergeable table (voyage fragments, vessel descriptions) and only those are read
-in full. A small table of the calendar days that each source date's positions fall
-on tells which silver partitions a day concerns; no other is opened. Partitions are
-replaced by the dates asked for, so a date that lost its rows loses its partitions,
-and re-running a day gives the same tables as a complete rebuild. Voyage partitions
-that come out as they were keep their files.
+them. Voyages and vessel metadata rest on all days, so each day leaves a small
+mergeable table (voyage fragments, vessel descriptions), and what they make together
+(voyage summaries, best descriptions) is kept too. A run takes off what its days were
+and adds what they are, for the vessels that they changed, so it reads and writes no
+more after years than after weeks; see :mod:`wakeline.plans.upkeep`. A small table of
+the calendar days that each source date's positions fall on tells which silver
+partitions a day concerns; no other is opened. Partitions are replaced by the dates
+asked for, so a date that lost its rows loses its partitions, and re-running a day
+gives the same tables as a complete rebuild. Partitions without a changed row keep
+their files.
 """
 
 from __future__ import annotations
@@ -18,21 +21,16 @@ import uuid
 from collections.abc import Callable, Mapping, Sequence
 from functools import partial
 
-from py4j.protocol import Py4JJavaError
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wakeline.operators.clean import build_silver
-from wakeline.operators.gold import (
-    choose_descriptions,
-    daily_activity,
-    route_metrics,
-    vessel_descriptions,
-)
+from wakeline.operators.gold import daily_activity, route_metrics, vessel_descriptions
 from wakeline.operators.quality import SUITES, require_passed
 from wakeline.operators.tracks import VESSEL
-from wakeline.operators.voyages import merge_fragments, voyage_fragments
+from wakeline.operators.voyages import voyage_fragments
 from wakeline.plans.metrics import track_stage
+from wakeline.plans.upkeep import Descriptions, Voyages, counted, rows_seen, write_counted
 from wakeline.rules import VoyageRules
 from wakeline.schema import TABLES
 from wakeline.sources.ingest import ingest_pending
@@ -40,16 +38,11 @@ from wakeline.sources.jdbc import Database, load_gold_tables
 from wakeline.sources.tables import (
     GOLD_TABLES,
     layer_path,
-    move_partitions,
     path_exists,
     read_bronze,
     read_positions,
     read_table,
-    replace_partitions,
-    replace_table,
-    staging_path,
     state_path,
-    write_full,
 )
 
 log = logging.getLogger(__name__)
@@ -120,10 +113,10 @@ def run_dates(
         if gate and "bronze" in suites:
             require_passed(suites["bronze"](bronze))
         before = set() if rebuild else _event_days(spark, root, source_dates)
-        silver, read = _counted(bronze)
+        silver, read = counted(bronze)
         requested = None if rebuild else [(d,) for d in source_dates]
         metric.output_rows = publish("vessel_positions", build_silver(silver), requested)
-        metric.input_rows = _rows(read)
+        metric.input_rows = rows_seen(read)
         _record_event_days(spark, root, source_dates)
 
     days = None
@@ -134,35 +127,39 @@ def run_dates(
         positions = _on_event_days(spark, root, positions, touched)
 
     with stage("silver_to_activity") as metric:
-        source, read = _counted(positions)
+        source, read = counted(positions)
         metric.output_rows = publish("vessel_daily_activity", daily_activity(source), days)
-        metric.input_rows = _rows(read)
+        metric.input_rows = rows_seen(read)
 
+    starts = None
     with stage("silver_to_voyages") as metric:
-        # fragments are cut by a gap, so each gap has a table of its own
-        cut = f"voyage_fragments_{'by_file_' if per_day else ''}{rules.gap_seconds:g}s"
-        path = state_path(root, cut)
-        known = path_exists(spark, path)
-        source, read = _counted(positions if known else read_positions(spark, root))
+        upkeep = Voyages(spark, root, rules, keys, run_id, partial(publish, "voyage_candidates"))
+        fresh = rebuild or not upkeep.ready()
+        source, read = counted(read_positions(spark, root) if fresh else positions)
         fragments = voyage_fragments(source, rules, keys)
-        _write(fragments, path, ["track_date"], days if known else None)
-        voyages = merge_fragments(spark.read.schema(fragments.schema).parquet(path), rules, keys)
-        metric.output_rows = publish("voyage_candidates", voyages, None, only_changed=not rebuild)
-        metric.input_rows = _rows(read)
+        if fresh:
+            metric.output_rows = upkeep.rebuild(fragments)
+        else:
+            metric.output_rows, starts = upkeep.revise(fragments, touched)
+        metric.input_rows = rows_seen(read)
 
     with stage("bronze_to_metadata") as metric:
-        path = state_path(root, "vessel_descriptions")
-        source, read = _counted(bronze)
+        upkeep = Descriptions(spark, root, partial(publish, "vessel_metadata"))
+        source, read = counted(bronze)
         folded = vessel_descriptions(source, ("mmsi", "source_date"))
-        _write(folded, path, ["source_date"], requested)
-        metadata = choose_descriptions(spark.read.schema(folded.schema).parquet(path))
-        metric.output_rows = publish("vessel_metadata", metadata, None)
-        metric.input_rows = _rows(read)
+        if rebuild or not upkeep.ready():
+            metric.output_rows = upkeep.rebuild(folded, requested)
+        else:
+            metric.output_rows = upkeep.revise(folded, source_dates)
+        metric.input_rows = rows_seen(read)
 
     with stage("voyages_to_routes") as metric:
-        source, read = _counted(read_table(spark, root, "voyage_candidates"))
-        metric.output_rows = publish("route_metrics", route_metrics(source), None)
-        metric.input_rows = _rows(read)
+        voyages = read_table(spark, root, "voyage_candidates")
+        if starts is not None:
+            voyages = voyages.where(F.col("start_date").isin([day for (day,) in starts]))
+        source, read = counted(voyages)
+        metric.output_rows = publish("route_metrics", route_metrics(source), starts)
+        metric.input_rows = rows_seen(read)
 
     _serve(spark, root, database, partial(stage, "gold_to_database"))
     return run_id
@@ -183,20 +180,6 @@ def _serve(spark: SparkSession, root: str, database: Database | None, stage) ->
         log.warning("serving tables were not loaded: %s", error)
 
 
-def _counted(frame: DataFrame) -> tuple[DataFrame, Observation]:
-    """The frame, and the number of its rows once it is written."""
-    seen = Observation()
-    return frame.observe(seen, F.count(F.lit(1)).alias("rows")), seen
-
-
-def _rows(seen: Observation) -> int:
-    """The number of rows seen; what Spark finds empty before it runs has no observation."""
-    try:
-        return seen.get["rows"]
-    except Py4JJavaError:
-        return 0
-
-
 def _publish(
     spark: SparkSession,
     root: str,
@@ -204,7 +187,6 @@ def _publish(
     table: str,
     frame: DataFrame,
     requested: Sequence[Sequence] | None,
-    only_changed: bool = False,
 ) -> int:
     """Write a table, or the requested partitions of it, by way of its quality gate."""
     schema, partitions, _ = TABLES[table]
@@ -213,52 +195,7 @@ def _publish(
         if table in suites:
             require_passed(suites[table](staged))
 
-    path = layer_path(root, table)
-    if only_changed and path_exists(spark, path):
-        return _write_changed(frame.select(*schema.names), path, partitions, check)
-    return _write(frame.select(*schema.names), path, partitions, requested, check)
-
-
-def _write(
-    frame: DataFrame,
-    path: str,
-    partitions: list[str],
-    requested: Sequence[Sequence] | None,
-    check: Callable[[DataFrame], None] | None = None,
-) -> int:
-    """Write and count in the same job."""
-    counted, seen = _counted(frame)
-    if partitions and (requested is None or len(requested) > 1):
-        # gathers a partition's rows in few files, and splits one that is too large
-        counted = counted.hint("rebalance", *[F.col(c) for c in partitions])
-    if requested is None or not partitions:
-        replace_table(counted, path, partitions, check)
-    else:
-        replace_partitions(counted, path, partitions, requested, check)
-    return _rows(seen)
-
-
-def _write_changed(
-    frame: DataFrame, path: str, partitions: list[str], check: Callable[[DataFrame], None]
-) -> int:
-    """Replace the partitions whose rows differ from those there, and leave the others."""
-    spark = frame.sparkSession
-    staged = staging_path(path)
-    counted, seen = _counted(frame)
-    write_full(counted.hint("rebalance", *map(F.col, partitions)), staged, partitions)
-    new = spark.read.schema(frame.schema).parquet(staged)
-    check(new)
-
-    def digests(rows: DataFrame, name: str) -> DataFrame:
-        digest = F.struct(F.count(F.lit(1)), F.bit_xor(F.xxhash64(*frame.columns)))
-        return rows.groupBy(*partitions).agg(digest.alias(name))
-
-    old = spark.read.schema(frame.schema).parquet(path)
-    both = digests(old, "old").join(digests(new, "new"), partitions, "full")
-    # one row per partition
-    changed = both.where(~F.col("old").eqNullSafe(F.col("new"))).select(*partitions).collect()
-    move_partitions(spark, staged, path, partitions, [tuple(row) for row in changed])
-    return _rows(seen)
+    return write_counted(frame.select(*schema.names), layer_path(root, table), partitions, requested, check)
 
 
 def _of_dates(bronze: DataFrame, source_dates: Sequence[str] | None) -> DataFrame:
@@ -281,7 +218,7 @@ def _record_event_days(
         positions = positions.where(F.col("source_date").isin(list(source_dates)))
     days = positions.select(F.to_date("event_time").alias("event_day"), "source_date").distinct()
     requested = None if source_dates is None else [(d,) for d in source_dates]
-    _write(days, state_path(root, "event_days"), ["source_date"], requested)
+    write_counted(days, state_path(root, "event_days"), ["source_date"], requested)
 
 
 def _days_table(spark: SparkSession, root: str) -> DataFrame | None:

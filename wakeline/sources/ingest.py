@@ -9,7 +9,6 @@ from __future__ import annotations
 import datetime as dt
 import logging
 import re
-from collections import Counter
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Row, SparkSession
@@ -23,16 +22,15 @@ from wakeline.sources.files import (
     Headers,
     discover_files,
     headers_of,
-    scan_reports,
     scan_reports_flagged,
     unreadable_files,
 )
 from wakeline.sources.tables import (
     BRONZE_PARTITIONS,
+    drop_path,
     layer_path,
     manifest_path,
     move_partitions,
-    read_bronze,
     staging_path,
     state_path,
     write_full,
@@ -47,10 +45,10 @@ def quarantine_path(root: str) -> str:
 
 def ingest_files(
     spark: SparkSession, paths: Sequence[str], root: str, headers: Headers | None = None
-) -> None:
+) -> dict[str, int]:
     """Replace the bronze partitions of all these files' days, without a shuffle.
 
-    A day whose files have no rows is left without a partition. Lines with too many
+    Returns how many rows of each file went to bronze. A day whose files have no rows is left without a partition. Lines with too many
     fields go to quarantine, by the same days. A file without a date in its name is
     an error.
     """
@@ -68,8 +66,13 @@ def ingest_files(
     staged = staging_path(layer_path(root, "bronze"))
     write_full(rows, staged, ["is_bad", *BRONZE_PARTITIONS])
     places = {"true": quarantine_path(root), "false": layer_path(root, "bronze")}
+    # one column of what was written, and a row for each file
+    written = spark.read.schema("file_name string, is_bad boolean").parquet(staged)
+    counts = written.where(~F.col("is_bad")).groupBy("file_name").agg(F.count(F.lit(1))).collect()
     for is_bad, path in places.items():
-        move_partitions(spark, f"{staged}/is_bad={is_bad}", path, BRONZE_PARTITIONS, requested)
+        move_partitions(spark, staged, path, BRONZE_PARTITIONS, requested, f"is_bad={is_bad}")
+    drop_path(spark, staged)
+    return dict(map(tuple, counts))
 
 
 def date_in_name(name: str) -> dt.date | None:
@@ -124,80 +127,47 @@ def load_listed(
     failed = {f["file_name"]: "no date in file name" for f in undated}
     dates = sorted({f["source_date"] for f in wanted if f["file_name"] not in failed})
     files = found.where(F.col("source_date").isin(dates)).collect() if dates else []
-    failed |= _load(spark, files, root)
+    broken, counts = _load(spark, files, root)
+    failed |= broken
     loaded = [f for f in files if f["file_name"] not in failed]
-    attempts = _attempts(spark, loaded, failed, root)
+    attempts = _attempts(spark, loaded, failed, counts)
     mf.append_attempts(attempts, manifest_path(root))
     return attempts
 
 
-def _load(spark: SparkSession, files: list[Row], root: str) -> dict[str, str]:
-    """Load files, returning the error of each that could not be."""
+def _load(
+    spark: SparkSession, files: list[Row], root: str
+) -> tuple[dict[str, str], dict[str, int]]:
+    """Load files, returning the error of each that could not be, and rows by file."""
     if not files:
-        return {}
+        return {}, {}
     paths = [f["path"] for f in files]
     headers, failed = headers_of(spark, paths)
 
-    def load_rest() -> None:
+    def load_rest() -> dict[str, int]:
         rest = [p for p in paths if p not in failed]
-        if rest:
-            ingest_files(spark, rest, root, headers)
+        return ingest_files(spark, rest, root, headers) if rest else {}
 
     try:
-        load_rest()
+        counts = load_rest()
     except Exception as error:  # a file may be broken in any way
         log.warning("loading %d files together failed, trying each: %s", len(files), error)
         failed |= unreadable_files(spark, [p for p in paths if p not in failed])
-        load_rest()
+        counts = load_rest()
     for path, error in failed.items():
         log.warning("%s could not be loaded: %s", path, error)
-    return {f["file_name"]: failed[f["path"]] for f in files if f["path"] in failed}
+    return {f["file_name"]: failed[f["path"]] for f in files if f["path"] in failed}, counts
 
 
 def _attempts(
-    spark: SparkSession, loaded: list[Row], failed: dict[str, str], root: str
+    spark: SparkSession, loaded: list[Row], failed: dict[str, str], counts: dict[str, int]
 ) -> DataFrame:
+    """What became of files, with the rows of each in bronze."""
     listing = spark.createDataFrame(
-        [(f["file_name"], f["source_date"]) for f in loaded],
-        "file_name string, source_date string",
+        [(f["file_name"], f["source_date"], counts.get(f["file_name"], 0)) for f in loaded],
+        "file_name string, source_date string, row_count long",
     )
-    counts = _row_counts(spark, loaded, root)
-    good = mf.success(listing.join(counts, "file_name", "left").fillna(0, ["row_count"]))
     errors = spark.createDataFrame(list(failed.items()), "file_name string, error string")
     # fixed here, so that what is returned is what is recorded
-    rows = good.unionByName(mf.failure(errors)).collect()
+    rows = mf.success(listing).unionByName(mf.failure(errors)).collect()
     return spark.createDataFrame(rows, mf.MANIFEST_SCHEMA)
-
-
-def _row_counts(spark: SparkSession, loaded: list[Row], root: str) -> DataFrame:
-    """Rows per file: from the Parquet footers for days of one file, else by a scan."""
-    if not loaded:
-        return spark.createDataFrame([], "file_name string, row_count long")
-    files_of_date = Counter(f["source_date"] for f in loaded)
-    single = [f for f in loaded if files_of_date[f["source_date"]] == 1]
-    shared = [f["path"] for f in loaded if files_of_date[f["source_date"]] > 1]
-    names = spark.createDataFrame(
-        [(f["file_name"], f["source_date"]) for f in single],
-        "file_name string, source_date string",
-    )
-    day = F.to_date(F.col("source_date"))
-    keys = names.select(
-        "file_name", F.year(day).alias("year"), F.month(day).alias("month"),
-        F.dayofmonth(day).alias("day"),
-    )
-    days = [dt.date.fromisoformat(f["source_date"]) for f in single]
-    per_day = (
-        read_bronze(spark, root)
-        .where(F.make_date(*BRONZE_PARTITIONS).isin(days))
-        .groupBy(*BRONZE_PARTITIONS)
-        .agg(F.count(F.lit(1)).alias("row_count"))
-    )
-    counts = keys.join(per_day, BRONZE_PARTITIONS).select("file_name", "row_count")
-    if shared:
-        counted = (
-            scan_reports(spark, shared)
-            .groupBy("file_name")
-            .agg(F.count(F.lit(1)).alias("row_count"))
-        )
-        counts = counts.unionByName(counted)
-    return counts

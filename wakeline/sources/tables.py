@@ -3,9 +3,9 @@
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 from collections.abc import Callable, Iterable, Sequence
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -47,13 +47,8 @@ def layer_path(root: str, table: str) -> str:
 
 def path_exists(spark: SparkSession, path: str) -> bool:
     """Whether a path exists, on whatever file system it names."""
-    try:
-        spark.read.schema("x int").parquet(path)
-    except AnalysisException as error:
-        if error.getCondition() == "PATH_NOT_FOUND":
-            return False
-        raise
-    return True
+    files, at = _file_system(spark, path)
+    return files.exists(at(path))
 
 
 # --- scans -------------------------------------------------------------------
@@ -117,15 +112,17 @@ def replace_partitions(
     """Replace the requested partitions, dropping those that ``frame`` has no rows for.
 
     ``requested`` has a value for each partition column. The rows are written to a
-    staging place and, if ``check`` lets them pass, moved from there, so they are
-    written once. A run that breaks off while moving is mended by running it again.
+    staging place of this call's own and, if ``check`` lets them pass, moved from there,
+    so they are written once and runs of other partitions do not meet. A run that
+    breaks off while moving is mended by running it again.
     """
     spark = frame.sparkSession
     staged = staging_path(path)
-    frame.write.mode("overwrite").partitionBy(*partitions).parquet(staged)
+    frame.write.partitionBy(*partitions).parquet(staged)
     if check is not None:
         check(spark.read.schema(frame.schema).parquet(staged))
     move_partitions(spark, staged, path, partitions, requested)
+    drop_path(spark, staged)
 
 
 def replace_table(
@@ -146,9 +143,14 @@ def replace_table(
 
 
 def staging_path(path: str) -> str:
-    """One staging place per table, beside the layers and replaced by the next run."""
+    """A new staging place beside the layers, so that no other run writes or clears it."""
     parent, _, name = path.rstrip("/").rpartition("/")
-    return f"{parent}/staging/{name}"
+    return f"{parent}/staging/{name}-{uuid.uuid4().hex}"
+
+
+def drop_path(spark: SparkSession, path: str) -> None:
+    files, at = _file_system(spark, path)
+    files.delete(at(path), True)
 
 
 def move_partitions(
@@ -157,19 +159,26 @@ def move_partitions(
     path: str,
     partitions: list[str],
     requested: Iterable[Sequence],
+    within: str = "",
 ) -> None:
-    """Put staged partitions in place of the requested ones and drop the staging place."""
+    """Put staged partitions, those ``within`` a folder of the staging place, in place of the requested.
+
+    Nothing is deleted unless the staging place is there: without it a run cannot tell a
+    partition that lost its rows from one whose rows were lost on the way.
+    """
     files, at = _file_system(spark, path)
-    for values in requested:
-        folder = "/".join(f"{name}={value}" for name, value in zip(partitions, values))
-        source, target = at(f"{staged}/{folder}"), at(f"{path}/{folder}")
+    if not files.exists(at(staged)):
+        raise FileNotFoundError(f"nothing is staged at {staged}")
+    staged = f"{staged}/{within}".rstrip("/")
+    folders = ["/".join(f"{n}={v}" for n, v in zip(partitions, values)) for values in requested]
+    present = {folder for folder in folders if files.exists(at(f"{staged}/{folder}"))}
+    for folder in folders:
+        target = at(f"{path}/{folder}")
         files.delete(target, True)
-        if files.exists(source):
-            files.mkdirs(target.getParent())
-            _rename(files, source, target)
+        if folder in present:
+            _rename(files, at(f"{staged}/{folder}"), target)
     # a table may be left without any partition and is still a table
     files.mkdirs(at(path))
-    files.delete(at(staged), True)
 
 
 def _file_system(spark: SparkSession, path: str):
@@ -179,6 +188,8 @@ def _file_system(spark: SparkSession, path: str):
 
 def _rename(files, source, target) -> None:
     files.mkdirs(target.getParent())
+    if files.exists(target):  # a rename would put the rows inside it
+        raise FileExistsError(f"another run has written {target} meanwhile")
     if not files.rename(source, target):
         raise OSError(f"could not move {source} to {target}")
 
