@@ -1,107 +1,98 @@
 """Exact quantiles without gathering a column in one place.
 
-A pass counts a column's values in equal-width bins of its span, keeping each bin's
-smallest and largest value; a running total over the bins names the one that holds
-a wanted rank. That bin is split again over the span of its own values, so that a
-value far out, which leaves all others in one bin at first, does no harm. A last
-pass keeps only the values of the bin found, folds equal ones and puts them in
-order. Every pass moves a bounded number of rows per task.
+A double has a 64-bit whole number that stands in the same order. The number is read 16 bits
+at a time, the upper ones first: a pass counts the values by these bits among those whose upper
+bits are known to be a wanted rank's, and a running total over the counts names the bits that
+hold it. After four passes a single value is left, whatever the values are and however far some
+of them lie out. Each pass moves at most 65,536 rows per task and rank.
 """
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-BINS = 65_536
+BITS = 16
+_MANTISSA, _BIAS = 52, 1023
+
+
+def ordered_bits(value: Column) -> Column:
+    """The value's place in the order of doubles as a signed long, both zeros at 0; not for NaN.
+
+    It is made of the exponent and the mantissa, which arithmetic by powers of two gives exactly.
+    """
+    size = F.abs(value)
+    guess = F.greatest(F.floor(F.log2(size)), F.lit(1 - _BIAS))
+    low = F.when(F.pow(F.lit(2.0), guess) > size, guess - 1).otherwise(guess)
+    # the logarithm may be off by one where a value is next to a power of two
+    exponent = F.when(size / F.pow(F.lit(2.0), low) >= 2, low + 1).otherwise(low)
+    exponent = F.greatest(exponent, F.lit(1 - _BIAS))
+    scaled = size / F.pow(F.lit(2.0), exponent)
+    mantissa = F.when(scaled >= 1, scaled - 1).otherwise(scaled) * F.lit(float(1 << _MANTISSA))
+    above = F.when(scaled >= 1, exponent + _BIAS).otherwise(0).cast("long")
+    bits = F.shiftleft(above, _MANTISSA) + mantissa.cast("long")
+    bits = F.when(size == 0, F.lit(0).cast("long")).otherwise(bits)
+    bits = F.when(size == float("inf"), F.lit(2047 << _MANTISSA).cast("long")).otherwise(bits)
+    return F.when(value < 0, -bits).otherwise(bits)
 
 
 def exact_quantiles(
-    frame: DataFrame,
-    columns: Sequence[str],
-    fraction: float,
-    bins: int = BINS,
-    spans: Mapping[str, tuple[float, float]] | None = None,
+    frame: DataFrame, columns: Sequence[str], fraction: float, bits: int = BITS
 ) -> DataFrame:
     """One row (name, quantile) per column, interpolating linearly between ranks.
 
-    Nulls and NaN are left out; a column without values gives no row. ``spans`` says
-    where most values of each column lie and saves a pass; others count at its ends.
+    Nulls and NaN are left out; a column without values gives no row. ``bits`` are read in a pass.
     """
     pairs = [
         F.struct(F.lit(c).alias("name"), F.col(c).cast("double").alias("value")) for c in columns
     ]
     values = frame.select(F.inline(F.array(*pairs)))
     values = values.where(F.col("value").isNotNull() & ~F.isnan("value"))
-    counts = _counts(values, ["name"], _spans(values, spans), bins)
-    by_bin = Window.partitionBy("name").orderBy("bin")
-    position = (F.sum("n").over(Window.partitionBy("name")) - 1) * F.lit(float(fraction))
-    # one row per column and rank: a bounded side, from here on
-    before = F.sum("n").over(by_bin) - F.col("n")
-    placed = counts.select("*", before.alias("before"), position.alias("position"))
-    ranks = F.array_distinct(F.array(F.floor("position"), F.ceil("position")))
-    windows = _holding(placed.select("*", F.explode(ranks).alias("rank")))
-    counts = _counts(values, ["name", "rank"], windows, bins)
-    by_bin = Window.partitionBy("name", "rank").orderBy("bin")
-    again = counts.join(F.broadcast(windows.select("name", "rank", "position", "before")), ["name", "rank"])
-    running = (F.col("before") + F.sum("n").over(by_bin) - F.col("n")).alias("before")
-    windows = _holding(again.select("name", "rank", "position", "n", "lo", "hi", running))
-
-    within = _within(values, windows).groupBy("name", "rank", "position", "before", "value")
-    by_value = Window.partitionBy("name", "rank").orderBy("value")
-    upto = F.col("before") + F.sum("n").over(by_value)
-    found = (
-        within.agg(F.count(F.lit(1)).alias("n"))
-        .select("*", upto.alias("upto"))
-        .where(F.col("rank").between(F.col("upto") - F.col("n"), F.col("upto") - 1))
-    )
-    low, high = F.min_by("value", "rank"), F.max_by("value", "rank")
+    values = values.select("name", "value", ordered_bits(F.col("value")).alias("bits"))
+    ranks = None
+    for shift in range(64 - bits, -bits, -bits):
+        ranks = _narrowed(values, ranks, max(shift, 0), fraction)
+    low, high = F.min_by("least", "rank"), F.max_by("least", "rank")
     weight = F.max(F.col("position") - F.floor("position"))
-    return found.groupBy("name").agg((low + weight * (high - low)).alias("quantile"))
-
-
-def _spans(values: DataFrame, known: Mapping[str, tuple[float, float]] | None) -> DataFrame:
-    if known is None:
-        return values.groupBy("name").agg(F.min("value").alias("lo"), F.max("value").alias("hi"))
-    rows = [
-        F.struct(F.lit(c).alias("name"), F.lit(float(lo)).alias("lo"), F.lit(float(hi)).alias("hi"))
-        for c, (lo, hi) in known.items()
-    ]
-    return values.sparkSession.range(1).select(F.inline(F.array(*rows)))
-
+    # between equal infinities there is nothing to weigh
+    quantile = F.when(low == high, low).otherwise(low + weight * (high - low))
+    return ranks.groupBy("name").agg(quantile.alias("quantile"))
 
-def _within(values: DataFrame, windows: DataFrame) -> DataFrame:
-    inside = F.col("value").between(F.col("lo"), F.col("hi"))
-    return values.join(F.broadcast(windows), "name").where(inside)
 
+def _narrowed(
+    values: DataFrame, ranks: DataFrame | None, shift: int, fraction: float
+) -> DataFrame:
+    """``name, rank, position, before, upper, least``: the bits down to ``shift`` that hold each rank.
 
-def _counts(values: DataFrame, keys: list[str], windows: DataFrame, bins: int) -> DataFrame:
-    """``*keys, bin, n, lo, hi``: number, smallest and largest of the values in every bin."""
-    sides = windows.select(*keys, "lo", "hi")
-    near = values.join(F.broadcast(sides), "name") if keys == ["name"] else _within(values, sides)
-    share = F.try_divide(F.col("value") - F.col("lo"), F.col("hi") - F.col("lo"))
-    clipped = F.least(F.greatest(F.coalesce(share, F.lit(0.0)), F.lit(0.0)), F.lit(1.0))
-    return (
-        near.groupBy(*keys, F.floor(clipped * (bins - 1)).alias("bin"))
-        .agg(
-            F.count(F.lit(1)).alias("n"), F.min("value").alias("lo"), F.max("value").alias("hi")
-        )
+    ``before`` values come ahead of those that have them, ``least`` is the smallest that has.
+    """
+    place = F.shiftright("bits", shift)
+    sums = [F.count(F.lit(1)).alias("n"), F.min("value").alias("least")]
+    if ranks is None:
+        counts = values.groupBy("name", place.alias("upper")).agg(*sums)
+        position = (F.sum("n").over(Window.partitionBy("name")) - 1) * F.lit(float(fraction))
+        running = F.sum("n").over(Window.partitionBy("name").orderBy("upper")) - F.col("n")
+        placed = counts.select("*", position.alias("position"), running.alias("before"))
+        both = F.array_distinct(F.array(F.floor("position"), F.ceil("position")))
+        placed = placed.select("*", F.explode(both).alias("rank"))
+    else:
+        # one row per column and rank: a bounded side
+        known = ranks.select("name", "rank", "position", "before", "upper", "shift")
+        near = values.join(F.broadcast(known.withColumnRenamed("upper", "_upper")), "name")
+        near = near.where(F.expr("shiftright(bits, shift)") == F.col("_upper"))
+        counts = near.groupBy("name", "rank", "position", "before", place.alias("upper")).agg(*sums)
+        own = Window.partitionBy("name", "rank").orderBy("upper")
+        running = F.col("before") + F.sum("n").over(own) - F.col("n")
+        placed = counts.withColumn("before", running)
+    held = F.col("rank").between(F.col("before"), F.col("before") + F.col("n") - 1)
+    return placed.where(held).select(
+        "name", "rank", "position", "before", "upper", "least", F.lit(shift).alias("shift")
     )
 
 
-def _holding(counts: DataFrame) -> DataFrame:
-    """The bin that holds each rank."""
-    rank: Column = F.col("rank")
-    held = counts.where(rank.between(F.col("before"), F.col("before") + F.col("n") - 1))
-    return held.select("name", "rank", "position", "lo", "hi", "before")
-
-
-def exact_quantile(
-    frame: DataFrame, column: str, fraction: float, span: tuple[float, float] | None = None
-) -> DataFrame:
+def exact_quantile(frame: DataFrame, column: str, fraction: float) -> DataFrame:
     """One row, one column ``quantile``."""
-    spans = None if span is None else {column: span}
-    quantiles = exact_quantiles(frame, [column], fraction, spans=spans)
+    quantiles = exact_quantiles(frame, [column], fraction)
     return quantiles.agg(F.max("quantile").alias("quantile"))
