@@ -128,3 +128,12 @@ def test_components(spark):
     assert got == {n: root(n) for a, b in edges if a != b for n in (a, b)}
     none = spark.createDataFrame([], "a long, b long")
     assert components.components(none).count() == 0
+
+
+def test_repeated_ids_with_other_texts(spark):
+    """Every text of an id takes part, and what one links with all do."""
+    a, b = (" ".join(f"{k}{i}" for i in range(40)) for k in "ab")
+    rows = [(7, a), (3, a), (7, b), (9, b), (20, b + " more"), (20, b + " more"), (30, "apart " * 9), (30, "")]
+    found = ngram_join.similar_groups(documents(spark, [(*r, "en", "a") for r in rows])).collect()
+    assert len(found) == len(rows)
+    assert {r["doc_id"]: r["component_id"] for r in found} == {7: 3, 3: 3, 9: 3, 20: 3, 30: 30}

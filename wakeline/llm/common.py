@@ -19,15 +19,21 @@ BLANKS = " \t\n\x0b\f\r"
 BROADCAST_IDS = 500_000
 
 
+#: Bytes of the longest words that a task remembers.
+LONG = 64
+
+
 class Known(dict):
-    """What a task remembers of words: worked out when first asked for."""
+    """What a task remembers of words, long ones left out: worked out when first asked for."""
 
     def __init__(self, find: Callable[[bytes], int]):
         super().__init__()
         self.find = find
 
     def __missing__(self, word: bytes) -> int:
-        found = self[word] = self.find(word)
+        found = self.find(word)
+        if len(word) <= LONG:
+            self[word] = found
         return found
 
     def numbers(self, words: list[bytes], most: int) -> np.ndarray:
@@ -109,14 +115,14 @@ def dropped(frame: DataFrame) -> None:
         path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, False)
 
 
-def by_ids(docs: DataFrame, ids: DataFrame, how: str) -> DataFrame:
-    """Documents semi- or anti-joined by ``doc_id`` with a column of distinct ids.
+def by_ids(docs: DataFrame, ids: DataFrame, how: str, key: str = "doc_id") -> DataFrame:
+    """Documents semi- or anti-joined by ``doc_id``, or another key, with a column of distinct ids.
 
     The ids are counted, and broadcast if they are few enough, which spares the texts a shuffle.
     """
     ids = kept(ids.select(F.col(ids.columns[0]).alias("_id")))
     few = ids.count() <= BROADCAST_IDS
-    return docs.join(F.broadcast(ids) if few else ids, F.col("doc_id") == F.col("_id"), how)
+    return docs.join(F.broadcast(ids) if few else ids, F.col(key) == F.col("_id"), how)
 
 
 def tasks_find_package(spark: SparkSession) -> None:

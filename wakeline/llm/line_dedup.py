@@ -30,7 +30,7 @@ PERCENT = 80
 #: that does, and the most frequent words kept (their ranks are the upper 16 bits of a code).
 CHUNK, LOCAL, FREQUENT, FREQUENT_LIMIT = 1 << 19, 8, 256, (1 << 16) - 2
 RANK_SHIFT = 48
-BLOCK = 1 << 20
+BLOCK = 1 << 19
 WORDS = 200_000
 ROWS = 500
 ENTRY = np.dtype(

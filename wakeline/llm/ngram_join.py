@@ -21,10 +21,10 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from wakeline.llm.common import BLANKS, Known, by_ids, kept, tasks_find_package, text_of
+from wakeline.llm.common import BLANKS, Known, by_ids, kept, slices, tasks_find_package, text_of
 from wakeline.llm.components import components
 
 WIDTH = 5
@@ -68,15 +68,16 @@ def frequent_shingles(docs: DataFrame, width: int) -> np.ndarray:
     Counts are of what stands out within a task, summed; they only choose the order of columns.
     """
 
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        def standing_out(parts: list[np.ndarray]) -> pd.DataFrame:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def standing_out(parts: list[np.ndarray]) -> pa.RecordBatch:
             found, n = np.unique(np.concatenate(parts), return_counts=True)
             often = n >= LOCAL
-            return pd.DataFrame({"shingle": found[often].view(np.int64), "n": n[often]})
+            arrays = [pa.array(found[often].view(np.int64)), pa.array(n[often].astype(np.int64))]
+            return pa.RecordBatch.from_arrays(arrays, names=["shingle", "n"])
 
         shingles, parts, size = Shingles(width), [], 0
-        for frame in frames:
-            for text in frame["text"]:
+        for batch in slices(batches, 0):
+            for text in batch.column(0).to_pylist():
                 parts.append(shingles(text))
                 size += len(parts[-1])
                 if size >= COUNTED:
@@ -85,7 +86,7 @@ def frequent_shingles(docs: DataFrame, width: int) -> np.ndarray:
         if parts:
             yield standing_out(parts)
 
-    each = docs.select("text").mapInPandas(run, "shingle long, n long")
+    each = docs.select("text").mapInArrow(run, "shingle long, n long")
     counts = kept(each.groupBy("shingle").agg(F.sum("n").alias("n")).where(F.col("n") >= FREQUENT))
     least = FREQUENT
     while counts.where(F.col("n") >= least).count() > FREQUENT_LIMIT:
@@ -97,14 +98,15 @@ def frequent_shingles(docs: DataFrame, width: int) -> np.ndarray:
 def _signatures(docs: DataFrame, percent: int, width: int) -> DataFrame:
     """``doc_id, n, first, second, rare, often``: size, fingerprint and leading columns of a set."""
     frequent = frequent_shingles(docs, width)
-    place = np.argsort(frequent)  # the n-th smallest hash stands at this place in the order
-    ordered = frequent[place]
+    shared = docs.sparkSession.sparkContext.broadcast(frequent)  # at most FREQUENT_LIMIT
 
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        shingles = Shingles(width)
-        for frame in frames:
-            rows = []
-            for doc_id, text in zip(frame["doc_id"], frame["text"]):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        shingles, frequent = Shingles(width), shared.value
+        place = np.argsort(frequent)  # the n-th smallest hash stands at this place in the order
+        ordered = frequent[place]
+        for batch in slices(batches, 1):
+            sizes, prints, leading, common = [], [], [], []
+            for text in batch.column(1).to_pylist():
                 s = shingles(text)
                 lead = len(s) - (percent * len(s) + 99) // 100 + 1 if len(s) else 0
                 often = np.empty(0, dtype=np.uint64)
@@ -114,17 +116,29 @@ def _signatures(docs: DataFrame, percent: int, width: int) -> DataFrame:
                     hit = ordered[at] == s
                     rare, often = s[~hit], frequent[np.sort(place[at[hit]])]
                     often = often[: max(0, lead - len(rare))]
-                first, second = s.sum(dtype=np.uint64), (s * s ^ (s >> np.uint64(7))).sum(dtype=np.uint64)
-                rows.append(
-                    (doc_id, len(s), first.view(np.int64), second.view(np.int64),
-                     rare[:lead].view(np.int64), often.view(np.int64))
-                )
+                sizes.append(len(s))
+                prints.append(_fingerprint(s))
+                leading.append(rare[:lead].view(np.int64))
+                common.append(often.view(np.int64))
+            first, second = zip(*prints)
+            longs = pa.list_(pa.int64())
+            arrays = [pa.array(sizes, pa.int64()), pa.array(first), pa.array(second)]
+            arrays += [pa.array(leading, longs), pa.array(common, longs)]
             names = ["doc_id", "n", "first", "second", "rare", "often"]
-            out = pd.DataFrame(rows, columns=names)
-            yield out.astype({"doc_id": "Int64", "n": "int64"})
+            yield pa.RecordBatch.from_arrays([batch.column(0), *arrays], names=names)
 
     schema = "doc_id long, n long, first long, second long, rare array<long>, often array<long>"
-    return docs.select("doc_id", "text").mapInPandas(run, schema)
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, schema)
+
+
+def _fingerprint(s: np.ndarray) -> tuple[int, int]:
+    second = (s * s ^ (s >> np.uint64(7))).sum(dtype=np.uint64)
+    return int(s.sum(dtype=np.uint64).view(np.int64)), int(second.view(np.int64))
+
+
+def _node() -> Column:
+    """What stands for a set: one number for all rows that have it."""
+    return F.xxhash64("first", "second", "n").alias("node")
 
 
 def _meeting(rows: DataFrame, blocks: int) -> DataFrame:
@@ -177,18 +191,24 @@ def _meeting(rows: DataFrame, blocks: int) -> DataFrame:
     return light.unionByName(heavy)
 
 
-def _sets(docs: DataFrame, nodes: DataFrame, width: int) -> DataFrame:
+def _sets(docs: DataFrame, nodes: DataFrame, classes: DataFrame, width: int) -> DataFrame:
     """``node, set``: whole sets of the given nodes, as sorted 64-bit numbers."""
 
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingles = Shingles(width)
-        for frame in frames:
-            yield pd.DataFrame(
-                {"node": frame["doc_id"], "set": [shingles(t).tobytes() for t in frame["text"]]}
-            )
+        for batch in slices(batches, 0):
+            sets = [shingles(t) for t in batch.column(0).to_pylist()]
+            first, second = zip(*map(_fingerprint, sets))
+            arrays = [pa.array(first), pa.array(second), pa.array([len(s) for s in sets], pa.int64())]
+            arrays.append(pa.array([s.tobytes() for s in sets], pa.binary()))
+            yield pa.RecordBatch.from_arrays(arrays, names=["first", "second", "n", "set"])
 
-    chosen = by_ids(docs.select("doc_id", "text"), nodes, "left_semi")
-    return chosen.mapInPandas(run, "node long, set binary")
+    wanted = kept(classes.join(nodes, "node").select("doc", "node"))
+    chosen = by_ids(docs.select("doc_id", "text"), wanted.select("doc").distinct(), "left_semi")
+    found = chosen.select("text").mapInArrow(run, "first long, second long, n long, set binary")
+    # other texts of the same ids go again
+    found = found.select(_node(), "set").join(wanted.select("node"), "node", "left_semi")
+    return kept(found).dropDuplicates(["node"])
 
 
 def _ends(pairs: DataFrame) -> DataFrame:
@@ -275,37 +295,47 @@ def similar_groups(docs: DataFrame, percent: int = 75, width: int = WIDTH) -> Da
     Two documents link if their sets of ``width``-word shingles overlap in ``percent`` of their
     union or more; a text of fewer words is one shingle. A null or empty text has an empty set and
     links with nothing, as does a row without ``doc_id``, whose component is null. Rows that share
-    a ``doc_id`` are one document to their neighbours. Shingles are told apart by 64-bit hashes.
-    An empty table gives none; further columns are ignored.
+    a ``doc_id`` are one document: what one of them links with, all do. Shingles are told apart by
+    64-bit hashes. An empty table gives none; further columns are ignored.
     """
     tasks_find_package(docs.sparkSession)
-    signed = kept(_signatures(docs, percent, width))
+    signed = kept(_signatures(docs, percent, width)).withColumn("node", F.when(F.col("n") > 0, _node()))
     full = signed.where("n > 0 and doc_id is not null")
-    prints = ["first", "second", "n"]
-    classes = kept(full.groupBy(*prints).agg(F.min("doc_id").alias("node")))
-    copies = full.select("doc_id", *prints).join(classes, prints).where("doc_id <> node")
-    rows = by_ids(full, copies.select("doc_id").distinct(), "left_anti")
-    rows = rows.select(F.col("doc_id").alias("node"), "n", "rare", "often")
-    sizes = classes.select("node", "n").dropDuplicates(["node"])
+    classes = kept(full.groupBy("node").agg(F.min("doc_id").alias("doc"), F.first("n").alias("n")))
+    sizes = classes.select("node", "n")
+    # the row of the smallest doc_id stands for its class, once
+    own = F.xxhash64("doc_id", "node").alias("own")
+    places = full.groupBy("doc_id", "node").agg(F.count(F.lit(1)).alias("rows")).join(classes, "node")
+    places = kept(places.select("doc_id", "node", "rows", (F.col("doc_id") > F.col("doc")).alias("copy")))
+    rows = full.select("node", "n", "rare", "often", own)
+    rows = by_ids(rows, places.where("copy").select(own), "left_anti", "own")
+    often = kept(places.where("not copy and rows > 1").select(own))
+    again = by_ids(rows, often, "left_semi", "own").dropDuplicates(["own"])
+    rows = by_ids(rows, often, "left_anti", "own").unionByName(again).drop("own")
     entries = signed.agg(F.sum(F.size("rare"))).first()[0] or 0
     meeting = kept(_meeting(rows, max(64, -(-entries // BLOCK))))
 
     pairs = kept(_near_pairs(meeting, sizes, percent))
-    sets = kept(_sets(docs, _ends(pairs), width))
+    sets = kept(_sets(docs, _ends(pairs), classes, width))
     found = components(_links(pairs, sets, percent))
     rest = _still_apart(meeting, found, sizes, percent)
     rest = kept(rest.join(pairs, ["a", "b"], "left_anti"))
     unread = kept(_ends(rest).join(sets.select("node"), "node", "left_anti"))
-    sets = sets.unionByName(kept(_sets(docs, unread, width)))
-    # what is found joins through its smallest node
+    sets = sets.unionByName(kept(_sets(docs, unread, classes, width)))
+    # what is found joins through its smallest node, and the classes of one id through theirs
     stars = found.select(F.col("node").alias("a"), F.col("component").alias("b"))
-    groups = components(stars.unionByName(_links(rest, sets, percent)))
-
-    classed = signed.select("doc_id", *prints).join(
-        classes.withColumnRenamed("node", "class"), prints, "left"
-    )
-    placed = classed.join(groups, F.col("class") == F.col("node"), "left")
-    own = F.when(F.col("n") > 0, F.coalesce("component", "class")).otherwise(F.col("doc_id"))
+    shared = places.groupBy("doc_id").agg(F.min("node").alias("a"), F.max("node").alias("z"))
+    shared = places.join(shared.where("a < z").select("doc_id", "a"), "doc_id")
+    shared = shared.select("a", F.col("node").alias("b"))
+    links = stars.unionByName(_links(rest, sets, percent)).unionByName(shared)
+    groups = kept(components(links))
+
+    # the smallest id of a component
+    inside = classes.join(groups, "node", "left").select("node", "doc", F.coalesce("component", "node").alias("c"))
+    least = inside.groupBy("c").agg(F.min("doc").alias("least"))
+    least = kept(inside.join(least, "c").select("node", "least"))
+    placed = signed.select("doc_id", "n", "node").join(least, "node", "left")
+    own = F.when(F.col("n") > 0, F.col("least")).otherwise(F.col("doc_id"))
     own = F.when(F.col("doc_id").isNotNull(), own)
     return placed.select("doc_id", F.col("n").alias("n_shingles"), own.alias("component_id"))
 

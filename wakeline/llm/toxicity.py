@@ -38,8 +38,8 @@ BROADCAST_STEMS = 400_000
 UNITS = 1 << 32
 #: Labelled documents kept for the curve: their share, and the most of each class.
 CURVE_SHARE, CURVE_ROWS = 0.2, 4_000
-#: Words a task counts or remembers at a time.
-WORDS = 300_000
+#: Words a task counts or remembers at a time, and the most letters of one that it remembers.
+WORDS, LONG = 150_000, 64
 #: The curve where labels are too few to fit one: weights of the features, then the constant.
 DEFAULT_CURVE = (1.0, 1.0, -3.0)
 
@@ -180,32 +180,41 @@ def _evidence(docs: DataFrame, stems: DataFrame, others: str) -> DataFrame:
     """
     few = stems.count() <= BROADCAST_STEMS
     rows = stems.toPandas() if few else None
-    held = dict(zip(rows["stem"], rows["units"].tolist())) if few else {}
-    longest = max(map(len, held), default=0)
-
-    def word(word: str, known: dict[str, int]) -> int:
-        found = known.get(word)
-        if found is None:
-            whole, found = word + END, 0
-            for length in range(min(len(whole), longest), 0, -1):
-                if whole[:length] in held:
-                    found = held[whole[:length]]
-                    break
-            known[word] = found
-        return found
+    # sent once to a machine, not with every task
+    shared = docs.sparkSession.sparkContext.broadcast(
+        dict(zip(rows["stem"], rows["units"].tolist())) if few else {}
+    )
+    longest = int(rows["stem"].str.len().max()) if few and len(rows) else 0
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        known: dict[str, int] = {}
+        held, known = shared.value, {}
+
+        def word(word: str, known: dict[str, int]) -> int:
+            found = known.get(word)
+            if found is None:
+                whole, found = word + END, 0
+                for length in range(min(len(whole), longest), 0, -1):
+                    if whole[:length] in held:
+                        found = held[whole[:length]]
+                        break
+                if len(word) <= LONG:
+                    known[word] = found
+            return found
+
         for frame in frames:
             if len(known) > WORDS:
                 known.clear()
-            found = [WORD.findall(text.lower()) for text in frame["text"]]
             out = frame.drop(columns="text")
             if "doc_id" in out:
                 out["doc_id"] = out["doc_id"].astype("Int64")
-            units = [sum(word(w, known) for w in set(own)) for own in found]
-            keys = [hashlib.md5(text.encode()).digest() for text in frame["text"]]
-            yield out.assign(n=[len(own) for own in found], units=units, key=keys)
+            # the words of one text at a time
+            rows = []
+            for text in frame["text"]:
+                own = WORD.findall(text.lower())
+                units = sum(word(w, known) for w in set(own))
+                rows.append((len(own), units, hashlib.md5(text.encode()).digest()))
+            n, units, keys = zip(*rows) if rows else ((), (), ())
+            yield out.assign(n=n, units=units, key=keys)
 
     def distinct_words(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
