@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wakeline.functions.times import date_parts
+from wakeline.schema import REPORT_SCHEMA
 
 BASE_SQL = """
   select
@@ -105,6 +106,32 @@ def bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reports(spark, sf_dir).select("*", *date_parts(F.col("source_date")))
 
 
+RAW_PATTERN = "ais-*.csv.gz"
+
+
+def raw_files(spark: SparkSession, sf_dir: str, broken: bool = False) -> str:
+    """A folder of daily files of all reports, named as senders name them but for the codec.
+
+    ``broken`` gives every seventh report two fields too many.
+    """
+    folder = scratch(spark)
+    names = REPORT_SCHEMA.names
+    fields = [F.coalesce(F.col(c).cast("string"), F.lit("")) for c in names]
+    surplus = F.when(F.lit(broken) & (F.col("report_id") % 7 == 0), ",x,y").otherwise("")
+    lines = reports(spark, sf_dir).select("source_date", F.concat(F.concat_ws(",", *fields), surplus).alias(",".join(names)))
+    writer = lines.repartition("source_date").write.partitionBy("source_date").option("header", True)
+    writer = writer.option("sep", "\u0001").option("quote", "\u0000")
+    writer.option("compression", "gzip").csv(f"{folder}/days")
+    at = spark._jvm.org.apache.hadoop.fs.Path
+    files = at(folder).getFileSystem(spark._jsc.hadoopConfiguration())
+    files.mkdirs(at(f"{folder}/raw"))
+    # a listing of files, one for each day
+    for status in files.globStatus(at(f"{folder}/days/source_date=*/part-*")):
+        day = status.getPath().getParent().getName().removeprefix("source_date=")
+        files.rename(status.getPath(), at(f"{folder}/raw/ais-{day}.csv.gz"))
+    return f"{folder}/raw"
+
+
 def attempts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.sql(ATTEMPTS_SQL, events=events(spark, sf_dir))
 

@@ -328,6 +328,13 @@ order by bin""",
     ).replace(")\n\n,", "),", 1)
 
 
+BRONZE_SQL = (
+    f"select {', '.join(REPORT_COLUMNS)}, source_date, cast(year(cast(source_date as date)) as int) as year,"
+    " cast(month(cast(source_date as date)) as int) as month,"
+    " cast(day(cast(source_date as date)) as int) as day from reports"
+)
+
+
 def oracle() -> dict[str, str]:
     s = statement
     report_fields = "report_id, mmsi, latitude, longitude, sog, cog"
@@ -345,6 +352,25 @@ def oracle() -> dict[str, str]:
         "scan_reports_clean": s(
             f"select {', '.join(REPORT_COLUMNS)} from reports where report_id % 7 <> 0", "reports"
         ),
+        "discover_files": s(
+            "select distinct concat('ais-', source_date, '.csv.gz') as file_name, source_date,"
+            " true as has_bytes from reports",
+            "reports",
+        ),
+        **{name: s(BRONZE_SQL, "reports") for name in ("ingest_run", "stream_ingest")},
+        "ingest_manifest": s(
+            "select concat('ais-', source_date, '.csv.gz') as file_name,"
+            " count(*) filter (report_id % 7 <> 0) as row_count, source_date, 'success' as status"
+            " from reports group by source_date",
+            "reports",
+        ),
+        "ingest_quarantine": s(
+            "select concat("
+            + ", ',', ".join(f"coalesce(cast({c} as varchar), '')" for c in REPORT_COLUMNS)
+            + ", ',x,y') as line, source_date from reports where report_id % 7 = 0",
+            "reports",
+        ),
+        "external_tables": s("select * from routes", "routes"),
         "gold_scan": s("select * from activity", "activity"),
         "gated_run": s("select * from activity", "activity"),
         "rerun_empty_day": s("select * from activity_without_a_day", "activity_without_a_day"),

@@ -15,8 +15,9 @@ from wakeline.operators import voyages as vy
 from wakeline.plans import daily, metrics
 from wakeline.rules import VoyageRules
 from wakeline.schema import BRONZE_SCHEMA, REPORT_SCHEMA
-from wakeline.sources import files, tables
+from wakeline.sources import files, ingest, tables
 from wakeline.sources import manifest as mf
+from wakeline.streaming import ingest as streaming
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -120,6 +121,65 @@ def scan_reports_clean(spark, sf_dir):
     return clean.drop("file_name")
 
 
+@query
+def discover_files(spark, sf_dir):
+    """Daily files written from all reports, as they are found."""
+    found = files.discover_files(spark, bridge.raw_files(spark, sf_dir), bridge.RAW_PATTERN)
+    return found.select("file_name", "source_date", (F.col("size_bytes") > 0).alias("has_bytes"))
+
+
+@query
+def ingest_run(spark, sf_dir):
+    """Daily files of all reports loaded into bronze and read back."""
+    root = bridge.scratch(spark)
+    ingest.ingest_pending(spark, bridge.raw_files(spark, sf_dir), root, pattern=bridge.RAW_PATTERN)
+    return tables.read_bronze(spark, root)
+
+
+@query
+def ingest_manifest(spark, sf_dir):
+    """What the manifest says of a load with lines that have fields too many."""
+    root = bridge.scratch(spark)
+    raw = bridge.raw_files(spark, sf_dir, broken=True)
+    ingest.ingest_pending(spark, raw, root, pattern=bridge.RAW_PATTERN)
+    written = mf.read_manifest(spark, tables.manifest_path(root))
+    return written.select("file_name", "row_count", "source_date", "status")
+
+
+@query
+def ingest_quarantine(spark, sf_dir):
+    """Lines that a load kept out of bronze, by day."""
+    root = bridge.scratch(spark)
+    raw = bridge.raw_files(spark, sf_dir, broken=True)
+    ingest.ingest_pending(spark, raw, root, pattern=bridge.RAW_PATTERN)
+    return ingest.read_quarantine(spark, root).select("line", "source_date")
+
+
+@query
+def stream_ingest(spark, sf_dir):
+    """The same files loaded by a stream, some at a time, and read back."""
+    root, raw = bridge.scratch(spark), bridge.raw_files(spark, sf_dir)
+    started = streaming.stream_ingest(
+        spark, raw, root, f"{root}/checkpoint", pattern=bridge.RAW_PATTERN, files_per_trigger=20
+    )
+    started.awaitTermination()
+    return tables.read_bronze(spark, root)
+
+
+@query
+def external_tables(spark, sf_dir):
+    """Route metrics of a run, read through the catalog after a repair."""
+    root = bridge.scratch(spark)
+    bronze = bridge.bronze(spark, sf_dir).select(*BRONZE_SCHEMA.names)
+    tables.write_partitioned(bronze, tables.layer_path(root, "bronze"), tables.BRONZE_PARTITIONS)
+    daily.run_all(spark, root, rules=RULES, gate=False)
+    database = f"tracks_{root.rsplit('/', 1)[-1]}"
+    spark.sql(f"CREATE DATABASE {database} LOCATION '{root}/catalog'")
+    tables.register_tables(spark, root, database)
+    tables.repair_tables(spark, database)
+    return spark.table(f"{database}.route_metrics")
+
+
 @query
 def gold_scan(spark, sf_dir):
     """Activity written by date, one date replaced, and read back with its types."""
