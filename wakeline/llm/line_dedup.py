@@ -31,8 +31,8 @@ PERCENT = 80
 CHUNK, LOCAL, FREQUENT, FREQUENT_LIMIT = 1 << 19, 8, 256, (1 << 16) - 2
 RANK_SHIFT = 48
 BLOCK = 1 << 19
-WORDS = 200_000
-ROWS = 500
+#: Words of lines worked on at a time, and words and texts that a task remembers or holds.
+LINES, WORDS, ROWS = 1 << 17, 150_000, 500
 ENTRY = np.dtype(
     [
         ("key", "<u4"),
@@ -91,7 +91,7 @@ def _chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[list, list, lis
                     numbers.append(number)
                     sizes.append(len(own))
                     words += own
-            if len(words) >= CHUNK:
+            if len(words) >= min(CHUNK, LINES):
                 yield docs, numbers, sizes, words
                 docs, numbers, sizes, words = [], [], [], []
     if words:
@@ -323,6 +323,7 @@ def _first_candidates(packed: DataFrame, percent: int) -> DataFrame:
 
     def run(frame: pd.DataFrame) -> pd.DataFrame:
         found = earliest_partners(_unpacked(frame), percent)
+        pa.default_memory_pool().release_unused()
         return found.assign(block=frame["block"].iloc[0])
 
     return packed.groupBy("block").applyInPandas(run, "a long, b long, more boolean, block int")

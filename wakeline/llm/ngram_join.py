@@ -34,8 +34,9 @@ COUNTED, LOCAL = 1 << 21, 4
 FREQUENT, FREQUENT_LIMIT = 64, 1 << 20
 #: Entries of a block of columns.
 BLOCK = 1 << 20
-#: Rows up to which a column pairs all of them, and the masks that choose pivots of longer ones.
-SHORT, MASKS = 16, (0, 0x5555, 0x3333333, 0x0F0F0F0F, 0x2AAAAAAA, 0x1C71C7, 0x36DB6D, 0x7FFFFFFF)
+#: Rows up to which a column pairs all of them, and the masks that choose pivots of longer ones: of
+#: all 64 bits, as nodes are hashes.
+SHORT, MASKS = 16, tuple(k * 0x9E3779B97F4A7C15 % (1 << 63) for k in range(8))
 #: Words whose hashes a task remembers.
 WORDS = 200_000
 
