@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from wakeline.llm.common import LONG, kept, slices, tasks_find_package, text_of, uniform
+from wakeline.llm.common import BROADCAST_IDS, LONG, kept, slices, tasks_find_package, text_of, uniform
 from wakeline.llm.langid import held_out as is_held_out
 from wakeline.llm.langid import may_learn
 
@@ -211,7 +211,9 @@ def curve_rows(labels: DataFrame) -> tuple[DataFrame, DataFrame]:
 def counts_of(docs: DataFrame, known: DataFrame) -> np.ndarray:
     """Rows of ``gram, toxic, ordinary`` of the documents in ``known``, ``d, toxic``: 2^25 at most."""
     texts = docs.select("doc_id", text_of("text").alias("text"))
-    found = ngram_counts(texts.join(known, F.col("doc_id") == F.col("d"))).toArrow()
+    # counted, and broadcast if few enough, which spares the texts a shuffle
+    side = F.broadcast(known) if known.count() <= BROADCAST_IDS else known
+    found = ngram_counts(texts.join(side, F.col("doc_id") == F.col("d"))).toArrow()
     columns = [found.column(c).to_numpy().astype(np.int64) for c in ("gram", "toxic", "ordinary")]
     return np.array(columns).reshape(3, -1)
 
