@@ -21,7 +21,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from wakeline.llm.common import BLANKS, Known, by_ids, kept, slices, tasks_find_package, text_of
@@ -35,7 +35,7 @@ FREQUENT, FREQUENT_LIMIT = 64, 1 << 20
 #: Entries of a block of columns.
 BLOCK = 1 << 20
 #: Rows up to which a column pairs all of them, and the masks that choose pivots of longer ones: of
-#: all 64 bits, as nodes are hashes.
+#: all 64 bits, as ids may be any; the first chooses the smallest id, as copies often follow it.
 SHORT, MASKS = 16, tuple(k * 0x9E3779B97F4A7C15 % (1 << 63) for k in range(8))
 #: Words whose hashes a task remembers.
 WORDS = 200_000
@@ -137,17 +137,18 @@ def _fingerprint(s: np.ndarray) -> tuple[int, int]:
     return int(s.sum(dtype=np.uint64).view(np.int64)), int(second.view(np.int64))
 
 
-def _node() -> Column:
-    """What stands for a set: one number for all rows that have it."""
-    return F.xxhash64("first", "second", "n").alias("node")
+def _print() -> Column:
+    """One number for all rows that have the same set."""
+    return F.xxhash64("first", "second", "n").alias("print")
 
 
 def _meeting(rows: DataFrame, blocks: int) -> DataFrame:
-    """``shingle, node, n``: entries of columns in which several rows meet."""
+    """``shingle, node``: entries of columns in which several rows meet."""
+
     def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         # a row's columns, cut by block
         for batch in batches:
-            values = batch.column(2)
+            values = batch.column(1)
             lengths = pa.compute.list_value_length(values).to_numpy(zero_copy_only=False)
             flat = values.flatten().to_numpy()
             owner = np.repeat(np.arange(len(lengths)), lengths.astype(np.int64))
@@ -160,10 +161,9 @@ def _meeting(rows: DataFrame, blocks: int) -> DataFrame:
                 [
                     pa.array(part[new].astype(np.int64)),
                     batch.column(0).take(pa.array(owner[new])),
-                    batch.column(1).take(pa.array(owner[new])),
                     pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat)),
                 ],
-                names=["block", "node", "n", "shingles"],
+                names=["block", "node", "shingles"],
             )
 
     def meet(frame: pd.DataFrame) -> pd.DataFrame:
@@ -179,16 +179,15 @@ def _meeting(rows: DataFrame, blocks: int) -> DataFrame:
             {
                 "shingle": flat[shared],
                 "node": frame["node"].to_numpy()[owner],
-                "n": frame["n"].to_numpy()[owner],
             }
         )
 
 
-    parts = rows.select("node", "n", "rare").mapInArrow(
-        split, "block long, node long, n long, shingles array<long>"
+    parts = rows.select("node", "rare").mapInArrow(
+        split, "block long, node long, shingles array<long>"
     )
-    light = parts.groupBy("block").applyInPandas(meet, "shingle long, node long, n long")
-    heavy = rows.select(F.explode("often").alias("shingle"), "node", "n")
+    light = parts.groupBy("block").applyInPandas(meet, "shingle long, node long")
+    heavy = rows.select(F.explode("often").alias("shingle"), "node")
     return light.unionByName(heavy)
 
 
@@ -204,12 +203,12 @@ def _sets(docs: DataFrame, nodes: DataFrame, classes: DataFrame, width: int) ->
             arrays.append(pa.array([s.tobytes() for s in sets], pa.binary()))
             yield pa.RecordBatch.from_arrays(arrays, names=["first", "second", "n", "set"])
 
-    wanted = kept(classes.join(nodes, "node").select("doc", "node"))
+    wanted = kept(classes.join(nodes, "node").select("doc", "node", "print"))
     chosen = by_ids(docs.select("doc_id", "text"), wanted.select("doc").distinct(), "left_semi")
     found = chosen.select("text").mapInArrow(run, "first long, second long, n long, set binary")
     # other texts of the same ids go again
-    found = found.select(_node(), "set").join(wanted.select("node"), "node", "left_semi")
-    return kept(found).dropDuplicates(["node"])
+    found = found.select(_print(), "set").join(wanted.select("node", "print"), "print")
+    return kept(found.select("node", "set")).dropDuplicates(["node"])
 
 
 def _ends(pairs: DataFrame) -> DataFrame:
@@ -274,20 +273,68 @@ def _near_pairs(meeting: DataFrame, sizes: DataFrame, percent: int) -> DataFrame
     return _possible(met, sizes, percent)
 
 
+def _may_link(shared: str, sizes: list[str], percent: int) -> Column:
+    """Whether so many shared columns may do for some pair of rows with sizes in these bounds.
+
+    The fewest do when the smaller row is as small and the larger as large as can be; rounding is
+    left out, which lets more through.
+    """
+    small, large = F.least(*sizes), F.greatest(*sizes)
+    small = F.greatest(small, percent * large / 100)
+    return F.col(shared) > percent * (small + large) / (100 + percent) - percent * large / 100 - 1e-6
+
+
 def _still_apart(
     meeting: DataFrame, groups: DataFrame, sizes: DataFrame, percent: int
 ) -> DataFrame:
-    """Pairs of rows in different groups; columns within one group take no part."""
+    """Pairs of rows in different groups; columns within one group take no part.
+
+    A group stands in a column once, however many of its rows do, and rows of a group that have
+    one size and the same columns are one row. Only of two groups that share columns enough are
+    rows held against the other group, and only those that share enough with it against each other.
+    """
     placed = meeting.select("shingle", "node").join(groups, "node", "left")
-    placed = kept(placed.select("shingle", "node", F.coalesce("component", "node").alias("c")))
+    placed = placed.select("shingle", "node", F.coalesce("component", "node").alias("c"))
     columns = placed.groupBy("shingle").agg(F.min("c").alias("lo"), F.max("c").alias("hi"))
-    left = placed.join(columns.where("lo < hi").select("shingle"), "shingle")
-    left = kept(left.select("shingle", F.col("node").alias("a"), "c"))
-    right = left.select("shingle", F.col("a").alias("b"), F.col("c").alias("d"))
-    # c < d takes every two groups once
-    met = left.join(right, "shingle").where("c < d")
-    ends = F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")
-    return _possible(met.select(*ends), sizes, percent)
+    entries = kept(placed.join(columns.where("lo < hi").select("shingle"), "shingle"))
+    alike = entries.groupBy("node", "c").agg(
+        F.bit_xor(F.xxhash64("shingle")).alias("columns"), F.count(F.lit(1)).alias("k")
+    )
+    alike = kept(alike.join(sizes, "node").select("node", F.xxhash64("c", "n", "columns", "k").alias("p")))
+    alike = alike.join(alike.groupBy("p").agg(F.min("node").alias("stands")), "p").select("node", "stands")
+    alike = kept(alike)
+    entries = kept(entries.join(alike.where("node = stands").select("node"), "node", "left_semi"))
+    present = entries.select("shingle", "c").distinct()
+    bounds = sizes.join(groups, "node", "left").groupBy(F.coalesce("component", "node").alias("c"))
+    bounds = bounds.agg(F.min("n").alias("lo"), F.max("n").alias("hi"))
+    bounds = kept(bounds.join(present.select("c").distinct(), "c", "left_semi"))
+    other = bounds.toDF("d", "lo_d", "hi_d")
+
+    # c < d takes every two groups once, those with rows of sizes that may go together
+    present = kept(present.join(bounds, "c").select("shingle", "c", "lo", "hi"))
+    met = present.join(present.toDF("shingle", "d", "lo_d", "hi_d"), "shingle").where("c < d")
+    met = met.where((100 * F.col("hi") >= percent * F.col("lo_d")) & (100 * F.col("hi_d") >= percent * F.col("lo")))
+    met = met.select("shingle", "c", "d")
+    shared = met.groupBy("c", "d").agg(F.count(F.lit(1)).alias("shared"))
+    shared = shared.join(bounds, "c").join(other, "d")
+    near = shared.where(_may_link("shared", ["lo", "hi", "lo_d", "hi_d"], percent)).select("c", "d")
+    met = kept(met.join(kept(near), ["c", "d"]).select("shingle", "c", "d"))
+    both = met.unionByName(met.select("shingle", F.col("d").alias("c"), F.col("c").alias("d")))
+
+    # rows that share enough with the other group, and where they do
+    facing = kept(entries.join(both, ["shingle", "c"]))
+    enough = facing.groupBy("node", "d").agg(F.count(F.lit(1)).alias("shared"))
+    enough = enough.join(sizes, "node").join(other, "d")
+    enough = enough.where(_may_link("shared", ["n", "lo_d", "hi_d"], percent)).select("node", "d")
+    facing = kept(facing.join(enough, ["node", "d"]))
+    left = facing.where("c < d").select("shingle", F.col("node").alias("x"), "c", "d")
+    right = facing.where("c > d").select(
+        "shingle", F.col("node").alias("y"), F.col("d").alias("c"), F.col("c").alias("d")
+    )
+    met = left.join(right, ["shingle", "c", "d"]).select(F.col("x").alias("a"), F.col("y").alias("b"))
+    found = _possible(met, sizes, percent).toDF("x", "y")
+    found = found.join(alike.toDF("a", "x"), "x").join(alike.toDF("b", "y"), "y")
+    return found.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
 
 
 def similar_groups(docs: DataFrame, percent: int = 75, width: int = WIDTH) -> DataFrame:
@@ -300,19 +347,27 @@ def similar_groups(docs: DataFrame, percent: int = 75, width: int = WIDTH) -> Da
     64-bit hashes. An empty table gives none; further columns are ignored.
     """
     tasks_find_package(docs.sparkSession)
-    signed = kept(_signatures(docs, percent, width)).withColumn("node", F.when(F.col("n") > 0, _node()))
+    signed = kept(_signatures(docs, percent, width)).withColumn("print", F.when(F.col("n") > 0, _print()))
     full = signed.where("n > 0 and doc_id is not null")
-    classes = kept(full.groupBy("node").agg(F.min("doc_id").alias("doc"), F.first("n").alias("n")))
+    classes = full.groupBy("print").agg(F.min("doc_id").alias("doc"), F.first("n").alias("n"))
+    # a class goes by its smallest doc_id; classes of one id, if it has several texts, by their prints
+    classes = kept(classes.withColumn("several", F.count(F.lit(1)).over(Window.partitionBy("doc")) > 1))
+    several = kept(classes.where("several").select("doc").distinct())
+    node = F.when(F.col("several"), F.col("print")).otherwise(F.col("doc"))
+    classes = classes.select("print", "doc", "n", node.alias("node"))
     sizes = classes.select("node", "n")
     # the row of the smallest doc_id stands for its class, once
-    own = F.xxhash64("doc_id", "node").alias("own")
-    places = full.groupBy("doc_id", "node").agg(F.count(F.lit(1)).alias("rows")).join(classes, "node")
-    places = kept(places.select("doc_id", "node", "rows", (F.col("doc_id") > F.col("doc")).alias("copy")))
-    rows = full.select("node", "n", "rare", "often", own)
+    own = F.xxhash64("doc_id", "print").alias("own")
+    places = full.groupBy("doc_id", "print").agg(F.count(F.lit(1)).alias("rows")).join(classes, "print")
+    copy = (F.col("doc_id") > F.col("doc")).alias("copy")
+    places = kept(places.select("doc_id", "print", "node", "rows", copy))
+    rows = full.select("doc_id", "print", "n", "rare", "often", own)
     rows = by_ids(rows, places.where("copy").select(own), "left_anti", "own")
     often = kept(places.where("not copy and rows > 1").select(own))
     again = by_ids(rows, often, "left_semi", "own").dropDuplicates(["own"])
     rows = by_ids(rows, often, "left_anti", "own").unionByName(again).drop("own")
+    alone = by_ids(rows, several, "left_anti").withColumn("node", F.col("doc_id"))
+    rows = alone.unionByName(by_ids(rows, several, "left_semi").withColumn("node", F.col("print")))
     entries = signed.agg(F.sum(F.size("rare"))).first()[0] or 0
     meeting = kept(_meeting(rows, max(64, -(-entries // BLOCK))))
 
@@ -321,8 +376,10 @@ def similar_groups(docs: DataFrame, percent: int = 75, width: int = WIDTH) -> Da
     found = components(_links(pairs, sets, percent))
     rest = _still_apart(meeting, found, sizes, percent)
     rest = kept(rest.join(pairs, ["a", "b"], "left_anti"))
-    unread = kept(_ends(rest).join(sets.select("node"), "node", "left_anti"))
-    sets = sets.unionByName(kept(_sets(docs, unread, classes, width)))
+    ends = kept(_ends(rest))
+    unread = kept(ends.join(sets.select("node"), "node", "left_anti"))
+    read = sets.join(ends, "node", "left_semi")
+    sets = read.unionByName(kept(_sets(docs, unread, classes, width)))
     # what is found joins through its smallest node, and the classes of one id through theirs
     stars = found.select(F.col("node").alias("a"), F.col("component").alias("b"))
     shared = places.groupBy("doc_id").agg(F.min("node").alias("a"), F.max("node").alias("z"))
@@ -332,10 +389,10 @@ def similar_groups(docs: DataFrame, percent: int = 75, width: int = WIDTH) -> Da
     groups = kept(components(links))
 
     # the smallest id of a component
-    inside = classes.join(groups, "node", "left").select("node", "doc", F.coalesce("component", "node").alias("c"))
+    inside = classes.join(groups, "node", "left").select("print", "doc", F.coalesce("component", "node").alias("c"))
     least = inside.groupBy("c").agg(F.min("doc").alias("least"))
-    least = kept(inside.join(least, "c").select("node", "least"))
-    placed = signed.select("doc_id", "n", "node").join(least, "node", "left")
+    least = kept(inside.join(least, "c").select("print", "least"))
+    placed = signed.select("doc_id", "n", "print").join(least, "print", "left")
     own = F.when(F.col("n") > 0, F.col("least")).otherwise(F.col("doc_id"))
     own = F.when(F.col("doc_id").isNotNull(), own)
     return placed.select("doc_id", F.col("n").alias("n_shingles"), own.alias("component_id"))
