@@ -777,4 +777,39 @@ def oracle() -> dict[str, str]:
             ),
             "reports",
         ),
+        "profile_from_days": s(
+            " union all ".join(
+                f"select '{c}' as column_name, '{kind}' as dtype, count(*) as total_rows,"
+                f" count(*) filter (where {c} is null) as null_count,"
+                f" round(count(*) filter (where {c} is null) / count(*), 4) as null_rate,"
+                f" min(cast({c} as varchar)) as smallest, max(cast({c} as varchar)) as largest"
+                " from reports"
+                for c, kind in ALL_COLUMNS.items()
+                if c != "source_date"
+            ),
+            "reports",
+        ),
+        "route_metrics_from_days": s("select * from routes", "routes"),
+        "route_periods": s(
+            "select candidate_route_type, cast(date_trunc('month', start_time) as date) as period,"
+            " count(distinct mmsi) as vessel_count, count(*) as voyages,"
+            " cast(sum(point_count) as bigint) as point_count,"
+            f" {mean('duration_hours')} as avg_duration_hours, {mean('avg_sog')} as avg_speed"
+            " from voyages group by 1, 2",
+            "voyages",
+        ),
+        "vessel_types_from_days": s(
+            f"select vessel_type, count(distinct mmsi) as vessel_count,"
+            f" {mean('point_count', 0)} as avg_daily_points, {mean('avg_sog')} as avg_speed"
+            " from enriched group by vessel_type",
+            "enriched",
+        ),
+        "kpi_from_days": s(
+            "select (select count(distinct mmsi) from activity) as unique_vessels,"
+            " (select count(*) from voyages) as voyage_segments, count(*) as daily_records,"
+            " cast(sum(point_count) as bigint) as total_positions,"
+            " count(distinct activity_date) as available_days from activity",
+            "voyages",
+            "activity",
+        ),
     }

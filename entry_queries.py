@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 import bridge
 from wakeline.functions import times
 from wakeline.operators import analytics as an
-from wakeline.operators import clean, gold, quality, sampling, tracks
+from wakeline.operators import clean, gold, quality, sampling, summaries, tracks
 from wakeline.operators import voyages as vy
 from wakeline.plans import daily, metrics
 from wakeline.rules import VoyageRules
@@ -734,3 +734,35 @@ def null_report(spark, sf_dir):
 def profile_columns(spark, sf_dir):
     profile = quality.profile_columns(reports(spark, sf_dir))
     return profile.withColumn("sample_values", F.concat_ws("|", "sample_values"))
+
+
+# --- summaries of days ---------------------------------------------------------
+
+
+@query
+def profile_from_days(spark, sf_dir):
+    """The exact part of a profile merged from days; the estimate beside it has a test."""
+    days = summaries.column_summaries(reports(spark, sf_dir), ["source_date"])
+    return summaries.profile_of(days).drop("unique_estimate")
+
+
+@query
+def route_metrics_from_days(spark, sf_dir):
+    return summaries.route_metrics_of(summaries.route_days(voyages(spark, sf_dir)))
+
+
+@query
+def route_periods(spark, sf_dir):
+    return summaries.route_periods(summaries.route_days(voyages(spark, sf_dir)), "month")
+
+
+@query
+def vessel_types_from_days(spark, sf_dir):
+    return summaries.activity_by_vessel_type_of(summaries.activity_days(enriched(spark, sf_dir)))
+
+
+@query
+def kpi_from_days(spark, sf_dir):
+    return summaries.kpi_of(
+        summaries.activity_days(enriched(spark, sf_dir)), summaries.route_days(voyages(spark, sf_dir))
+    )
