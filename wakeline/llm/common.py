@@ -6,6 +6,7 @@ import os
 import tempfile
 import uuid
 from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
@@ -89,11 +90,29 @@ def scratch(spark: SparkSession) -> str:
     return f"{shared.rstrip('/')}/llm-{uuid.uuid4().hex}"
 
 
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+@contextmanager
+def shuffles_end(spark: SparkSession):
+    """Within, the shuffle files of a query go when it ends, not when the driver collects garbage."""
+    before = spark.conf.get(CLEANUP)
+    spark.conf.set(CLEANUP, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(CLEANUP, before)
+
+
 def kept(frame: DataFrame) -> DataFrame:
-    """The frame written once to the shared folder and read back, so that its lineage ends here."""
+    """The frame written once to the shared folder and read back, so that its lineage ends here.
+
+    Nothing reads its shuffles again, so their files go.
+    """
     spark = frame.sparkSession
     path = scratch(spark)
-    frame.write.parquet(path)
+    with shuffles_end(spark):
+        frame.write.parquet(path)
     return spark.read.schema(frame.schema).parquet(path)
 
 
@@ -107,12 +126,13 @@ def bucketed(frame: DataFrame, buckets: int, column: str) -> DataFrame:
     return frame.sparkSession.table(name)
 
 
-def dropped(frame: DataFrame) -> None:
-    """Take a written frame's files away, once nothing that is still to run reads them."""
-    spark = frame.sparkSession
-    for file in frame.inputFiles():
-        path = spark._jvm.org.apache.hadoop.fs.Path(file)
-        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, False)
+def dropped(*frames: DataFrame) -> None:
+    """Take written frames' files away, once nothing that is still to run reads them."""
+    for frame in frames:
+        spark = frame.sparkSession
+        for file in frame.inputFiles():
+            path = spark._jvm.org.apache.hadoop.fs.Path(file)
+            path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, False)
 
 
 def by_ids(docs: DataFrame, ids: DataFrame, how: str, key: str = "doc_id") -> DataFrame:

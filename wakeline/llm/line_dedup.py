@@ -15,15 +15,17 @@ only where those fail: many versions of a line cost a few pairs each, not the sq
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from wakeline.llm.common import Known, by_ids, kept, tasks_find_package
+from wakeline.llm.common import BROADCAST_IDS, Known, dropped, kept, slices, tasks_find_package
 
 PERCENT = 80
 #: Lines' words in a chunk, the count in a chunk that may make a word frequent, the count over all
@@ -31,8 +33,12 @@ PERCENT = 80
 CHUNK, LOCAL, FREQUENT, FREQUENT_LIMIT = 1 << 19, 8, 256, (1 << 16) - 2
 RANK_SHIFT = 48
 BLOCK = 1 << 19
-#: Words of lines worked on at a time, and words and texts that a task remembers or holds.
-LINES, WORDS, ROWS = 1 << 17, 150_000, 500
+#: Blocks' worth of entries from which on they are worked off in rounds, so that only a round's
+#: are shuffled at a time, and the rounds.
+MANY, ROUNDS = 16, 4
+#: Words of lines worked on at a time, bytes of text that have about one, and words and classes
+#: that a task remembers.
+LINES, LETTERS, WORDS = 1 << 17, 8, 150_000
 ENTRY = np.dtype(
     [
         ("key", "<u4"),
@@ -71,53 +77,55 @@ class Codes:
         return self.known.numbers(words, WORDS)
 
 
-def _slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Few rows at a time, so that few texts stand in a task's memory as objects."""
-    for batch in batches:
-        for at in range(0, batch.num_rows, ROWS):
-            yield batch.slice(at, ROWS)
-
-
-def _chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[list, list, list, list]]:
-    """Words of many lines: document, line number, number of words, and the words in one list."""
-    docs, numbers, sizes, words = [], [], [], []
-    for batch in _slices(batches):
-        texts = batch.column(1).cast(pa.binary()).to_pylist()
-        for doc_id, text in zip(batch.column(0).to_pylist(), texts):
-            for number, line in enumerate(text.lower().split(b"\n")):
-                own = line.split()
-                if own:
-                    docs.append(doc_id)
-                    numbers.append(number)
-                    sizes.append(len(own))
-                    words += own
-            if len(words) >= min(CHUNK, LINES):
-                yield docs, numbers, sizes, words
-                docs, numbers, sizes, words = [], [], [], []
-    if words:
-        yield docs, numbers, sizes, words
+def _split(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
+    """Words of all texts in one array, A-Z in lower case, and how many of them every text has."""
+    words = pc.ascii_split_whitespace(pc.ascii_lower(texts))
+    sizes = pc.list_value_length(words).to_numpy(zero_copy_only=False)
+    flat = words.flatten()
+    # white space at the ends leaves empty ones
+    some = pc.greater(pc.binary_length(flat), 0)
+    if some.false_count:
+        owner = np.repeat(np.arange(len(sizes)), sizes)[some.to_numpy(zero_copy_only=False)]
+        flat, sizes = flat.filter(some), np.bincount(owner, minlength=len(sizes))
+    return flat, sizes
+
+
+def _chunks(
+    batches: Iterator[pa.RecordBatch],
+) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, pa.Array]]:
+    """Words of many lines: document, line number, number of words, and the words in one array."""
+    for batch in slices(batches, 1, min(CHUNK, LINES) * LETTERS):
+        lines = pc.split_pattern(batch.column(1), "\n")
+        count = pc.list_value_length(lines).to_numpy(zero_copy_only=False)
+        number = np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count)
+        words, sizes = _split(lines.flatten())
+        some = sizes > 0
+        if some.any():
+            doc = np.repeat(batch.column(0).to_numpy(zero_copy_only=False), count)
+            yield doc[some], number[some], sizes[some], words
 
 
 def frequent_words(docs: DataFrame) -> dict[int, int]:
     """Ranks of frequent words' hashes, the rarest first; only the order of words rests on it."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def standing_out(parts: list[np.ndarray]) -> pa.RecordBatch:
-            found, n = np.unique(np.concatenate(parts), return_counts=True)
-            often = n >= LOCAL
+        codes = Codes()
+
+        def standing_out(parts: list[pa.Array]) -> pa.RecordBatch:
+            counts = pa.chunked_array(parts, pa.string()).value_counts()
+            counts = counts.filter(pc.greater_equal(counts.field("counts"), LOCAL))
+            words = codes(counts.field("values").cast(pa.binary()).to_pylist())
             return pa.RecordBatch.from_arrays(
-                [pa.array(found[often].view(np.int64)), pa.array(n[often].astype(np.int64))],
-                names=["word", "n"],
+                [pa.array(words.view(np.int64)), counts.field("counts")], names=["word", "n"]
             )
 
-        codes, parts, size = Codes(), [], 0
-        for batch in _slices(batches):
-            for text in batch.column(1).cast(pa.binary()).to_pylist():
-                parts.append(codes(text.lower().split()))
-                size += len(parts[-1])
-                if size >= CHUNK:
-                    yield standing_out(parts)
-                    parts, size = [], 0
+        parts, size = [], 0
+        for batch in slices(batches, 1, CHUNK * LETTERS):
+            parts.append(_split(batch.column(1))[0])
+            size += len(parts[-1])
+            if size >= CHUNK:
+                yield standing_out(parts)
+                parts, size = [], 0
         if parts:
             yield standing_out(parts)
 
@@ -131,21 +139,21 @@ def frequent_words(docs: DataFrame) -> dict[int, int]:
     return {int(h): rank for rank, h in enumerate(hashes, 1)}
 
 
-def _line_sets(codes: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def _line_sets(
+    words: pa.Array, sizes: np.ndarray, coder: Codes
+) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Distinct codes of every line in order, their lines, and where each line begins."""
-    line = np.repeat(np.arange(len(sizes)), sizes)
-    # one sort of the line and the upper bits of the code, unless that is not enough to tell
-    lead = np.uint64(max(len(sizes), 1).bit_length())
-    both = line.astype(np.uint64) << np.uint64(64) - lead | codes >> lead
-    order = np.argsort(both)
-    both, sorted_codes = both[order], codes[order]
-    if ((both[1:] == both[:-1]) & (sorted_codes[1:] != sorted_codes[:-1])).any():
-        order = np.lexsort((codes, line))
-        sorted_codes = codes[order]
-    codes, line = sorted_codes, line[order]
-    new = np.ones(len(codes), dtype=bool)
-    new[1:] = (codes[1:] != codes[:-1]) | (line[1:] != line[:-1])
-    codes, line = codes[new], line[new]
+    words = words.dictionary_encode()
+    codes, place = np.unique(
+        coder(words.dictionary.cast(pa.binary()).to_pylist()), return_inverse=True
+    )
+    # line and place in one number, so that a plain sort does
+    both = np.repeat(np.arange(len(sizes), dtype=np.uint64) << np.uint64(32), sizes)
+    both |= place.astype(np.uint64)[words.indices.to_numpy()]
+    both.sort()
+    both = both[np.insert(both[1:] != both[:-1], 0, True)]
+    line = (both >> np.uint64(32)).astype(np.int64)
+    codes = codes[both & np.uint64(0xFFFFFFFF)]
     return codes, line, np.searchsorted(line, np.arange(len(sizes)))
 
 
@@ -154,12 +162,13 @@ def _entries(codes, line, begin, n, node, doc, percent: int) -> tuple[np.ndarray
     lead = n - (percent * n + 99) // 100 + 1
     at = np.arange(len(codes)) - begin[line]
     often = codes >> np.uint64(RANK_SHIFT) > 0
-    # a bitmap of 128 bits, in two halves
+    # whether an odd number of words falls on each of 128 bits, in two halves: two sets differ in
+    # no fewer words than bits, and sets of many words fill a bitmap no more than half
     place = mixed(codes)
     bit = np.left_shift(np.uint64(1), place & np.uint64(63))
     half = place & np.uint64(64) > 0
     halves = [np.where(half, np.uint64(0), bit), np.where(half, bit, np.uint64(0))]
-    bits = np.column_stack([np.bitwise_or.reduceat(h, begin) for h in halves])
+    bits = np.column_stack([np.bitwise_xor.reduceat(h, begin) for h in halves])
     # a set of few words is similar to none but its own class, which needs no candidates
     wide = (100 * n >= percent * (n + 1))[line]
     # one that may share a single word has no two of them for a key
@@ -197,8 +206,8 @@ def _read_lines(docs: DataFrame, percent: int, blocks: int, least_words: int) ->
             [("block", pa.int32()), ("node", pa.int64()), ("n", pa.int32()),
              ("doc_id", pa.int64()), ("line", pa.int32()), ("entries", pa.binary())]
         )
-        for ids, numbers, sizes, words in _chunks(batches):
-            codes, line, begin = _line_sets(coder(words), np.array(sizes))
+        for doc, numbers, sizes, words in _chunks(batches):
+            codes, line, begin = _line_sets(words, sizes, coder)
             n = np.diff(np.append(begin, len(codes)))
             node = np.add.reduceat(mixed(codes), begin)
             wide = n >= least_words
@@ -206,14 +215,13 @@ def _read_lines(docs: DataFrame, percent: int, blocks: int, least_words: int) ->
                 pa.nulls(int(wide.sum()), pa.int32()),
                 pa.array(node[wide].view(np.int64)),
                 pa.array(n[wide].astype(np.int32)),
-                pa.array(np.array(ids, dtype=np.int64)[wide]),
-                pa.array(np.array(numbers, dtype=np.int32)[wide]),
+                pa.array(doc[wide].astype(np.int64)),
+                pa.array(numbers[wide].astype(np.int32)),
                 pa.nulls(int(wide.sum()), pa.binary()),
             ]
             yield pa.RecordBatch.from_arrays(columns, schema=schema)
             # copies of a line within a task need no second entry, unless they stand earlier: the
             # least document of all entries of a class is that of its first line
-            doc = np.array(ids, dtype=np.int64)
             order = np.lexsort((doc, node))
             head = np.insert(node[order][1:] != node[order][:-1], 0, True)
             fresh = np.zeros(len(n), dtype=bool)
@@ -255,13 +263,26 @@ def _read_lines(docs: DataFrame, percent: int, blocks: int, least_words: int) ->
 
 def _close(entries: np.ndarray, percent: int) -> tuple[np.ndarray, Iterator]:
     """Sorted entries, and positions of pairs that sizes, places and bitmaps leave possible."""
-    e = entries[np.lexsort([entries[c] for c in ("doc", "node", "n", "key")])]
-    again = (e["key"][1:] == e["key"][:-1]) & (e["node"][1:] == e["node"][:-1])
-    e = e[np.insert(~again, 0, True)] if len(e) else e
+    key, node, doc = (np.ascontiguousarray(entries[c]) for c in ("key", "node", "doc"))
+    n = entries["n"].astype(np.uint64)
+    lead = key.astype(np.uint64) << np.uint64(32) | n << np.uint64(16) | node & np.uint64(0xFFFF)
+    order = np.argsort(lead)
+    lead = lead[order]
+    # what one number does not tell apart goes by all of node and document
+    same = lead[1:] == lead[:-1]
+    tied = np.flatnonzero(np.append(same, False) | np.insert(same, 0, False)) if len(lead) else []
+    if len(tied):
+        own = order[tied]
+        order[tied] = own[np.lexsort((doc[own], node[own], lead[tied]))]
+    key, node = key[order], node[order]
+    again = (key[1:] == key[:-1]) & (node[1:] == node[:-1])
+    order = order[np.insert(~again, 0, True)] if len(order) else order
+    e = entries[order]
 
     def pairs() -> Iterator[tuple[np.ndarray, np.ndarray]]:
-        key, n = e["key"], e["n"].astype(np.int64)
-        after, bits = np.where(n == MOST_N, 1 << 40, n - e["at"] - 1), e["bits"]
+        key, n = e["key"].copy(), e["n"].astype(np.int64)
+        after = np.where(n == MOST_N, 1 << 40, n - e["at"] - 1)
+        low, high = e["bits"][:, 0].copy(), e["bits"][:, 1].copy()
         active, step = np.arange(len(e)), 1
         while len(active):
             active = active[active + step < len(e)]
@@ -271,8 +292,10 @@ def _close(entries: np.ndarray, percent: int) -> tuple[np.ndarray, Iterator]:
             y = y[near]
             need = (percent * (n[x] + n[y]) + 99 + percent) // (100 + percent)
             fits = 1 + np.minimum(after[x], after[y]) >= need
-            apart = np.bitwise_count(bits[x] ^ bits[y]).sum(axis=1)
-            fits &= apart <= n[x] + n[y] - 2 * need
+            x, y, need = x[fits], y[fits], need[fits]
+            apart = np.bitwise_count(low[x] ^ low[y]).astype(np.int64)
+            apart += np.bitwise_count(high[x] ^ high[y])
+            fits = apart <= n[x] + n[y] - 2 * need
             yield x[fits], y[fits]
             step += 1
 
@@ -281,6 +304,8 @@ def _close(entries: np.ndarray, percent: int) -> tuple[np.ndarray, Iterator]:
 
 def close_pairs(entries: np.ndarray, percent: int, among: np.ndarray | None = None) -> np.ndarray:
     """Distinct possible pairs of nodes under one key, at least one of them ``among`` some."""
+    if among is not None:  # keys that none of them has bring no pair
+        entries = entries[np.isin(entries["key"], entries["key"][np.isin(entries["node"], among)])]
     e, pairs = _close(entries, percent)
     wanted = np.ones(len(e), dtype=bool) if among is None else np.isin(e["node"], among)
     found = [np.empty((0, 2), dtype=np.uint64)]
@@ -360,9 +385,12 @@ def _word_sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
 
     places = wanted.groupBy("doc_id").agg(F.collect_list(F.struct("line", "node")).alias("places"))
     places = kept(places)
-    chosen = by_ids(docs, places.select("doc_id"), "left_semi")
-    found = chosen.join(places, "doc_id").select("text", "places")
-    return found.mapInPandas(run, "node long, words binary")
+    # few places are broadcast, which spares the texts a shuffle
+    few = (places.agg(F.sum(F.size("places"))).first()[0] or 0) <= BROADCAST_IDS
+    found = docs.join(F.broadcast(places) if few else places, "doc_id").select("text", "places")
+    sets = kept(found.mapInPandas(run, "node long, words binary").dropDuplicates(["node"]))
+    dropped(places)
+    return sets
 
 
 def _similar(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -396,7 +424,8 @@ def later_lines(docs: DataFrame, percent: int = PERCENT, least_words: int = 1) -
     docs = docs.select("doc_id", "text").where("doc_id is not null and text is not null")
     chars = docs.agg(F.sum(F.length("text"))).first()[0] or 0
     # about one key for every 30 characters
-    blocks = max(64, chars // 30 // BLOCK)
+    full = chars // 30 // BLOCK
+    blocks, rounds = max(64, full), ROUNDS if full >= MANY else 1
     read = kept(_read_lines(docs, percent, blocks, least_words))
     lines = read.where("block is null").select("node", "n", "doc_id", "line")
     place = F.struct("doc_id", "line")
@@ -407,28 +436,47 @@ def later_lines(docs: DataFrame, percent: int = PERCENT, least_words: int = 1) -
         """``node``: those of the pairs that are similar to an earlier one."""
         ends = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
         wanted = classes.join(ends, "node").select("node", "first.*")
-        sets = kept(_word_sets(docs, wanted).dropDuplicates(["node"]))
+        sets = _word_sets(docs, wanted)
         similar = _similar(pairs, sets, percent)
         one = classes.select(F.col("node").alias("a"), F.col("first").alias("first_a"))
         two = classes.select(F.col("node").alias("b"), F.col("first").alias("first_b"))
         ordered = similar.join(one, "a").join(two, "b")
         later = F.when(F.col("first_a") < F.col("first_b"), F.col("b")).otherwise(F.col("a"))
-        return kept(ordered.select(later.alias("node")).distinct())
+        nodes = kept(ordered.select(later.alias("node")).distinct())
+        dropped(sets)
+        return nodes
+
+    def parts(column: str) -> list[Column]:
+        """The blocks of each round."""
+        return [F.pmod(F.col(column), F.lit(rounds)) == r for r in range(rounds)]
+
+    def together(frames: list[DataFrame]) -> DataFrame:
+        return reduce(DataFrame.unionByName, frames)
 
     # a line needs one earlier match: the earliest candidates first, others where those fail
-    first = kept(_first_candidates(packed, percent))
+    first = [kept(_first_candidates(packed.where(own), percent)) for own in parts("block")]
+    first = together(first)
     ends = F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")
     pairs = kept(first.select(*ends).distinct())
     known = late(pairs)
     still = first.where("more").join(known, F.col("a") == F.col("node"), "left_anti")
     still = kept(still.select("block", "a").distinct())
     if not still.isEmpty():
-        rest = _other_candidates(packed, still, percent).join(pairs, ["a", "b"], "left_anti")
-        known = known.unionByName(late(kept(rest))).distinct()
+        rest = [
+            kept(_other_candidates(packed.where(own), still.where(own), percent))
+            for own in parts("block")
+        ]
+        others = together(rest).distinct().join(pairs, ["a", "b"], "left_anti")
+        others = kept(others)
+        dropped(*rest)
+        known = known.unionByName(late(others)).distinct()
+        dropped(others)
     late_nodes = known.withColumn("late", F.lit(True))
     marked = classes.join(late_nodes, "node", "left")
     gone = lines.join(marked, "node").where(F.col("late") | (place != F.col("first")))
-    return gone.groupBy("doc_id").agg(F.sort_array(F.collect_set("line")).alias("removed"))
+    out = kept(gone.groupBy("doc_id").agg(F.sort_array(F.collect_set("line")).alias("removed")))
+    dropped(read, classes, first, pairs, still)
+    return out
 
 
 def without_later_lines(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
