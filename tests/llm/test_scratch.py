@@ -1,4 +1,4 @@
-"""What kept frames and line dedup leave on disk, and which lines become candidates."""
+"""What kept frames and the joins leave on disk, and which lines become candidates."""
 
 from __future__ import annotations
 
@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from tests.llm.frames import documents
 from tests.llm.test_line_dedup import got, removed
-from wakeline.llm import common, line_dedup
+from wakeline.llm import common, line_dedup, ngram_join
 
 
 def shuffle_files(spark):
@@ -80,3 +80,12 @@ def test_rounds_find_the_same_lines(spark, monkeypatch):
     docs = documents(spark, [(i, t, "en", "a") for i, t in texts.items()])
     monkeypatch.setattr(line_dedup, "MANY", 0)
     assert got(line_dedup.later_lines(docs)) == removed(texts)
+
+
+def test_ngram_join_leaves_no_columns_or_sets(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(common, "scratch", lambda _: f"file://{tmp_path}/{uuid.uuid4().hex}")
+    rows = [(i, " ".join(f"w{i % 5}x{j + i % 2}" for j in range(60)), "en", "a") for i in range(40)]
+    out = ngram_join.similar_groups(documents(spark, rows))
+    left = left_columns(tmp_path)
+    assert not left & {"rare", "often", "shingles", "set", "stands", "old", "c", "d"}
+    assert {r["component_id"] for r in out.collect()} == set(range(5))

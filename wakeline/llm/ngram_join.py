@@ -24,7 +24,16 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from wakeline.llm.common import BLANKS, Known, by_ids, kept, slices, tasks_find_package, text_of
+from wakeline.llm.common import (
+    BLANKS,
+    Known,
+    by_ids,
+    dropped,
+    kept,
+    slices,
+    tasks_find_package,
+    text_of,
+)
 from wakeline.llm.components import components
 
 WIDTH = 5
@@ -208,7 +217,7 @@ def _sets(docs: DataFrame, nodes: DataFrame, classes: DataFrame, width: int) ->
     found = chosen.select("text").mapInArrow(run, "first long, second long, n long, set binary")
     # other texts of the same ids go again
     found = found.select(_print(), "set").join(wanted.select("node", "print"), "print")
-    return kept(found.select("node", "set")).dropDuplicates(["node"])
+    return found.select("node", "set").dropDuplicates(["node"])
 
 
 def _ends(pairs: DataFrame) -> DataFrame:
@@ -287,7 +296,7 @@ def _may_link(shared: str, sizes: list[str], percent: int) -> Column:
 def _still_apart(
     meeting: DataFrame, groups: DataFrame, sizes: DataFrame, percent: int
 ) -> DataFrame:
-    """Pairs of rows in different groups; columns within one group take no part.
+    """Pairs of rows in different groups, written; columns within one group take no part.
 
     A group stands in a column once, however many of its rows do, and rows of a group that have
     one size and the same columns are one row. Only of two groups that share columns enough are
@@ -296,14 +305,15 @@ def _still_apart(
     placed = meeting.select("shingle", "node").join(groups, "node", "left")
     placed = placed.select("shingle", "node", F.coalesce("component", "node").alias("c"))
     columns = placed.groupBy("shingle").agg(F.min("c").alias("lo"), F.max("c").alias("hi"))
-    entries = kept(placed.join(columns.where("lo < hi").select("shingle"), "shingle"))
-    alike = entries.groupBy("node", "c").agg(
+    shared = kept(placed.join(columns.where("lo < hi").select("shingle"), "shingle"))
+    alike = shared.groupBy("node", "c").agg(
         F.bit_xor(F.xxhash64("shingle")).alias("columns"), F.count(F.lit(1)).alias("k")
     )
-    alike = kept(alike.join(sizes, "node").select("node", F.xxhash64("c", "n", "columns", "k").alias("p")))
-    alike = alike.join(alike.groupBy("p").agg(F.min("node").alias("stands")), "p").select("node", "stands")
+    prints = kept(alike.join(sizes, "node").select("node", F.xxhash64("c", "n", "columns", "k").alias("p")))
+    alike = prints.join(prints.groupBy("p").agg(F.min("node").alias("stands")), "p").select("node", "stands")
     alike = kept(alike)
-    entries = kept(entries.join(alike.where("node = stands").select("node"), "node", "left_semi"))
+    entries = kept(shared.join(alike.where("node = stands").select("node"), "node", "left_semi"))
+    dropped(shared, prints)
     present = entries.select("shingle", "c").distinct()
     bounds = sizes.join(groups, "node", "left").groupBy(F.coalesce("component", "node").alias("c"))
     bounds = bounds.agg(F.min("n").alias("lo"), F.max("n").alias("hi"))
@@ -318,15 +328,19 @@ def _still_apart(
     shared = met.groupBy("c", "d").agg(F.count(F.lit(1)).alias("shared"))
     shared = shared.join(bounds, "c").join(other, "d")
     near = shared.where(_may_link("shared", ["lo", "hi", "lo_d", "hi_d"], percent)).select("c", "d")
-    met = kept(met.join(kept(near), ["c", "d"]).select("shingle", "c", "d"))
+    near = kept(near)
+    met = kept(met.join(near, ["c", "d"]).select("shingle", "c", "d"))
+    dropped(present, near)
     both = met.unionByName(met.select("shingle", F.col("d").alias("c"), F.col("c").alias("d")))
 
     # rows that share enough with the other group, and where they do
-    facing = kept(entries.join(both, ["shingle", "c"]))
-    enough = facing.groupBy("node", "d").agg(F.count(F.lit(1)).alias("shared"))
+    every = kept(entries.join(both, ["shingle", "c"]))
+    dropped(entries, met)
+    enough = every.groupBy("node", "d").agg(F.count(F.lit(1)).alias("shared"))
     enough = enough.join(sizes, "node").join(other, "d")
     enough = enough.where(_may_link("shared", ["n", "lo_d", "hi_d"], percent)).select("node", "d")
-    facing = kept(facing.join(enough, ["node", "d"]))
+    facing = kept(every.join(enough, ["node", "d"]))
+    dropped(every, bounds)
     left = facing.where("c < d").select("shingle", F.col("node").alias("x"), "c", "d")
     right = facing.where("c > d").select(
         "shingle", F.col("node").alias("y"), F.col("d").alias("c"), F.col("c").alias("d")
@@ -334,7 +348,9 @@ def _still_apart(
     met = left.join(right, ["shingle", "c", "d"]).select(F.col("x").alias("a"), F.col("y").alias("b"))
     found = _possible(met, sizes, percent).toDF("x", "y")
     found = found.join(alike.toDF("a", "x"), "x").join(alike.toDF("b", "y"), "y")
-    return found.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+    found = kept(found.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")))
+    dropped(alike, facing)
+    return found
 
 
 def similar_groups(docs: DataFrame, percent: int = 75, width: int = WIDTH) -> DataFrame:
@@ -347,9 +363,12 @@ def similar_groups(docs: DataFrame, percent: int = 75, width: int = WIDTH) -> Da
     64-bit hashes. An empty table gives none; further columns are ignored.
     """
     tasks_find_package(docs.sparkSession)
-    signed = kept(_signatures(docs, percent, width)).withColumn("print", F.when(F.col("n") > 0, _print()))
+    written = kept(_signatures(docs, percent, width))
+    signed = written.withColumn("print", F.when(F.col("n") > 0, _print()))
+    brief = kept(signed.select("doc_id", "n", "print"))
     full = signed.where("n > 0 and doc_id is not null")
-    classes = full.groupBy("print").agg(F.min("doc_id").alias("doc"), F.first("n").alias("n"))
+    known = brief.where("n > 0 and doc_id is not null")
+    classes = known.groupBy("print").agg(F.min("doc_id").alias("doc"), F.first("n").alias("n"))
     # a class goes by its smallest doc_id; classes of one id, if it has several texts, by their prints
     classes = kept(classes.withColumn("several", F.count(F.lit(1)).over(Window.partitionBy("doc")) > 1))
     several = kept(classes.where("several").select("doc").distinct())
@@ -358,7 +377,7 @@ def similar_groups(docs: DataFrame, percent: int = 75, width: int = WIDTH) -> Da
     sizes = classes.select("node", "n")
     # the row of the smallest doc_id stands for its class, once
     own = F.xxhash64("doc_id", "print").alias("own")
-    places = full.groupBy("doc_id", "print").agg(F.count(F.lit(1)).alias("rows")).join(classes, "print")
+    places = known.groupBy("doc_id", "print").agg(F.count(F.lit(1)).alias("rows")).join(classes, "print")
     copy = (F.col("doc_id") > F.col("doc")).alias("copy")
     places = kept(places.select("doc_id", "print", "node", "rows", copy))
     rows = full.select("doc_id", "print", "n", "rare", "often", own)
@@ -370,29 +389,34 @@ def similar_groups(docs: DataFrame, percent: int = 75, width: int = WIDTH) -> Da
     rows = alone.unionByName(by_ids(rows, several, "left_semi").withColumn("node", F.col("print")))
     entries = signed.agg(F.sum(F.size("rare"))).first()[0] or 0
     meeting = kept(_meeting(rows, max(64, -(-entries // BLOCK))))
+    dropped(written, often)
 
     pairs = kept(_near_pairs(meeting, sizes, percent))
     sets = kept(_sets(docs, _ends(pairs), classes, width))
     found = components(_links(pairs, sets, percent))
-    rest = _still_apart(meeting, found, sizes, percent)
-    rest = kept(rest.join(pairs, ["a", "b"], "left_anti"))
+    apart = _still_apart(meeting, found, sizes, percent)
+    dropped(meeting)
+    rest = kept(apart.join(pairs, ["a", "b"], "left_anti"))
+    dropped(apart, pairs)
     ends = kept(_ends(rest))
     unread = kept(ends.join(sets.select("node"), "node", "left_anti"))
     read = sets.join(ends, "node", "left_semi")
-    sets = read.unionByName(kept(_sets(docs, unread, classes, width)))
+    new = kept(_sets(docs, unread, classes, width))
     # what is found joins through its smallest node, and the classes of one id through theirs
     stars = found.select(F.col("node").alias("a"), F.col("component").alias("b"))
     shared = places.groupBy("doc_id").agg(F.min("node").alias("a"), F.max("node").alias("z"))
     shared = places.join(shared.where("a < z").select("doc_id", "a"), "doc_id")
     shared = shared.select("a", F.col("node").alias("b"))
-    links = stars.unionByName(_links(rest, sets, percent)).unionByName(shared)
-    groups = kept(components(links))
+    links = stars.unionByName(_links(rest, read.unionByName(new), percent)).unionByName(shared)
+    groups = components(links)
+    dropped(sets, new, rest, ends, unread, places)
 
     # the smallest id of a component
     inside = classes.join(groups, "node", "left").select("print", "doc", F.coalesce("component", "node").alias("c"))
     least = inside.groupBy("c").agg(F.min("doc").alias("least"))
     least = kept(inside.join(least, "c").select("print", "least"))
-    placed = signed.select("doc_id", "n", "print").join(least, "print", "left")
+    dropped(classes)
+    placed = brief.join(least, "print", "left")
     own = F.when(F.col("n") > 0, F.col("least")).otherwise(F.col("doc_id"))
     own = F.when(F.col("doc_id").isNotNull(), own)
     return placed.select("doc_id", F.col("n").alias("n_shingles"), own.alias("component_id"))
