@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from wakeline.llm.common import kept, text_of, uniform, word_count
+from wakeline.llm.common import dropped, kept, text_of, uniform, word_count
 
 CHUNK = 128
 #: A fraction this near to 0 or 1 counts as whole.
@@ -130,7 +130,11 @@ def copies_of(docs: DataFrame, most: int = 3) -> DataFrame:
     ``occurrence`` counts equal ``(doc_id, source, size)`` rows from 1. See ``mix``.
     """
     size = word_count(text_of("text"))
-    per = docs.select("doc_id", "source", size.alias("size")).groupBy("doc_id", "source", "size")
+    return _copies(docs.select("doc_id", "source", size.alias("size")), most)
+
+
+def _copies(sizes: DataFrame, most: int) -> DataFrame:
+    per = sizes.groupBy("doc_id", "source", "size")
     rows = kept(per.agg(F.count(F.lit(1)).alias("rows")))
     total = rows.select("source", (F.col("size") * F.col("rows")).alias("size"))
     targets = source_targets(total, most)
@@ -187,25 +191,30 @@ def mix(docs: DataFrame, most: int = 3) -> DataFrame:
 
 
 def mixed_documents(docs: DataFrame, most: int = 3) -> DataFrame:
-    """The documents themselves, each as often as the mix takes it, with all their columns."""
-    size = word_count(text_of("text"))
-    keys = ["doc_id", "source", "size"]
-    named = docs.select(F.struct("*").alias("row"), "doc_id", "source", size.alias("size"))
-    numbered = named.withColumn(
-        "occurrence", F.row_number().over(Window.partitionBy(*keys).orderBy(F.xxhash64("row.text")))
-    )
-    copies = copies_of(docs, most).where("copies > 0").select(
-        F.col("doc_id").alias("d"),
-        F.col("source").alias("s"),
-        F.col("size").alias("n"),
-        F.col("occurrence").alias("o"),
-        "copies",
-    )
-    same = (
-        F.col("doc_id").eqNullSafe(F.col("d"))
-        & F.col("source").eqNullSafe(F.col("s"))
-        & (F.col("size") == F.col("n"))
-        & (F.col("occurrence") == F.col("o"))
+    """The documents themselves, each as often as the mix takes it, with all their columns.
+
+    Occurrences are given out among hashes of texts first. Rows of one key and text share what
+    falls to them, so a text is only shuffled once, to the shares of its hash.
+    """
+    size, text = word_count(text_of("text")), F.xxhash64("text").alias("hash")
+    key = F.struct("doc_id", "source").alias("key")
+    light = kept(docs.select("doc_id", "source", size.alias("size"), text))
+    same = Window.partitionBy("doc_id", "source", "size").orderBy("hash")
+    numbered = light.withColumn("occurrence", F.row_number().over(same))
+    names = ["doc_id", "source", "size", "occurrence"]
+    copies = _copies(light.select(*names[:3]), most).select(
+        F.struct(*names).alias("place"), "copies"
     )
-    each = F.explode(F.sequence(F.lit(1), F.col("copies")))
-    return numbered.join(copies, same).select("row", each.alias("copy")).select("row.*")
+    numbered = numbered.select(key, "hash", F.struct(*names).alias("place"))
+    shares = numbered.join(copies, "place").groupBy("key", "hash")
+    shares = shares.agg(F.count(F.lit(1)).alias("rows"), F.sum("copies").alias("copies"))
+    shares = kept(shares.where("copies > 0"))
+    dropped(light)
+
+    whole, over = F.expr("copies div rows"), F.expr("copies % rows")
+    named = docs.select(F.struct("*").alias("row"), key, text)
+    among = F.row_number().over(Window.partitionBy("key", "hash").orderBy(F.lit(0)))
+    dealt = named.withColumn("at", among).join(shares, ["key", "hash"])
+    times = (whole + F.when(F.col("at") <= over, 1).otherwise(0)).alias("times")
+    each = F.explode(F.sequence(F.lit(1), "times")).alias("copy")
+    return dealt.select("row", times).where("times > 0").select("row", each).select("row.*")
