@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import os
 import tempfile
 import uuid
@@ -90,18 +91,33 @@ def scratch(spark: SparkSession) -> str:
     return f"{shared.rstrip('/')}/llm-{uuid.uuid4().hex}"
 
 
+def memory_returned() -> None:
+    """Give back what a task has freed: its Python worker stays, and counts, while others run."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # the C library may have none
+    if trim is not None:
+        trim(0)
+
+
 CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+#: Bytes that go to a Python worker at a time: held by Spark and by the worker, twice while copied.
+BATCH, BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch", 4 << 20
 
 
 @contextmanager
-def shuffles_end(spark: SparkSession):
-    """Within, the shuffle files of a query go when it ends, not when the driver collects garbage."""
-    before = spark.conf.get(CLEANUP)
+def frugal(spark: SparkSession):
+    """Within, the shuffle files of a query go when it ends, not when the driver collects garbage.
+
+    Python workers get texts in small batches.
+    """
+    before = {name: spark.conf.get(name) for name in (CLEANUP, BATCH)}
     spark.conf.set(CLEANUP, "true")
+    spark.conf.set(BATCH, str(BATCH_BYTES))
     try:
         yield
     finally:
-        spark.conf.set(CLEANUP, before)
+        for name, value in before.items():
+            spark.conf.set(name, value)
 
 
 def kept(frame: DataFrame) -> DataFrame:
@@ -111,7 +127,7 @@ def kept(frame: DataFrame) -> DataFrame:
     """
     spark = frame.sparkSession
     path = scratch(spark)
-    with shuffles_end(spark):
+    with frugal(spark):
         frame.write.parquet(path)
     return spark.read.schema(frame.schema).parquet(path)
 

@@ -17,7 +17,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from wakeline.llm.common import tasks_find_package, text_of
+from wakeline.llm.common import frugal, memory_returned, tasks_find_package, text_of
 
 UNKNOWN = "und"
 #: Hashed trigrams; the model has a count for each and language.
@@ -110,6 +110,7 @@ def gram_counts(docs: DataFrame) -> DataFrame:
         for lang, own in sums.items():
             found = np.flatnonzero(own)
             yield pd.DataFrame({"lang": lang, "gram": found, "n": own[found]})
+        memory_returned()
 
     each = docs.mapInPandas(run, "lang string, gram long, n long")
     return each.groupBy("lang", "gram").agg(F.sum("n").alias("n"))
@@ -118,7 +119,8 @@ def gram_counts(docs: DataFrame) -> DataFrame:
 def fit(docs: DataFrame) -> Model | None:
     """The model of all learnable documents; none if no language is known."""
     known = docs.where(may_learn(F.col("doc_id")) & F.col("lang").isNotNull())
-    counts = gram_counts(known.select("lang", text_of("text").alias("text"))).toPandas()
+    with frugal(docs.sparkSession):
+        counts = gram_counts(known.select("lang", text_of("text").alias("text"))).toPandas()
     languages = sorted(counts["lang"].unique())
     if not languages:
         return None
@@ -168,6 +170,7 @@ def identify(docs: DataFrame) -> DataFrame:
                 out.iloc[known, 3] = score
                 out.iloc[known, 4] = score < AMBIGUOUS
             yield out.astype({"doc_id": "Int64"})
+        memory_returned()
 
     schema = "doc_id long, held_out boolean, lang_pred string, score double, ambiguous boolean"
     return rows.mapInPandas(run, schema)

@@ -30,6 +30,7 @@ from wakeline.llm.common import (
     by_ids,
     dropped,
     kept,
+    memory_returned,
     slices,
     tasks_find_package,
     text_of,
@@ -95,6 +96,9 @@ def frequent_shingles(docs: DataFrame, width: int) -> np.ndarray:
                     parts, size = [], 0
         if parts:
             yield standing_out(parts)
+        parts.clear()
+        shingles.known.clear()
+        memory_returned()
 
     each = docs.select("text").mapInArrow(run, "shingle long, n long")
     counts = kept(each.groupBy("shingle").agg(F.sum("n").alias("n")).where(F.col("n") >= FREQUENT))
@@ -136,6 +140,8 @@ def _signatures(docs: DataFrame, percent: int, width: int) -> DataFrame:
             arrays += [pa.array(leading, longs), pa.array(common, longs)]
             names = ["doc_id", "n", "first", "second", "rare", "often"]
             yield pa.RecordBatch.from_arrays([batch.column(0), *arrays], names=names)
+        shingles.known.clear()
+        memory_returned()
 
     schema = "doc_id long, n long, first long, second long, rare array<long>, often array<long>"
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, schema)
@@ -174,6 +180,7 @@ def _meeting(rows: DataFrame, blocks: int) -> DataFrame:
                 ],
                 names=["block", "node", "shingles"],
             )
+        memory_returned()
 
     def meet(frame: pd.DataFrame) -> pd.DataFrame:
         lengths = frame["shingles"].str.len().to_numpy()
@@ -184,6 +191,7 @@ def _meeting(rows: DataFrame, blocks: int) -> DataFrame:
         same = flat[1:] == flat[:-1]
         shared = np.append(same, False) | np.insert(same, 0, False)
         owner = owner[shared]
+        pa.default_memory_pool().release_unused()
         return pd.DataFrame(
             {
                 "shingle": flat[shared],
@@ -211,6 +219,8 @@ def _sets(docs: DataFrame, nodes: DataFrame, classes: DataFrame, width: int) ->
             arrays = [pa.array(first), pa.array(second), pa.array([len(s) for s in sets], pa.int64())]
             arrays.append(pa.array([s.tobytes() for s in sets], pa.binary()))
             yield pa.RecordBatch.from_arrays(arrays, names=["first", "second", "n", "set"])
+        shingles.known.clear()
+        memory_returned()
 
     wanted = kept(classes.join(nodes, "node").select("doc", "node", "print"))
     chosen = by_ids(docs.select("doc_id", "text"), wanted.select("doc").distinct(), "left_semi")
@@ -236,6 +246,7 @@ def _links(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
                 good.append(100 * overlap >= percent * (len(x) + len(y) - overlap))
             chosen = batch.select(["a", "b"]).filter(pa.array(good, pa.bool_()))
             yield chosen
+        memory_returned()
 
     one = sets.select(F.col("node").alias("a"), F.col("set").alias("left"))
     two = sets.select(F.col("node").alias("b"), F.col("set").alias("right"))
