@@ -8,8 +8,9 @@ one word more. So rare words are keys by themselves and frequent ones in twos, w
 lists of lines under a key short. Keys are dealt to blocks by hash, as packed arrays; within a
 block, lengths, positions and small bitmaps discard pairs, and word sets verify the rest. A line
 goes if a similar one stands before it, in the order of ``doc_id`` and line number. One such match
-is enough, so each line is verified against its earliest candidates first, and against all others
-only where those fail: many versions of a line cost a few pairs each, not the square.
+is enough, so each line is verified against the earlier candidates whose bitmaps are nearest first,
+and against all other earlier ones only where those fail: many versions of a line cost a few pairs
+each, not the square.
 """
 
 from __future__ import annotations
@@ -21,11 +22,18 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
-import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from wakeline.llm.common import BROADCAST_IDS, Known, dropped, kept, slices, tasks_find_package
+from wakeline.llm.common import (
+    BROADCAST_IDS,
+    dropped,
+    kept,
+    memory_returned,
+    slices,
+    tasks_find_package,
+    text_of,
+)
 
 PERCENT = 80
 #: Lines' words in a chunk, the count in a chunk that may make a word frequent, the count over all
@@ -36,8 +44,8 @@ BLOCK = 1 << 19
 #: Blocks' worth of entries from which on they are worked off in rounds, so that only a round's
 #: are shuffled at a time, and the rounds.
 MANY, ROUNDS = 16, 4
-#: Words of lines worked on at a time, bytes of text that have about one, and words and classes
-#: that a task remembers.
+#: Words of lines worked on at a time, bytes of text that have about one, and classes that a task
+#: remembers.
 LINES, LETTERS, WORDS = 1 << 17, 8, 150_000
 ENTRY = np.dtype(
     [
@@ -61,20 +69,42 @@ def mixed(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(32))
 
 
+def hashes(words: pa.Array) -> np.ndarray:
+    """64-bit hashes of words, eight bytes of all words at a time."""
+    ends = np.frombuffer(words.buffers()[1], np.int32)[words.offset : words.offset + len(words) + 1]
+    ends = ends.astype(np.int64)
+    if not len(words) or ends[0] == ends[-1]:
+        return mixed(np.zeros(len(words), dtype=np.uint64))
+    text = np.frombuffer(words.buffers()[2], np.uint8)[ends[0] : ends[-1]]
+    text = np.append(text, np.zeros(8, dtype=np.uint8))
+    start, left = ends[:-1] - ends[0], np.diff(ends)
+    out, own = left.astype(np.uint64) * _MIX, np.arange(len(words))
+    while len(own):
+        eight = text[start[:, None] + np.arange(8)].view("<u8")[:, 0]
+        # what follows a word is no part of it
+        beyond = (np.maximum(8 - left, 0) * 8).astype(np.uint64)
+        out[own] = mixed(out[own] ^ (eight << beyond >> beyond))
+        on = left > 8
+        own, start, left = own[on], start[on] + 8, left[on] - 8
+    return out
+
+
 class Codes:
     """A word's rank among frequent words, 0 for all others, above the lower bits of its hash."""
 
-    def __init__(self, ranks: dict[int, int] | None = None):
-        self.ranks, self.known = ranks, Known(self._code)
+    def __init__(self, frequent: np.ndarray):
+        # frequent hashes in order, and the rank of each
+        self.often = np.sort(frequent)
+        self.ranks = np.argsort(frequent).astype(np.uint64) + np.uint64(1)
 
-    def _code(self, word: bytes) -> int:
-        code = xxhash.xxh64_intdigest(word)
-        if self.ranks is not None:
-            code = self.ranks.get(code, 0) << RANK_SHIFT | code & ((1 << RANK_SHIFT) - 1)
-        return code
-
-    def __call__(self, words: list[bytes]) -> np.ndarray:
-        return self.known.numbers(words, WORDS)
+    def __call__(self, words: pa.Array) -> np.ndarray:
+        found = hashes(words)
+        codes = found & np.uint64((1 << RANK_SHIFT) - 1)
+        if len(self.often):
+            at = np.minimum(np.searchsorted(self.often, found), len(self.often) - 1)
+            hit = self.often[at] == found
+            codes[hit] |= self.ranks[at[hit]] << np.uint64(RANK_SHIFT)
+        return codes
 
 
 def _split(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
@@ -92,35 +122,41 @@ def _split(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
 
 def _chunks(
     batches: Iterator[pa.RecordBatch],
-) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, pa.Array]]:
-    """Words of many lines: document, line number, number of words, and the words in one array."""
+) -> Iterator[tuple[tuple[pa.Array, np.ndarray], tuple[np.ndarray, np.ndarray, np.ndarray, pa.Array] | None]]:
+    """Documents and their numbers of lines, and words of their lines.
+
+    Of every line with a word: document, line number, number of words, and the words in one array.
+    """
     for batch in slices(batches, 1, min(CHUNK, LINES) * LETTERS):
         lines = pc.split_pattern(batch.column(1), "\n")
         count = pc.list_value_length(lines).to_numpy(zero_copy_only=False)
         number = np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count)
         words, sizes = _split(lines.flatten())
         some = sizes > 0
-        if some.any():
-            doc = np.repeat(batch.column(0).to_numpy(zero_copy_only=False), count)
-            yield doc[some], number[some], sizes[some], words
+        doc = np.repeat(batch.column(0).to_numpy(zero_copy_only=False), count)
+        split = (doc[some], number[some], sizes[some], words) if some.any() else None
+        yield (batch.column(0), count), split
+
 
+def frequent_words(docs: DataFrame) -> tuple[np.ndarray, int]:
+    """Frequent words' hashes, the rarest first, and the bytes of all texts.
 
-def frequent_words(docs: DataFrame) -> dict[int, int]:
-    """Ranks of frequent words' hashes, the rarest first; only the order of words rests on it."""
+    Only the order of words and the number of blocks rest on them.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        codes = Codes()
+        def counted(words: pa.Array, n: pa.Array) -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([words, n], names=["word", "n"])
 
         def standing_out(parts: list[pa.Array]) -> pa.RecordBatch:
             counts = pa.chunked_array(parts, pa.string()).value_counts()
             counts = counts.filter(pc.greater_equal(counts.field("counts"), LOCAL))
-            words = codes(counts.field("values").cast(pa.binary()).to_pylist())
-            return pa.RecordBatch.from_arrays(
-                [pa.array(words.view(np.int64)), counts.field("counts")], names=["word", "n"]
-            )
+            words = hashes(counts.field("values"))
+            return counted(pa.array(words.view(np.int64)), counts.field("counts"))
 
-        parts, size = [], 0
+        parts, size, read = [], 0, 0
         for batch in slices(batches, 1, CHUNK * LETTERS):
+            read += pc.sum(pc.binary_length(batch.column(1))).as_py()
             parts.append(_split(batch.column(1))[0])
             size += len(parts[-1])
             if size >= CHUNK:
@@ -128,15 +164,20 @@ def frequent_words(docs: DataFrame) -> dict[int, int]:
                 parts, size = [], 0
         if parts:
             yield standing_out(parts)
+        # the row without a word has the bytes
+        yield counted(pa.nulls(1, pa.int64()), pa.array([read], pa.int64()))
+        parts.clear()
+        memory_returned()
 
     each = docs.mapInArrow(run, "word long, n long")
-    counts = kept(each.groupBy("word").agg(F.sum("n").alias("n")).where(F.col("n") >= FREQUENT))
-    least = FREQUENT
+    often = (F.col("n") >= FREQUENT) | F.col("word").isNull()
+    counts = kept(each.groupBy("word").agg(F.sum("n").alias("n")).where(often))
+    read = counts.where("word is null").agg(F.sum("n")).first()[0] or 0
+    counts, least = counts.where("word is not null"), FREQUENT
     while counts.where(F.col("n") >= least).count() > FREQUENT_LIMIT:
         least *= 2
     rows = counts.where(F.col("n") >= least).toPandas().sort_values(["n", "word"])
-    hashes = rows["word"].to_numpy(dtype=np.int64).view(np.uint64)
-    return {int(h): rank for rank, h in enumerate(hashes, 1)}
+    return rows["word"].to_numpy(dtype=np.int64).view(np.uint64), read
 
 
 def _line_sets(
@@ -144,9 +185,7 @@ def _line_sets(
 ) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Distinct codes of every line in order, their lines, and where each line begins."""
     words = words.dictionary_encode()
-    codes, place = np.unique(
-        coder(words.dictionary.cast(pa.binary()).to_pylist()), return_inverse=True
-    )
+    codes, place = np.unique(coder(words.dictionary), return_inverse=True)
     # line and place in one number, so that a plain sort does
     both = np.repeat(np.arange(len(sizes), dtype=np.uint64) << np.uint64(32), sizes)
     both |= place.astype(np.uint64)[words.indices.to_numpy()]
@@ -196,17 +235,28 @@ def _entries(codes, line, begin, n, node, doc, percent: int) -> tuple[np.ndarray
     return out, (key >> np.uint64(32)).astype(np.uint32)
 
 
-def _read_lines(docs: DataFrame, percent: int, blocks: int, least_words: int) -> DataFrame:
-    """Rows of lines (``node, n, doc_id, line``) and, with ``block`` set, of packed ``entries``."""
-    ranks = frequent_words(docs)
+def _read_lines(
+    docs: DataFrame, frequent: np.ndarray, percent: int, blocks: int, least_words: int
+) -> DataFrame:
+    """Rows of lines (``node, doc_id, line``), of packed ``entries`` with ``block`` set, and of
+    documents without both (``doc_id`` and, as ``line``, their number of lines).
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        coder, seen = Codes(ranks), {}
+        coder, seen = Codes(frequent), {}
         schema = pa.schema(
-            [("block", pa.int32()), ("node", pa.int64()), ("n", pa.int32()),
-             ("doc_id", pa.int64()), ("line", pa.int32()), ("entries", pa.binary())]
+            [("block", pa.int32()), ("node", pa.int64()), ("doc_id", pa.int64()),
+             ("line", pa.int32()), ("entries", pa.binary())]
         )
-        for doc, numbers, sizes, words in _chunks(batches):
+        for (ids, count), split in _chunks(batches):
+            none = pa.nulls(len(ids), pa.int64())
+            columns = [none.cast(pa.int32()), none, ids.cast(pa.int64())]
+            columns.append(pa.array(count.astype(np.int32)))
+            columns.append(pa.nulls(len(ids), pa.binary()))
+            yield pa.RecordBatch.from_arrays(columns, schema=schema)
+            if split is None:
+                continue
+            doc, numbers, sizes, words = split
             codes, line, begin = _line_sets(words, sizes, coder)
             n = np.diff(np.append(begin, len(codes)))
             node = np.add.reduceat(mixed(codes), begin)
@@ -214,7 +264,6 @@ def _read_lines(docs: DataFrame, percent: int, blocks: int, least_words: int) ->
             columns = [
                 pa.nulls(int(wide.sum()), pa.int32()),
                 pa.array(node[wide].view(np.int64)),
-                pa.array(n[wide].astype(np.int32)),
                 pa.array(doc[wide].astype(np.int64)),
                 pa.array(numbers[wide].astype(np.int32)),
                 pa.nulls(int(wide.sum()), pa.binary()),
@@ -250,19 +299,23 @@ def _read_lines(docs: DataFrame, percent: int, blocks: int, least_words: int) ->
             columns = [
                 pa.array(deal[cut].astype(np.int32)),
                 none,
-                none.cast(pa.int32()),
                 none,
                 none.cast(pa.int32()),
                 pa.array(packed, pa.binary()),
             ]
             yield pa.RecordBatch.from_arrays(columns, schema=schema)
+        seen.clear()
+        memory_returned()
 
-    schema = "block int, node long, n int, doc_id long, line int, entries binary"
+    schema = "block int, node long, doc_id long, line int, entries binary"
     return docs.mapInArrow(run, schema)
 
 
 def _close(entries: np.ndarray, percent: int) -> tuple[np.ndarray, Iterator]:
-    """Sorted entries, and positions of pairs that sizes, places and bitmaps leave possible."""
+    """Sorted entries, and positions of pairs that sizes, places and bitmaps leave possible.
+
+    With the positions comes the share of bits in which the two differ, in 65,535ths.
+    """
     key, node, doc = (np.ascontiguousarray(entries[c]) for c in ("key", "node", "doc"))
     n = entries["n"].astype(np.uint64)
     lead = key.astype(np.uint64) << np.uint64(32) | n << np.uint64(16) | node & np.uint64(0xFFFF)
@@ -279,7 +332,7 @@ def _close(entries: np.ndarray, percent: int) -> tuple[np.ndarray, Iterator]:
     order = order[np.insert(~again, 0, True)] if len(order) else order
     e = entries[order]
 
-    def pairs() -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    def pairs() -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
         key, n = e["key"].copy(), e["n"].astype(np.int64)
         after = np.where(n == MOST_N, 1 << 40, n - e["at"] - 1)
         low, high = e["bits"][:, 0].copy(), e["bits"][:, 1].copy()
@@ -296,28 +349,33 @@ def _close(entries: np.ndarray, percent: int) -> tuple[np.ndarray, Iterator]:
             apart = np.bitwise_count(low[x] ^ low[y]).astype(np.int64)
             apart += np.bitwise_count(high[x] ^ high[y])
             fits = apart <= n[x] + n[y] - 2 * need
-            yield x[fits], y[fits]
+            x, y = x[fits], y[fits]
+            yield x, y, MOST_N * apart[fits] // (n[x] + n[y])
             step += 1
 
     return e, pairs()
 
 
 def close_pairs(entries: np.ndarray, percent: int, among: np.ndarray | None = None) -> np.ndarray:
-    """Distinct possible pairs of nodes under one key, at least one of them ``among`` some."""
+    """Distinct possible pairs of nodes under one key; of those ``among`` some, with earlier ones.
+
+    A pair stays if the later of the two, either one in a document of both, is among them.
+    """
     if among is not None:  # keys that none of them has bring no pair
         entries = entries[np.isin(entries["key"], entries["key"][np.isin(entries["node"], among)])]
     e, pairs = _close(entries, percent)
     wanted = np.ones(len(e), dtype=bool) if among is None else np.isin(e["node"], among)
     found = [np.empty((0, 2), dtype=np.uint64)]
-    for x, y in pairs:
-        take = wanted[x] | wanted[y]
+    doc = e["doc"].copy()
+    for x, y, _ in pairs:
+        take = wanted[x] & (doc[y] <= doc[x]) | wanted[y] & (doc[x] <= doc[y])
         found.append(np.column_stack([e["node"][x[take]], e["node"][y[take]]]))
     both = np.concatenate(found).view(np.int64).reshape(-1, 2)
     return np.unique(np.sort(both, axis=1), axis=0)
 
 
 def earliest_partners(entries: np.ndarray, percent: int) -> pd.DataFrame:
-    """``a, b, more``: for every node its possible partner of the earliest document under a key.
+    """``a, b, more``: for every node the nearest of its possible earlier partners under a key.
 
     ``more`` tells that it has others that may stand before it: a second one, or one whose
     document cannot be told to be earlier.
@@ -325,12 +383,13 @@ def earliest_partners(entries: np.ndarray, percent: int) -> pd.DataFrame:
     e, pairs = _close(entries, percent)
     doc = e["doc"].astype(np.uint64)
     best, count = np.full(len(e), ~np.uint64(0)), np.zeros(len(e), dtype=np.int64)
-    for x, y in pairs:
+    for x, y, apart in pairs:
         first = doc[x] < doc[y]
         same = doc[x] == doc[y]
         later = np.concatenate([np.where(first, y, x), np.where(first, x, y)[same]])
         other = np.concatenate([np.where(first, x, y), np.where(first, y, x)[same]])
-        np.minimum.at(best, later, doc[other] << np.uint64(32) | other.astype(np.uint64))
+        near = np.concatenate([apart, apart[same]]).astype(np.uint64)
+        np.minimum.at(best, later, near << np.uint64(32) | other.astype(np.uint64))
         np.add.at(count, later, 1)
         np.add.at(count, np.concatenate([x[same], y[same]]), 1)
     has = np.flatnonzero(count)
@@ -362,46 +421,72 @@ def _other_candidates(packed: DataFrame, open_nodes: DataFrame, percent: int) ->
             return pd.DataFrame({"a": [], "b": []}, dtype=np.int64)
         among = nodes["a"].to_numpy(dtype=np.int64).view(np.uint64)
         pairs = close_pairs(_unpacked(frame), percent, among)
+        pa.default_memory_pool().release_unused()
         return pd.DataFrame({"a": pairs[:, 0], "b": pairs[:, 1]})
 
     both = packed.groupBy("block").cogroup(open_nodes.groupBy("block"))
     return both.applyInPandas(run, "a long, b long").distinct()
 
 
-def _word_sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
-    """``node, words``: sorted word hashes of the lines ``node, doc_id, line``."""
+def _word_sets(docs: DataFrame, wanted: DataFrame, frequent: np.ndarray) -> DataFrame:
+    """``node, words``: sorted codes of the words of the lines ``node, doc_id, line``."""
 
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        codes = Codes()
-        for frame in frames:
-            rows = []
-            for text, places in zip(frame["text"], frame["places"]):
-                lines = text.encode().lower().split(b"\n")
-                for place in places:
-                    if place["line"] < len(lines):
-                        own = np.unique(codes(lines[place["line"]].split()))
-                        rows.append((place["node"], own.tobytes()))
-            yield pd.DataFrame(rows, columns=["node", "words"])
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        coder = Codes(frequent)
+        for batch in slices(batches, 0, LINES * LETTERS):
+            lines, places = pc.split_pattern(batch.column(0), "\n"), batch.column(1)
+            count = pc.list_value_length(lines).to_numpy(zero_copy_only=False)
+            of = pc.list_value_length(places).to_numpy(zero_copy_only=False)
+            owner, places = np.repeat(np.arange(len(of)), of), places.flatten()
+            line, node = (places.field(c).to_numpy(zero_copy_only=False) for c in ("line", "node"))
+            there = line < count[owner]
+            at = (np.cumsum(count) - count)[owner[there]] + line[there]
+            words, sizes = _split(lines.flatten().take(pa.array(at)))
+            some = sizes > 0
+            if not some.any():
+                continue
+            codes, _, begin = _line_sets(words, sizes[some], coder)
+            # lines of other texts of the same id go again
+            node = node[there][some]
+            own = np.flatnonzero(np.add.reduceat(mixed(codes), begin).view(np.int64) == node)
+            ends = np.append(begin, len(codes))
+            sets = [codes[ends[i] : ends[i + 1]].tobytes() for i in own.tolist()]
+            arrays = [pa.array(node[own]), pa.array(sets, pa.binary())]
+            yield pa.RecordBatch.from_arrays(arrays, names=["node", "words"])
+        memory_returned()
 
     places = wanted.groupBy("doc_id").agg(F.collect_list(F.struct("line", "node")).alias("places"))
     places = kept(places)
     # few places are broadcast, which spares the texts a shuffle
     few = (places.agg(F.sum(F.size("places"))).first()[0] or 0) <= BROADCAST_IDS
     found = docs.join(F.broadcast(places) if few else places, "doc_id").select("text", "places")
-    sets = kept(found.mapInPandas(run, "node long, words binary").dropDuplicates(["node"]))
+    sets = found.mapInArrow(run, "node long, words binary")
+    sets = kept(sets.dropDuplicates(["node"]))
     dropped(places)
     return sets
 
 
+def _flat(sets: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """The codes of all sets in one array, and how many every set has."""
+    ends = np.frombuffer(sets.buffers()[1], np.int32)[sets.offset : sets.offset + len(sets) + 1]
+    codes = np.frombuffer(sets.buffers()[2], np.uint8)[ends[0] : ends[-1]].copy().view(np.uint64)
+    return codes, np.diff(ends) // 8
+
+
 def _similar(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            good = []
-            for left, right in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist()):
-                x, y = np.frombuffer(left, np.uint64), np.frombuffer(right, np.uint64)
-                overlap = len(np.intersect1d(x, y, assume_unique=True))
-                good.append(100 * overlap >= percent * (len(x) + len(y) - overlap))
-            yield batch.select(["a", "b"]).filter(pa.array(good, pa.bool_()))
+            if not batch.num_rows:
+                continue
+            (x, n), (y, m) = _flat(batch.column(2)), _flat(batch.column(3))
+            place = np.unique(np.concatenate([x, y]), return_inverse=True)[1].astype(np.uint64)
+            pair = np.arange(batch.num_rows, dtype=np.uint64) << np.uint64(32)
+            both = np.sort(np.concatenate([np.repeat(pair, n), np.repeat(pair, m)]) | place)
+            shared = both[1:][both[1:] == both[:-1]] >> np.uint64(32)
+            overlap = np.bincount(shared.astype(np.int64), minlength=batch.num_rows)
+            good = 100 * overlap >= percent * (n + m - overlap)
+            yield batch.select(["a", "b"]).filter(pa.array(good))
+        memory_returned()
 
     one = sets.select(F.col("node").alias("a"), F.col("words").alias("left"))
     two = sets.select(F.col("node").alias("b"), F.col("words").alias("right"))
@@ -409,6 +494,21 @@ def _similar(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return both.mapInArrow(run, "a long, b long")
 
 
+def _places(lines: DataFrame) -> tuple[Column, Column, Column]:
+    """A line's place, to be compared, and the ``doc_id`` and ``line`` of a place ``first``.
+
+    Both are in one number where they fit, which aggregates without sorting, else in a struct.
+    """
+    row = lines.agg(F.min("doc_id"), F.max("doc_id"), F.max("line")).first()
+    low, high, line = (x or 0 for x in row)
+    width, first = line.bit_length(), F.col("first")
+    if low >= 0 and high.bit_length() + width < 64:
+        place = F.shiftleft("doc_id", width).bitwiseOR(F.col("line").cast("long"))
+        line = first.bitwiseAND(F.lit((1 << width) - 1).cast("long")).cast("int")
+        return place, F.shiftright(first, width).alias("doc_id"), line.alias("line")
+    return F.struct("doc_id", "line"), F.col("first.doc_id"), F.col("first.line")
+
+
 def later_lines(docs: DataFrame, percent: int = PERCENT, least_words: int = 1) -> DataFrame:
     """``doc_id, removed``: numbers, from 0, of the lines that repeat an earlier one.
 
@@ -420,30 +520,38 @@ def later_lines(docs: DataFrame, percent: int = PERCENT, least_words: int = 1) -
     hashes. Documents with nothing to remove have no row; an empty table gives none; further
     columns are ignored.
     """
+    return _later_lines(docs, percent, least_words)[0]
+
+
+def _later_lines(docs: DataFrame, percent: int, least_words: int) -> tuple[DataFrame, DataFrame]:
+    """``doc_id, removed`` and, of every row with an id and a text, ``doc_id, n`` lines."""
     tasks_find_package(docs.sparkSession)
     docs = docs.select("doc_id", "text").where("doc_id is not null and text is not null")
-    chars = docs.agg(F.sum(F.length("text"))).first()[0] or 0
-    # about one key for every 30 characters
-    full = chars // 30 // BLOCK
+    frequent, read = frequent_words(docs)
+    # about one key for every 30 bytes
+    full = read // 30 // BLOCK
     blocks, rounds = max(64, full), ROUNDS if full >= MANY else 1
-    read = kept(_read_lines(docs, percent, blocks, least_words))
-    lines = read.where("block is null").select("node", "n", "doc_id", "line")
-    place = F.struct("doc_id", "line")
-    classes = kept(lines.groupBy("node").agg(F.min(place).alias("first")))
+    read = kept(_read_lines(docs, frequent, percent, blocks, least_words))
+    lines = read.where("node is not null").select("node", "doc_id", "line")
+    texts = read.where("node is null and block is null")
+    texts = kept(texts.select("doc_id", F.col("line").cast("long").alias("n")))
+    place, *own_place = _places(lines)
+    classes = lines.groupBy("node").agg(F.min(place).alias("first"), F.count(F.lit(1)).alias("rows"))
+    classes = kept(classes)
     packed = read.where("block is not null").select("block", "entries")
 
     def late(pairs: DataFrame) -> DataFrame:
         """``node``: those of the pairs that are similar to an earlier one."""
         ends = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
-        wanted = classes.join(ends, "node").select("node", "first.*")
-        sets = _word_sets(docs, wanted)
+        wanted = kept(classes.join(ends.hint("shuffle_hash"), "node").select("node", "first"))
+        sets = _word_sets(docs, wanted.select("node", *own_place), frequent)
         similar = _similar(pairs, sets, percent)
-        one = classes.select(F.col("node").alias("a"), F.col("first").alias("first_a"))
-        two = classes.select(F.col("node").alias("b"), F.col("first").alias("first_b"))
+        one = wanted.select(F.col("node").alias("a"), F.col("first").alias("first_a"))
+        two = wanted.select(F.col("node").alias("b"), F.col("first").alias("first_b"))
         ordered = similar.join(one, "a").join(two, "b")
         later = F.when(F.col("first_a") < F.col("first_b"), F.col("b")).otherwise(F.col("a"))
         nodes = kept(ordered.select(later.alias("node")).distinct())
-        dropped(sets)
+        dropped(sets, wanted)
         return nodes
 
     def parts(column: str) -> list[Column]:
@@ -453,7 +561,7 @@ def later_lines(docs: DataFrame, percent: int = PERCENT, least_words: int = 1) -
     def together(frames: list[DataFrame]) -> DataFrame:
         return reduce(DataFrame.unionByName, frames)
 
-    # a line needs one earlier match: the earliest candidates first, others where those fail
+    # a line needs one earlier match: the nearest candidates first, others where those fail
     first = [kept(_first_candidates(packed.where(own), percent)) for own in parts("block")]
     first = together(first)
     ends = F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")
@@ -472,11 +580,13 @@ def later_lines(docs: DataFrame, percent: int = PERCENT, least_words: int = 1) -
         known = known.unionByName(late(others)).distinct()
         dropped(others)
     late_nodes = known.withColumn("late", F.lit(True))
-    marked = classes.join(late_nodes, "node", "left")
+    # lines that stand once and stay need not be met again
+    marked = classes.join(late_nodes, "node", "left").where("late or rows > 1")
+    marked = marked.select("node", "first", "late").hint("shuffle_hash")
     gone = lines.join(marked, "node").where(F.col("late") | (place != F.col("first")))
     out = kept(gone.groupBy("doc_id").agg(F.sort_array(F.collect_set("line")).alias("removed")))
     dropped(read, classes, first, pairs, still)
-    return out
+    return out, texts
 
 
 def without_later_lines(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
@@ -485,6 +595,9 @@ def without_later_lines(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     A document all of whose lines go stays with an empty text. A column ``n_chars`` is set anew.
     """
     gone = later_lines(docs, percent).withColumnRenamed("doc_id", "d")
+    # few lines are broadcast, which spares the texts a shuffle
+    few = (gone.agg(F.sum(F.size("removed") + 1)).first()[0] or 0) <= BROADCAST_IDS
+    gone = F.broadcast(gone) if few else gone
     packed = docs.select(F.struct("*").alias("row"), "doc_id", "text")
     both = packed.join(gone, F.col("doc_id") == F.col("d"), "left")
     stay = F.filter(
@@ -500,9 +613,13 @@ def without_later_lines(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
 
 def line_report(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     """``doc_id, n_lines, n_removed, removed`` for every row; a null text has no lines."""
-    gone = later_lines(docs, percent).withColumnRenamed("doc_id", "d")
-    rows = docs.select("doc_id", F.coalesce(F.size(F.split("text", "\n")), F.lit(0)).alias("lines"))
-    rows = rows.withColumn("n_lines", F.greatest("lines", F.lit(0)).cast("long"))
+    gone, texts = _later_lines(docs, percent, 1)
+    gone = gone.withColumnRenamed("doc_id", "d")
+    other = docs.select("doc_id", "text").where("doc_id is null or text is null")
+    lines = F.size(F.split(text_of("text"), "\n")).cast("long")
+    lines = F.when(F.col("text").isNull(), 0).otherwise(lines)
+    rows = texts.unionByName(other.select("doc_id", lines.alias("n")))
+    rows = rows.withColumnRenamed("n", "n_lines")
     both = rows.join(gone, F.col("doc_id") == F.col("d"), "left")
     removed = F.coalesce("removed", F.array().cast("array<int>"))
     return both.select(
