@@ -137,3 +137,16 @@ def test_repeated_ids_with_other_texts(spark):
     found = ngram_join.similar_groups(documents(spark, [(*r, "en", "a") for r in rows])).collect()
     assert len(found) == len(rows)
     assert {r["doc_id"]: r["component_id"] for r in found} == {7: 3, 3: 3, 9: 3, 20: 3, 30: 30}
+
+
+def test_pairs_follow_the_entries_in_columns_of_any_length(spark, monkeypatch):
+    """Every row meets the column's pivots, once each, and no other row."""
+    monkeypatch.setattr(ngram_join, "_possible", lambda met, sizes, percent: met)
+    few = len(ngram_join.MASKS)
+    for length in (1, 2, 3, 9, 16, 17, 60):
+        column = spark.range(length).selectExpr("7L shingle", "id * 7919 - 20000 node")
+        met = [tuple(r) for r in ngram_join._near_pairs(column, None, 75).collect()]
+        assert len(met) == len(set(met)) and all(a < b for a, b in met)
+        assert {n for pair in met for n in pair} == ({i * 7919 - 20000 for i in range(length)} if length > 1 else set())
+        pivots = min(few, length)
+        assert len(met) <= pivots * (length - pivots) + pivots * (pivots - 1) // 2

@@ -5,9 +5,9 @@ shingle. Two rows can only reach the similarity if they meet in the columns that
 leaves out all but the last ``ceil(s * size)`` of its columns, in an order common to all; in that
 order columns known to be frequent come last, so that a shared passage brings few rows together.
 The product runs over blocks of columns, each an equal share by hash, whose number follows the
-input. Overlaps of rows are accumulated over the columns in which they meet, first over short
-columns and with a few pivots of each long one; sizes bound what the other columns can add, which
-discards nearly all pairs that are not alike, and whole sets verify the rest. Rows that are then in
+input. Overlaps of rows are accumulated over the columns in which they meet, first with a few
+pivots of each column; sizes bound what the other columns can add, which discards nearly all pairs
+that are not alike, and whole sets verify the rest. Rows that are then in
 one component need no more pairs with each other; all pairs between different components are
 accumulated too, so no link that joins components is lost, while a large group of near copies costs
 a few pairs for each of its rows, not the square.
@@ -44,9 +44,9 @@ COUNTED, LOCAL = 1 << 21, 4
 FREQUENT, FREQUENT_LIMIT = 64, 1 << 20
 #: Entries of a block of columns.
 BLOCK = 1 << 20
-#: Rows up to which a column pairs all of them, and the masks that choose pivots of longer ones: of
-#: all 64 bits, as ids may be any; the first chooses the smallest id, as copies often follow it.
-SHORT, MASKS = 16, tuple(k * 0x9E3779B97F4A7C15 % (1 << 63) for k in range(8))
+#: The masks that choose a column's pivots: of all 64 bits, as ids may be any; the first chooses the
+#: smallest id, as copies often follow it.
+MASKS = tuple(k * 0x9E3779B97F4A7C15 % (1 << 63) for k in range(8))
 #: Words whose hashes a task remembers.
 WORDS = 200_000
 
@@ -254,12 +254,10 @@ def _links(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return both.mapInArrow(run, "a long, b long")
 
 
-def _column_sizes(meeting: DataFrame) -> DataFrame:
-    """Rows of every column, and its pivots: rows that come first under different bit masks."""
+def _pivots(meeting: DataFrame) -> DataFrame:
+    """The pivots of every column: rows that come first under different bit masks."""
     pivots = [F.min(F.col("node").bitwiseXOR(mask)).bitwiseXOR(mask) for mask in MASKS]
-    return meeting.groupBy("shingle").agg(
-        F.count(F.lit(1)).alias("rows"), F.array_distinct(F.array(*pivots)).alias("pivots")
-    )
+    return meeting.groupBy("shingle").agg(F.array_distinct(F.array(*pivots)).alias("pivots"))
 
 
 def _possible(met: DataFrame, sizes: DataFrame, percent: int) -> DataFrame:
@@ -279,17 +277,15 @@ def _possible(met: DataFrame, sizes: DataFrame, percent: int) -> DataFrame:
 
 
 def _near_pairs(meeting: DataFrame, sizes: DataFrame, percent: int) -> DataFrame:
-    """Pairs from short columns, and those with the pivots of long ones."""
-    columns = _column_sizes(meeting).where("rows > 1")
-    entries = meeting.select("shingle", "node").join(columns, "shingle")
-    short = entries.where(F.col("rows") <= SHORT).select("shingle", F.col("node").alias("a"))
-    other = short.withColumnRenamed("a", "b")
-    met = short.join(other, "shingle").where("a < b").select("a", "b")
-    long = entries.where(F.col("rows") > SHORT)
-    long = long.select("node", F.explode("pivots").alias("other")).where("node <> other")
-    met = met.unionByName(
-        long.select(F.least("node", "other").alias("a"), F.greatest("node", "other").alias("b"))
-    )
+    """Pairs of a column's rows with its pivots, two pivots once.
+
+    A row meets at most a few others in a column of any length, so pairs follow the entries.
+    """
+    entries = meeting.select("shingle", "node").join(_pivots(meeting), "shingle")
+    node = F.col("node")
+    others = F.filter("pivots", lambda p: (p < node) | (p > node) & ~F.array_contains("pivots", node))
+    met = entries.select("node", F.explode(others).alias("other"))
+    met = met.select(F.least("node", "other").alias("a"), F.greatest("node", "other").alias("b"))
     return _possible(met, sizes, percent)
 
 
