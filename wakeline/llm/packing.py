@@ -18,7 +18,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from tokenizers import Tokenizer
 
-from wakeline.llm.common import tasks_find_package
+from wakeline.llm.common import memory_returned, slices, tasks_find_package
 
 SCHEMA = (
     "doc_id long, piece int, start long, length long, ids binary, sequence_id long, offset long"
@@ -35,8 +35,10 @@ ARROW = pa.schema(
     ]
 )
 ID_BYTES = 4
-#: Words that each of two generations of a worker's memory holds, and rows handed on at a time.
-WORD_CACHE, ROWS = 250_000, 2_000
+#: Words that each of two generations of a worker's memory holds.
+WORD_CACHE = 250_000
+#: Rows handed on at a time, and about the bytes of text encoded at a time.
+ROWS, TEXT = 2_000, 1 << 20
 MARK_CACHE = 10_000
 
 
@@ -186,7 +188,7 @@ def pack(
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = _encoder(tokenizer_path)
         bins = BestFit(capacity, open_bins, TaskContext.get().partitionId() << 36)
-        for batch in batches:
+        for batch in slices(batches, 1, TEXT):
             for at in range(0, batch.num_rows, ROWS):
                 part = batch.slice(at, ROWS)
                 texts = [b"" if t is None else t for t in part.column(1).cast(pa.binary()).to_pylist()]
@@ -203,5 +205,6 @@ def pack(
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(c, t.type) for c, t in zip(zip(*rows), ARROW)], schema=ARROW
                 )
+        memory_returned()
 
     return docs.select("doc_id", "text").mapInArrow(run, SCHEMA)

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wakeline.llm import (
+    common,
     conversation_repair,
     embedding_dedup,
     hidden_states,
@@ -46,15 +47,18 @@ def tokenizer_path() -> str:
 
 
 def packed(docs: DataFrame) -> DataFrame:
+    """Pieces and their places, written: so texts go to Python workers in small batches."""
     pieces = packing.pack(docs, tokenizer_path())
-    return pieces.select(
-        "doc_id",
-        "piece",
-        "start",
-        "length",
-        F.crc32("ids").alias("ids_crc32"),
-        "sequence_id",
-        "offset",
+    return common.kept(
+        pieces.select(
+            "doc_id",
+            "piece",
+            "start",
+            "length",
+            F.crc32("ids").alias("ids_crc32"),
+            "sequence_id",
+            "offset",
+        )
     )
 
 
