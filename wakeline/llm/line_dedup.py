@@ -47,6 +47,8 @@ MANY, ROUNDS = 16, 4
 #: Words of lines worked on at a time, bytes of text that have about one, and classes that a task
 #: remembers.
 LINES, LETTERS, WORDS = 1 << 17, 8, 150_000
+#: Bytes of stored keys that are made entries at a time.
+STORED = 1 << 20
 ENTRY = np.dtype(
     [
         ("key", "<u4"),
@@ -57,6 +59,10 @@ ENTRY = np.dtype(
         ("bits", "<u8", (2,)),
     ]
 )
+#: The same as it is stored: what a line's entries share once, and of each entry its key, its block
+#: and its line's place among those stored with it.
+LINE = np.dtype([("node", "<u8"), ("doc", "<u4"), ("n", "<u2"), ("bits", "<u8", (2,))])
+KEY = np.dtype([("key", "<u4"), ("block", "<u4"), ("line", "<u4"), ("at", "u1")])
 #: Sizes from here on are not told apart in an entry, nor are positions above 255; both only make
 #: its filters let more through.
 MOST_N = 65_535
@@ -196,8 +202,8 @@ def _line_sets(
     return codes, line, np.searchsorted(line, np.arange(len(sizes)))
 
 
-def _entries(codes, line, begin, n, node, doc, percent: int) -> tuple[np.ndarray, np.ndarray]:
-    """Keys of every line: its leading rare words, and its leading frequent ones in twos."""
+def _keys(codes, line, begin, n, node, doc, percent: int) -> tuple[np.ndarray, np.ndarray]:
+    """All lines, and keys of every line: its leading rare words, and its leading frequent ones in twos."""
     lead = n - (percent * n + 99) // 100 + 1
     at = np.arange(len(codes)) - begin[line]
     often = codes >> np.uint64(RANK_SHIFT) > 0
@@ -225,34 +231,59 @@ def _entries(codes, line, begin, n, node, doc, percent: int) -> tuple[np.ndarray
         where.append(first)
         step += 1
     key, where = np.concatenate(keys), np.concatenate(where)
-    out = np.empty(len(key), dtype=ENTRY)
-    owner = line[where]
-    out["key"] = (key & np.uint64(0xFFFFFFFF)).astype(np.uint32)
-    out["node"], out["n"] = node[owner], np.minimum(n[owner], MOST_N)
+    lines = np.empty(len(n), dtype=LINE)
+    lines["node"], lines["n"], lines["bits"] = node, np.minimum(n, MOST_N), bits
     # tells documents with ids from 0 to 2^32 - 2 apart; others count as one
-    out["doc"] = np.clip(doc[owner], -1, 2**32 - 2) + 1
-    out["at"], out["bits"] = np.minimum(at[where], 255), bits[owner]
-    return out, (key >> np.uint64(32)).astype(np.uint32)
+    lines["doc"] = np.clip(doc, -1, 2**32 - 2) + 1
+    keys = np.empty(len(key), dtype=KEY)
+    keys["key"] = (key & np.uint64(0xFFFFFFFF)).astype(np.uint32)
+    keys["block"] = (key >> np.uint64(32)).astype(np.uint32)
+    keys["line"], keys["at"] = line[where], np.minimum(at[where], 255)
+    return lines, keys
+
+
+def _whole(lines: np.ndarray, keys: np.ndarray) -> np.ndarray:
+    out = np.empty(len(keys), dtype=ENTRY)
+    own = lines[keys["line"]]
+    for column in ("node", "doc", "n", "bits"):
+        out[column] = own[column]
+    out["key"], out["at"] = keys["key"], keys["at"]
+    return out
+
+
+def _entries(codes, line, begin, n, node, doc, percent: int) -> tuple[np.ndarray, np.ndarray]:
+    """Entries of all lines, and the number by which each is dealt to a block."""
+    lines, keys = _keys(codes, line, begin, n, node, doc, percent)
+    return _whole(lines, keys), keys["block"]
+
+
+def _stored(rows: np.ndarray) -> bytes:
+    """The first bytes of all rows, then the second: those that rows share compress."""
+    return np.ascontiguousarray(rows).view(np.uint8).reshape(-1, rows.itemsize).T.tobytes()
+
+
+def _restored(stored: pa.Scalar, kind: np.dtype) -> np.ndarray:
+    rows = np.frombuffer(stored.as_buffer(), np.uint8).reshape(kind.itemsize, -1).T
+    return np.ascontiguousarray(rows).view(kind)[:, 0]
 
 
 def _read_lines(
-    docs: DataFrame, frequent: np.ndarray, percent: int, blocks: int, least_words: int
+    docs: DataFrame, frequent: np.ndarray, percent: int, blocks: int, rounds: int, least_words: int
 ) -> DataFrame:
-    """Rows of lines (``node, doc_id, line``), of packed ``entries`` with ``block`` set, and of
-    documents without both (``doc_id`` and, as ``line``, their number of lines).
+    """Rows of lines (``node, doc_id, line``), of stored ``lines`` with their ``keys`` by round, and
+    of documents without both (``doc_id`` and, as ``line``, their number of lines).
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder, seen = Codes(frequent), {}
         schema = pa.schema(
-            [("block", pa.int32()), ("node", pa.int64()), ("doc_id", pa.int64()),
-             ("line", pa.int32()), ("entries", pa.binary())]
+            [("node", pa.int64()), ("doc_id", pa.int64()), ("line", pa.int32()),
+             ("lines", pa.binary()), ("keys", pa.list_(pa.binary()))]
         )
         for (ids, count), split in _chunks(batches):
-            none = pa.nulls(len(ids), pa.int64())
-            columns = [none.cast(pa.int32()), none, ids.cast(pa.int64())]
+            columns = [pa.nulls(len(ids), pa.int64()), ids.cast(pa.int64())]
             columns.append(pa.array(count.astype(np.int32)))
-            columns.append(pa.nulls(len(ids), pa.binary()))
+            columns += [pa.nulls(len(ids), kind) for kind in schema.types[3:]]
             yield pa.RecordBatch.from_arrays(columns, schema=schema)
             if split is None:
                 continue
@@ -262,11 +293,10 @@ def _read_lines(
             node = np.add.reduceat(mixed(codes), begin)
             wide = n >= least_words
             columns = [
-                pa.nulls(int(wide.sum()), pa.int32()),
                 pa.array(node[wide].view(np.int64)),
                 pa.array(doc[wide].astype(np.int64)),
                 pa.array(numbers[wide].astype(np.int32)),
-                pa.nulls(int(wide.sum()), pa.binary()),
+                *(pa.nulls(int(wide.sum()), kind) for kind in schema.types[3:]),
             ]
             yield pa.RecordBatch.from_arrays(columns, schema=schema)
             # copies of a line within a task need no second entry, unless they stand earlier: the
@@ -289,28 +319,43 @@ def _read_lines(
             codes, line = codes[stay], (np.cumsum(fresh) - 1)[line[stay]]
             n, node, doc = n[fresh], node[fresh], doc[fresh]
             begin = np.searchsorted(line, np.arange(len(n)))
-            entries, deal = _entries(codes, line, begin, n, node, doc, percent)
-            deal = deal % np.uint32(blocks)
-            order = np.argsort(deal, kind="stable")
-            entries, deal = entries[order], deal[order]
-            cut = np.flatnonzero(np.diff(deal, prepend=-1))
-            packed = [e.tobytes() for e in np.split(entries, cut[1:])] if len(cut) else []
-            none = pa.nulls(len(cut), pa.int64())
-            columns = [
-                pa.array(deal[cut].astype(np.int32)),
-                none,
-                none,
-                none.cast(pa.int32()),
-                pa.array(packed, pa.binary()),
-            ]
+            lines, keys = _keys(codes, line, begin, n, node, doc, percent)
+            keys["block"] %= np.uint32(blocks)
+            keys = keys[np.argsort(keys["block"], kind="stable")]
+            own = [_stored(keys[keys["block"] % rounds == r]) for r in range(rounds)]
+            columns = [pa.nulls(1, kind) for kind in schema.types[:3]]
+            columns += [pa.array([_stored(lines)], pa.binary()), pa.array([own], schema.types[4])]
             yield pa.RecordBatch.from_arrays(columns, schema=schema)
         seen.clear()
         memory_returned()
 
-    schema = "block int, node long, doc_id long, line int, entries binary"
+    schema = "node long, doc_id long, line int, lines binary, keys array<binary>"
     return docs.mapInArrow(run, schema)
 
 
+def _dealt(stored: DataFrame, number: int) -> DataFrame:
+    """``block, entries``: whole entries of the blocks of a round, packed."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches, 1, STORED):
+            entries, block = [], []
+            for lines, keys in zip(batch.column(0), batch.column(1)):
+                keys = _restored(keys, KEY)
+                entries.append(_whole(_restored(lines, LINE), keys))
+                block.append(keys["block"])
+            entries, block = np.concatenate(entries), np.concatenate(block)
+            order = np.argsort(block, kind="stable")
+            entries, block = entries[order], block[order]
+            cut = np.flatnonzero(np.diff(block.astype(np.int64), prepend=-1))
+            packed = [e.tobytes() for e in np.split(entries, cut[1:])] if len(cut) else []
+            arrays = [pa.array(block[cut].astype(np.int32)), pa.array(packed, pa.binary())]
+            yield pa.RecordBatch.from_arrays(arrays, names=["block", "entries"])
+        memory_returned()
+
+    own = stored.select("lines", F.col("keys")[number].alias("keys"))
+    return own.mapInArrow(run, "block int, entries binary")
+
+
 def _close(entries: np.ndarray, percent: int) -> tuple[np.ndarray, Iterator]:
     """Sorted entries, and positions of pairs that sizes, places and bitmaps leave possible.
 
@@ -531,14 +576,15 @@ def _later_lines(docs: DataFrame, percent: int, least_words: int) -> tuple[DataF
     # about one key for every 30 bytes
     full = read // 30 // BLOCK
     blocks, rounds = max(64, full), ROUNDS if full >= MANY else 1
-    read = kept(_read_lines(docs, frequent, percent, blocks, least_words))
+    read = kept(_read_lines(docs, frequent, percent, blocks, rounds, least_words))
     lines = read.where("node is not null").select("node", "doc_id", "line")
-    texts = read.where("node is null and block is null")
+    texts = read.where("node is null and lines is null")
     texts = kept(texts.select("doc_id", F.col("line").cast("long").alias("n")))
     place, *own_place = _places(lines)
     classes = lines.groupBy("node").agg(F.min(place).alias("first"), F.count(F.lit(1)).alias("rows"))
     classes = kept(classes)
-    packed = read.where("block is not null").select("block", "entries")
+    stored = read.where("lines is not null")
+    packed = [_dealt(stored, number) for number in range(rounds)]
 
     def late(pairs: DataFrame) -> DataFrame:
         """``node``: those of the pairs that are similar to an earlier one."""
@@ -554,16 +600,11 @@ def _later_lines(docs: DataFrame, percent: int, least_words: int) -> tuple[DataF
         dropped(sets, wanted)
         return nodes
 
-    def parts(column: str) -> list[Column]:
-        """The blocks of each round."""
-        return [F.pmod(F.col(column), F.lit(rounds)) == r for r in range(rounds)]
-
     def together(frames: list[DataFrame]) -> DataFrame:
         return reduce(DataFrame.unionByName, frames)
 
     # a line needs one earlier match: the nearest candidates first, others where those fail
-    first = [kept(_first_candidates(packed.where(own), percent)) for own in parts("block")]
-    first = together(first)
+    first = together([kept(_first_candidates(own, percent)) for own in packed])
     ends = F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")
     pairs = kept(first.select(*ends).distinct())
     known = late(pairs)
@@ -571,8 +612,8 @@ def _later_lines(docs: DataFrame, percent: int, least_words: int) -> tuple[DataF
     still = kept(still.select("block", "a").distinct())
     if not still.isEmpty():
         rest = [
-            kept(_other_candidates(packed.where(own), still.where(own), percent))
-            for own in parts("block")
+            kept(_other_candidates(own, still.where(F.col("block") % rounds == number), percent))
+            for number, own in enumerate(packed)
         ]
         others = together(rest).distinct().join(pairs, ["a", "b"], "left_anti")
         others = kept(others)
